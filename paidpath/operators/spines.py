@@ -51,10 +51,12 @@ def member_month_shell(first_months: DataFrame, member: str, first_col: str, as_
 def densify(fact: DataFrame, shell: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Every shell row with the fact's values, null where the fact has no row.
     Keys compare with plain equality, so a null key never matches (as in SQL)."""
-    cond = [shell[k] == fact[k] for k in keys]
-    other = [fact[c] for c in fact.columns if c not in keys]
-    return shell.join(fact, cond, "left").select(*[shell[k] for k in keys],
-                                                 *[shell[c] for c in shell.columns if c not in keys], *other)
+    s, f = shell.alias("_shell"), fact.alias("_fact")
+    cond = [F.col(f"_shell.{k}") == F.col(f"_fact.{k}") for k in keys]
+    return s.join(f, cond, "left").select(
+        *[F.col(f"_shell.{k}") for k in keys],
+        *[F.col(f"_shell.{c}") for c in shell.columns if c not in keys],
+        *[F.col(f"_fact.{c}") for c in fact.columns if c not in keys])
 
 
 def cross_categories(entities: DataFrame, categories: Sequence[str], overall: str | None = None,

@@ -41,3 +41,118 @@ def m05(spark, sf_dir):
 def m04(spark, sf_dir):
     from paidpath.plans.waterfall import revenue_waterfall
     return revenue_waterfall(_member_waterfall(Catalog(spark, sf_dir)), B.AS_OF_ORDERS)
+
+
+@query("w22_classify_mrr_change")
+def w22(spark, sf_dir):
+    from pyspark.sql import functions as F
+    from paidpath.plans.waterfall import member_monthly_mrr, mrr_movements
+    t = Catalog(spark, sf_dir)
+    cust = B.customers(t)
+    mm = member_monthly_mrr(B.paid_base_by_member(t), B.mrr_by_member(t), B.shipment_activity(t), cust,
+                            B.activated_members(t))
+    mv = mrr_movements(mm, B.AS_OF_ORDERS, B.ORDERS_SHELL_START, B.ORDERS_SIGNUP_CUTOFF)
+    return mv.select("member_id", "mrr_month", "change", F.col("mrr1").alias("mrr"),
+                     F.col("mrr_change1").alias("mrr_change"))
+
+
+@query("w33_opening_balance")
+def w33(spark, sf_dir):
+    from pyspark.sql import functions as F
+    from paidpath.functions.calendar import current_month_start
+    from paidpath.operators.rolling import opening_balance
+    from paidpath.plans.waterfall import DIMENSIONS, MONEY, waterfall_summary
+    s = waterfall_summary(_member_waterfall(Catalog(spark, sf_dir)))
+    ending = (s.filter(F.col("change") != "churn").groupBy("month", *DIMENSIONS)
+               .agg(F.sum("arr").alias("arr"), F.sum("_n").alias("count_customers")))
+    start = opening_balance(ending, "month", current_month_start(B.AS_OF_ORDERS), 1, "metrics", "1_Starting")
+    return start.select("month", "metrics", *DIMENSIONS, F.col("arr").cast(MONEY).alias("arr"),
+                        F.col("count_customers").cast("bigint").alias("count_customers"))
+
+
+# ---- rolling paid base ------------------------------------------------------------------
+
+def _paying_days(t: Catalog):
+    from paidpath.plans.paid_base import paying_days
+    return paying_days(B.invoice_payments(t), B.plans(t.spark), B.service_numbers(t.spark), B.AS_OF_ORDERS)
+
+
+@query("w02_top_payment_per_month")
+def w02(spark, sf_dir):
+    from paidpath.plans.paid_base import top_paying_day_per_month
+    return top_paying_day_per_month(_paying_days(Catalog(spark, sf_dir)))
+
+
+@query("w08_densify")
+def w08(spark, sf_dir):
+    from paidpath.plans.paid_base import SEGMENTS, daily_paying, segment_day_shell, top_paying_day_per_month
+    from paidpath.operators.spines import densify
+    t = Catalog(spark, sf_dir)
+    daily = daily_paying(top_paying_day_per_month(_paying_days(t)), B.customers(t))
+    return densify(daily, segment_day_shell(daily, B.AS_OF_ORDERS), ["date", *SEGMENTS])
+
+
+@query("m08_rolling_paid_base")
+def m08(spark, sf_dir):
+    from paidpath.plans.paid_base import rolling_paid_base
+    t = Catalog(spark, sf_dir)
+    return rolling_paid_base(B.invoice_payments(t), B.plans(spark), B.service_numbers(spark), B.customers(t),
+                             B.AS_OF_ORDERS)
+
+
+@query("w20_calendar_rolling_sum")
+def w20(spark, sf_dir):
+    from pyspark.sql import functions as F
+    from paidpath.functions.calendar import lit_date
+    from paidpath.operators.rolling import calendar_rolling_sum
+    from paidpath.operators.spines import day_sequence, densify
+    t = Catalog(spark, sf_dir)
+    o = t("orders", ["o_orderpriority", "o_orderdate"])
+    daily = o.groupBy(F.col("o_orderpriority").alias("plan"), F.to_date("o_orderdate").alias("date")).agg(
+        F.count("*").alias("orders"))
+    first = daily.groupBy("plan").agg(F.min("date").alias("_f"))
+    shell = first.select("plan", F.explode(day_sequence(F.col("_f"), lit_date(B.AS_OF_ORDERS))).alias("date"))
+    dense = densify(daily, shell, ["plan", "date"])
+    out = calendar_rolling_sum(dense, "orders", ["plan"], "date", out="orders_last_month")
+    return out.select("date", "plan", "orders", F.col("orders_last_month").cast("bigint").alias("orders_last_month"))
+
+
+# ---- small revenue-side operators ---------------------------------------------------------
+
+@query("w01_latest_per_key")
+def w01(spark, sf_dir):
+    from paidpath.operators.pickers import latest_per_key
+    li = Catalog(spark, sf_dir)("lineitem")
+    return latest_per_key(li, ["l_orderkey"], ["l_linenumber"])
+
+
+@query("w06_period_spine")
+def w06(spark, sf_dir):
+    from paidpath.operators.spines import period_spine
+    o = Catalog(spark, sf_dir)("orders", ["o_orderdate"])
+    return period_spine(o, "o_orderdate", B.AS_OF_ORDERS, name="month")
+
+
+@query("w07_member_month_shell")
+def w07(spark, sf_dir):
+    from pyspark.sql import functions as F
+    from paidpath.operators.spines import member_month_shell
+    o = Catalog(spark, sf_dir)("orders", ["o_custkey", "o_orderdate"])
+    first = o.groupBy(F.col("o_custkey").alias("member_id")).agg(F.min("o_orderdate").alias("first_order"))
+    return member_month_shell(first, "member_id", "first_order", B.AS_OF_ORDERS, name="mrr_month")
+
+
+@query("w19_previous_values")
+def w19(spark, sf_dir):
+    from paidpath.operators.rolling import previous_values
+    pb = B.paid_base_by_member(Catalog(spark, sf_dir))
+    return previous_values(pb, ["plan", "billing_interval"], ["member_id"], ["date"])
+
+
+@query("w31_monthly_revenue")
+def w31(spark, sf_dir):
+    from pyspark.sql import functions as F
+    from paidpath.operators.rolling import monthly_revenue
+    p = B.invoice_payments(Catalog(spark, sf_dir)).withColumn("refunded", F.col("amount") < 0)
+    out = monthly_revenue(p, "member_id", "payment_date", "amount", out="revenue", exclude="refunded")
+    return out.select("member_id", "date_month", F.col("revenue").cast("decimal(18,2)").alias("revenue"))

@@ -112,12 +112,15 @@ def money(c) -> Column:
 def invoice_payments(t: Catalog) -> DataFrame:
     o = t("orders", ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate",
                      "o_orderpriority"])
+    # Settled orders of the free plan are refunds: negative amounts.
+    refund = (F.col("o_orderpriority") == "5-LOW") & (F.col("o_orderstatus") == "F")
+    amount = F.when(refund, -money("o_totalprice")).otherwise(money("o_totalprice"))
     return o.select(
         F.col("o_custkey").alias("member_id"),
         F.col("o_orderkey").alias("payment_id"),
         F.col("o_orderdate").alias("payment_date"),
-        money("o_totalprice").alias("amount"),
-        money("o_totalprice").alias("amount_in_usd"),
+        amount.alias("amount"),
+        amount.alias("amount_in_usd"),
         F.col("o_orderpriority").alias("associated_plan"),
         F.when(F.col("o_orderstatus") == "P", F.concat(F.lit("Prorated "), F.col("o_orderpriority")))
          .otherwise(F.col("o_orderpriority")).alias("plan_name"),
