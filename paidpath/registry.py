@@ -156,3 +156,90 @@ def w31(spark, sf_dir):
     p = B.invoice_payments(Catalog(spark, sf_dir)).withColumn("refunded", F.col("amount") < 0)
     out = monthly_revenue(p, "member_id", "payment_date", "amount", out="revenue", exclude="refunded")
     return out.select("member_id", "date_month", F.col("revenue").cast("decimal(18,2)").alias("revenue"))
+
+
+# ---- monthly activity ---------------------------------------------------------------------
+
+def _monthly_active(t: Catalog, incremental: bool = False):
+    from paidpath.plans.activity import monthly_active_customers
+    return monthly_active_customers(B.product_events(t), B.meaningful_activity(t.spark), B.customers(t),
+                                    B.organizations(t), as_of=B.AS_OF_EVENTS, incremental=incremental)
+
+
+@query("m07_monthly_active_customers")
+def m07(spark, sf_dir):
+    return _monthly_active(Catalog(spark, sf_dir))
+
+
+@query("w04_last_in_period")
+def w04(spark, sf_dir):
+    from pyspark.sql import functions as F
+    from paidpath.operators.pickers import last_in_period
+    e = B.product_events(Catalog(spark, sf_dir)).select(
+        "event_id", F.col("actor_id").alias("member_id"), F.trunc("timestamp", "month").alias("month_of_activity"),
+        "timestamp", "organization_id")
+    keys, order = ["member_id", "month_of_activity"], ["timestamp", "organization_id"]
+    x = last_in_period(e, "organization_id", keys, order, ignore_nulls=False, out="last_org")
+    x = last_in_period(x, "organization_id", keys, order, ignore_nulls=True, out="last_org_non_null")
+    return x.select("event_id", "member_id", "month_of_activity", "last_org", "last_org_non_null")
+
+
+@query("w12_threshold_flags")
+def w12(spark, sf_dir):
+    from pyspark.sql import functions as F
+    from paidpath.functions.rules import threshold_flags
+    e = Catalog(spark, sf_dir)("events", ["user_id", "event_type"])
+    c = e.groupBy(F.col("user_id").alias("member_id")).agg(
+        F.count_if(F.col("event_type") == "purchase").alias("purchases"),
+        F.count_if(F.col("event_type") == "view").alias("views"))
+    return c.select("member_id", *threshold_flags({
+        "any_purchase": ("purchases", ">", 0), "purchases_2": ("purchases", ">=", 2),
+        "purchases_3": ("purchases", ">=", 3), "views_5": ("views", ">=", 5),
+        "views_20": ("views", ">=", 20), "purchase_flag": ("purchases", ">=", 1, True)}))
+
+
+@query("w17_allow_listed_events")
+def w17(spark, sf_dir):
+    from paidpath.operators.events import allow_listed_events
+    t = Catalog(spark, sf_dir)
+    ev = B.product_events(t).select("event_id", "actor_id", "event", "timestamp")
+    return allow_listed_events(ev, B.discovery_events(spark), "event", how="inner")
+
+
+@query("w34_surrogate_key")
+def w34(spark, sf_dir):
+    from pyspark.sql import functions as F
+    from paidpath.functions.rules import surrogate_key
+    e = B.product_events(Catalog(spark, sf_dir)).select(
+        F.col("actor_id").alias("member_id"), "organization_id",
+        F.trunc("timestamp", "month").alias("month_of_activity")).distinct()
+    return e.withColumn("primary_key", surrogate_key("member_id", "organization_id", "month_of_activity"))
+
+
+@query("w36_full_refresh")
+def w36(spark, sf_dir):
+    from paidpath.sources.sinks import full_refresh, scratch_table_path
+    return full_refresh(_monthly_active(Catalog(spark, sf_dir)), scratch_table_path(spark, "monthly_active"))
+
+
+@query("w37_refresh_recent_months")
+def w37(spark, sf_dir):
+    import datetime as dt
+    from pyspark.sql import functions as F
+    from paidpath.operators.rolling import monthly_revenue
+    from paidpath.sources.sinks import refresh_recent_months, scratch_table_path
+    t = Catalog(spark, sf_dir)
+
+    def build_as_of(as_of):
+        def build(incremental):
+            p = B.invoice_payments(t).filter(F.col("payment_date") < F.lit(as_of))
+            if incremental:
+                p = p.filter(F.col("payment_date") >= F.lit(dt.date(as_of.year, as_of.month, 1)) - F.expr("interval 2 months"))
+            r = monthly_revenue(p, "member_id", "payment_date", "amount", out="revenue")
+            return r.withColumn("revenue", F.col("revenue").cast("decimal(18,2)"))
+        return build
+
+    path = scratch_table_path(spark, "monthly_revenue")
+    refresh_recent_months(build_as_of(dt.date(2001, 7, 1)), path, dt.date(2001, 7, 1), "date_month")
+    out = refresh_recent_months(build_as_of(B.AS_OF_ORDERS), path, B.AS_OF_ORDERS, "date_month")
+    return out.select("member_id", "date_month", "revenue")
