@@ -243,3 +243,66 @@ def w37(spark, sf_dir):
     refresh_recent_months(build_as_of(dt.date(2001, 7, 1)), path, dt.date(2001, 7, 1), "date_month")
     out = refresh_recent_months(build_as_of(B.AS_OF_ORDERS), path, B.AS_OF_ORDERS, "date_month")
     return out.select("member_id", "date_month", "revenue")
+
+
+# ---- organization profiles, attribution, subscriptions ------------------------------------
+
+@query("m02_org_profiles")
+def m02(spark, sf_dir):
+    from paidpath.plans.org_profiles import org_profiles
+    t = Catalog(spark, sf_dir)
+    return org_profiles(B.crm_accounts(t), B.crm_organizations(t), B.industry_map(spark), B.size_map(spark))
+
+
+@query("w03_one_to_one_links")
+def w03(spark, sf_dir):
+    from pyspark.sql import functions as F
+    from paidpath.operators.pickers import one_to_one_links
+    acc = B.crm_accounts(Catalog(spark, sf_dir)).select(
+        F.col("id").alias("account_id"), F.col("organisation_id__c").alias("organization_id"))
+    return one_to_one_links(acc, "account_id", "organization_id")
+
+
+@query("w24_tier_from_label")
+def w24(spark, sf_dir):
+    from paidpath.functions.rules import tier_from_label
+    acc = B.crm_accounts(Catalog(spark, sf_dir))
+    return acc.select("icp_tier__c", tier_from_label("icp_tier__c").alias("icp_tiers")).distinct()
+
+
+@query("m09_arr_attribution")
+def m09(spark, sf_dir):
+    from paidpath.plans.attribution import arr_attribution
+    t = Catalog(spark, sf_dir)
+    return arr_attribution(B.monthly_usage(t), B.enterprise_arr(t), B.member_revenue(t))
+
+
+@query("w32_allocate_proportionally")
+def w32(spark, sf_dir):
+    from pyspark.sql import functions as F
+    from paidpath.operators.revenue import allocate_proportionally
+    t = Catalog(spark, sf_dir)
+    e = t("events", ["user_id", "ts", "event_type"])
+    kinds = ["signup", "purchase", "view", "click", "error"]
+    days = e.groupBy(F.col("user_id").alias("member_id")).agg(
+        *[F.count_distinct(F.when(F.col("event_type") == k, F.to_date("ts"))).alias(k) for k in kinds])
+    c = t("customer", ["c_custkey", "c_acctbal"]).select(
+        F.col("c_custkey").alias("member_id"), F.col("c_acctbal").cast("decimal(18,2)").alias("amount"))
+    return allocate_proportionally(days.join(c, "member_id"), "amount", kinds).select(
+        "member_id", "amount", *[f"{k}_share" for k in kinds])
+
+
+@query("m10_current_subscriptions")
+def m10(spark, sf_dir):
+    from paidpath.plans.subscriptions import current_subscriptions
+    t = Catalog(spark, sf_dir)
+    return current_subscriptions(B.invoice_items(t), B.ecomm_customers(t))
+
+
+@query("w35_select_except")
+def w35(spark, sf_dir):
+    from paidpath.operators.shape import select_except
+    c = B.ecomm_customers(Catalog(spark, sf_dir))
+    return select_except(c, ["first_payment_date", "trial_start_date", "trial_end_date", "last_touch_signup_date",
+                             "day_diff_first_payment_exp_conversion_date", "non_profit_effective_date"],
+                         last=["signup_date"])

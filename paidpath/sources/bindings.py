@@ -269,3 +269,97 @@ def organizations(t: Catalog) -> DataFrame:
     """Organization -> paying member: the lowest member id seen in the organization."""
     e = product_events(t).filter(F.col("organization_id").isNotNull())
     return e.groupBy("organization_id").agg(F.min("actor_id").alias("payment_member_id"))
+
+
+# ---- CRM side (accounts <-> organizations) ------------------------------------------------
+
+def crm_accounts(t: Catalog) -> DataFrame:
+    """Account rows (one per order): an urgent order names the account's primary org."""
+    o = t("orders", ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderpriority"])
+    g = _customer_geo(t).select("c_custkey", "n_name")
+    j = o.join(g, o.o_custkey == g.c_custkey, "left")
+    pr, price = F.col("o_orderpriority"), F.col("o_totalprice")
+    return j.select(
+        F.concat(F.lit("A"), F.col("o_custkey").cast("string")).alias("id"),
+        F.when(pr == "1-URGENT", F.col("o_orderkey")).alias("organisation_id__c"),
+        F.when(pr == "1-URGENT", "Tier 1").when(pr == "2-HIGH", "Tier 2 Prime").when(pr == "3-MEDIUM", "tier3")
+         .when(pr == "4-NOT SPECIFIED", "T4 x").alias("icp_tier__c"),
+        F.col("o_orderstatus").alias("industry"),
+        F.when(price < 100000, "small").when(price < 250000, "medium").otherwise("large").alias("no_of_employees__c"),
+        F.col("n_name").alias("billingcountry"),
+    )
+
+
+def crm_organizations(t: Catalog) -> DataFrame:
+    """Organization -> account links: each order's customer account, plus the supplier
+    account of every returned line (which makes some organizations many-account)."""
+    o = t("orders", ["o_orderkey", "o_custkey"]).select(
+        F.col("o_orderkey").alias("organization_id__c"),
+        F.concat(F.lit("A"), F.col("o_custkey").cast("string")).alias("account__c"))
+    li = (t("lineitem", ["l_orderkey", "l_suppkey", "l_returnflag"]).filter(F.col("l_returnflag") == "R")
+          .select(F.col("l_orderkey").alias("organization_id__c"),
+                  F.concat(F.lit("S"), F.col("l_suppkey").cast("string")).alias("account__c")))
+    return o.unionByName(li)
+
+
+# ---- usage and revenue for ARR attribution ------------------------------------------------
+
+USAGE_PRODUCTS = ["amplify", "analytics", "apps", "assignments", "authentication", "composer", "inbox", "planner",
+                  "streams", "social_ads", "content", "hootdesk"]
+# event type -> product whose day count it feeds (other products stay 0)
+USAGE_EVENT_PRODUCT = {"view": "composer", "click": "planner", "purchase": "analytics", "signup": "inbox",
+                       "error": "streams"}
+
+
+def monthly_usage(t: Catalog) -> DataFrame:
+    """Active days per product per (organization, member, month)."""
+    e = product_events(t).select(
+        "organization_id", F.col("actor_id").alias("member_id"),
+        F.trunc("timestamp", "month").alias("date_month"), F.to_date("timestamp").alias("day"), "event",
+        F.get_json_object("data", "$.k").cast("int").alias("_k"))
+    conds = {p: F.col("event").isin(*[ev for ev, q in USAGE_EVENT_PRODUCT.items() if q == p])
+             for p in set(USAGE_EVENT_PRODUCT.values())}
+    conds["hootdesk"] = F.col("_k") >= 90
+    g = e.groupBy("organization_id", "member_id", "date_month").agg(
+        *[F.count_distinct(F.when(c, F.col("day"))).cast("int").alias(f"{p}_days") for p, c in conds.items()])
+    seg = F.when(F.col("organization_id") >= 1010, "enterprise").when(F.col("organization_id").isNotNull(), "smb")
+    return g.select("organization_id", "member_id", "date_month", seg.alias("segments"),
+                    *[(F.col(f"{p}_days") if p in conds else F.lit(0)).alias(f"{p}_days") for p in USAGE_PRODUCTS])
+
+
+def enterprise_arr(t: Catalog) -> DataFrame:
+    """Org ARR rows from purchase events (several rows per org and month, as in the source)."""
+    e = product_events(t).filter((F.col("event") == "purchase") & F.col("organization_id").isNotNull())
+    k = F.get_json_object("data", "$.k").cast("int")
+    return e.select("organization_id", F.to_date("timestamp").alias("date"),
+                    (k * 12).cast("decimal(18,2)").alias("arr"))
+
+
+def member_revenue(t: Catalog) -> DataFrame:
+    """Member MRR rows from purchase events; refunded first payments flagged (null unknown)."""
+    e = t("events", ["user_id", "ts", "event_type", "value"]).filter(F.col("event_type") == "purchase")
+    v = F.col("value")
+    return e.select(F.col("user_id").alias("member_id"), F.to_date("ts").alias("payment_month"),
+                    money("value").alias("mrr"),
+                    F.when(v < 10, True).when(v > 300, None).otherwise(False).alias("refunded_for_first_payment"))
+
+
+# ---- subscriptions -----------------------------------------------------------------------
+
+def invoice_items(t: Catalog) -> DataFrame:
+    """Versioned charges: an order's lines are versions of one charge."""
+    li = t("lineitem", ["l_orderkey", "l_partkey", "l_linenumber", "l_quantity", "l_returnflag", "l_linestatus",
+                        "l_shipdate"])
+    o = t("orders", ["o_orderkey", "o_custkey"])
+    j = li.join(o, li.l_orderkey == o.o_orderkey)
+    ship = F.to_date("l_shipdate")
+    return j.select(
+        F.col("o_custkey").alias("member_id"),
+        F.concat(F.lit("C"), F.col("l_orderkey").cast("string")).alias("original_rate_plan_charge_id"),
+        F.col("l_linenumber").alias("version"),
+        F.col("l_partkey").alias("product_id"),
+        F.col("l_quantity").alias("quantity"),
+        ship.alias("service_end_date"),
+        F.when(F.col("l_returnflag") == "R", F.date_sub(ship, 10)).alias("subscription_cancel_date"),
+        F.col("l_linestatus").alias("billing_system"),
+    )
