@@ -47,15 +47,23 @@ def window_condition(ts: Column, anchor: Column, lower: int, upper: int, unit: s
     return lo & hi
 
 
-def events_in_window(base: DataFrame, events: DataFrame, key: str, anchor: str, lower: int, upper: int,
+def _keys(key, event_key):
+    keys = [key] if isinstance(key, str) else list(key)
+    ekeys = keys if event_key is None else ([event_key] if isinstance(event_key, str) else list(event_key))
+    return keys, ekeys
+
+
+def events_in_window(base: DataFrame, events: DataFrame, key, anchor: str, lower: int, upper: int,
                      unit: str = "day", closed: str = "both", how: str = "inner", ts: str = "timestamp",
-                     event_key: str | None = None) -> DataFrame:
+                     event_key=None) -> DataFrame:
     """Pair each base row with the same member's events in [anchor+lower, anchor+upper]
-    (upper open when ``closed='left'``). ``how='left'`` keeps base rows without events."""
-    ek = event_key or key
+    (upper open when ``closed='left'``). ``key``/``event_key`` may name several equi keys
+    (member and category); ``how='left'`` keeps base rows without events."""
+    keys, ekeys = _keys(key, event_key)
     b, e = base.alias("_b"), events.alias("_e")
-    cond = (F.col(f"_b.{key}") == F.col(f"_e.{ek}")) & window_condition(
-        F.col(f"_e.{ts}"), F.col(f"_b.{anchor}"), lower, upper, unit, closed)
+    cond = window_condition(F.col(f"_e.{ts}"), F.col(f"_b.{anchor}"), lower, upper, unit, closed)
+    for k, ek in zip(keys, ekeys):
+        cond = (F.col(f"_b.{k}") == F.col(f"_e.{ek}")) & cond
     return b.join(e, cond, how)
 
 

@@ -306,3 +306,188 @@ def w35(spark, sf_dir):
     return select_except(c, ["first_payment_date", "trial_start_date", "trial_end_date", "last_touch_signup_date",
                              "day_diff_first_payment_exp_conversion_date", "non_profit_effective_date"],
                          last=["signup_date"])
+
+
+# ---- activation -----------------------------------------------------------------------------
+
+@query("m03_activation_funnel")
+def m03(spark, sf_dir):
+    from paidpath.plans.activation import activation_funnel
+    t = Catalog(spark, sf_dir)
+    return activation_funnel(B.ecomm_customers(t), B.buy_now_events(t), B.product_events(t), B.discovery_events(spark),
+                             B.meaningful_activity(spark), B.authentication_events(t), B.trial_to_paying(t))
+
+
+@query("w09_cross_categories")
+def w09(spark, sf_dir):
+    from paidpath.plans.activation import OVERALL, activation_customers
+    from paidpath.operators.spines import cross_categories
+    t = Catalog(spark, sf_dir)
+    cust = activation_customers(B.ecomm_customers(t), B.buy_now_events(t)).select("member_id")
+    return cross_categories(cust, ["analytics", "composer", "inbox", "planner"], OVERALL)
+
+
+def _signup_anchors(t: Catalog):
+    return B.first_signups(t)
+
+
+@query("w05_first_event_after")
+def w05(spark, sf_dir):
+    from pyspark.sql import functions as F
+    from paidpath.operators.events import first_event_after
+    t = Catalog(spark, sf_dir)
+    ev = B.product_events(t).filter(F.col("event") == "purchase").select("actor_id", "timestamp")
+    return first_event_after(_signup_anchors(t), ev, "member_id", "signup_ts", 29, out="first_purchase",
+                             event_key="actor_id")
+
+
+@query("w10_events_in_window")
+def w10(spark, sf_dir):
+    from pyspark.sql import functions as F
+    from paidpath.operators.events import events_in_window
+    t = Catalog(spark, sf_dir)
+    ev = B.product_events(t).select("event_id", "actor_id", "event", "timestamp")
+    j = events_in_window(_signup_anchors(t), ev, "member_id", "signup_ts", 0, 3, closed="left",
+                         event_key="actor_id")
+    return j.select(F.col("_b.member_id").alias("member_id"), "_e.event_id", "_e.event", "_e.timestamp")
+
+
+@query("w16_breadth_in_window")
+def w16(spark, sf_dir):
+    from pyspark.sql import functions as F
+    from paidpath.functions.rules import social_network_family
+    from paidpath.operators.events import breadth_in_window, events_in_window
+    t = Catalog(spark, sf_dir)
+    ev = B.product_events(t).select("actor_id", "timestamp", "social_network_type")
+    j = events_in_window(_signup_anchors(t), ev, "member_id", "signup_ts", 0, 72, unit="hour",
+                         event_key="actor_id")
+    return breadth_in_window(j, [F.col("_b.member_id").alias("member_id")],
+                             social_network_family(F.col("_e.social_network_type")), "families")
+
+
+@query("w25_normalise_category")
+def w25(spark, sf_dir):
+    from pyspark.sql import functions as F
+    from paidpath.functions.rules import social_network_family
+    e = B.product_events(Catalog(spark, sf_dir))
+    return e.select("social_network_type", social_network_family("social_network_type").alias("family")).distinct()
+
+
+# ---- experiments ----------------------------------------------------------------------------
+
+def _facts(t: Catalog):
+    return {f"{k}_{'paid' if p else 'free'}": B.onboarding_facts(t, k, p)
+            for k in ("setup", "habit", "aha") for p in (True, False)}
+
+
+@query("m06_experiment_monitoring")
+def m06(spark, sf_dir):
+    from paidpath.plans.experiments import experiment_monitoring
+    t = Catalog(spark, sf_dir)
+    return experiment_monitoring(
+        B.experiment_cohorts(t), B.experiment_event_log(t), B.ecomm_customers(t), B.free_to_trial(t), B.members(t),
+        B.products(spark), B.social_networks(t), B.trial_to_paying(t), _facts(t), B.invoice_payments(t),
+        B.first_payments(t), B.engagement_days(t), B.MEANINGFUL_NAMES, B.AS_OF_EVENTS)
+
+
+@query("w23_experiment_audience")
+def w23(spark, sf_dir):
+    from pyspark.sql import functions as F
+    from paidpath.functions.rules import experiment_audience
+    t = Catalog(spark, sf_dir)
+    a = B.experiment_cohorts(t).select(F.lit("cohort").alias("source"), "experiment")
+    ev = B.experiment_event_log(t).filter(F.col("event") == "experiment_started")
+    b = ev.select(F.lit("event").alias("source"), F.get_json_object("data", "$.additional_data.id").alias("experiment"))
+    x = a.unionByName(b).distinct()
+    return x.withColumn("experiment_audience", F.when(F.col("source") == "cohort", experiment_audience("experiment", "cohort"))
+                        .otherwise(experiment_audience("experiment", "event")))
+
+
+@query("w29_experiment_window")
+def w29(spark, sf_dir):
+    from paidpath.plans.experiments import experiment_window, exposures, first_exposures
+    t = Catalog(spark, sf_dir)
+    expo = exposures(B.experiment_cohorts(t), B.experiment_event_log(t))
+    return experiment_window(first_exposures(expo, B.ecomm_customers(t), B.free_to_trial(t)))
+
+
+@query("w26_week_bucket")
+def w26(spark, sf_dir):
+    from paidpath.functions.rules import week_bucket
+    s = B.first_signups(Catalog(spark, sf_dir))
+    return s.withColumn("experiment_week", week_bucket("signup_ts", B.AS_OF_EVENTS))
+
+
+@query("w28_tri_state")
+def w28(spark, sf_dir):
+    from pyspark.sql import functions as F
+    from paidpath.functions.rules import tri_state
+    t = Catalog(spark, sf_dir)
+    tp = B.trial_to_paying(t).select("member_id", "converted", F.lit(True).alias("_tp"))
+    j = B.customers(t).select("member_id").join(tp, "member_id", "left")
+    return j.select("member_id", tri_state(F.col("_tp").isNotNull(), F.col("converted") == 1).alias("converted"))
+
+
+def _anchored_pairs(t: Catalog, hours: int):
+    from pyspark.sql import functions as F
+    from paidpath.operators.events import events_in_window
+    ev = B.experiment_event_log(t).select("actor_id", "event", "timestamp", "social_network_id")
+    j = events_in_window(B.first_signups(t), ev, "member_id", "signup_ts", 0, hours, unit="hour",
+                         event_key="actor_id")
+    return j.select(F.col("_b.member_id").alias("member_id"), "_b.signup_ts", "_e.event", "_e.timestamp",
+                    "_e.social_network_id")
+
+
+@query("w11_conditional_counts")
+def w11(spark, sf_dir):
+    from pyspark.sql import functions as F
+    from paidpath.operators.events import conditional_counts
+    from paidpath.plans.experiments import ANALYTICS_EVENTS, COMPOSER_EVENTS, PLANNER_EVENTS, PUBLISHER_EVENT
+    p = _anchored_pairs(Catalog(spark, sf_dir), 119)
+    e = F.col("event")
+    return conditional_counts(p, ["member_id"], {
+        "publisher": e == PUBLISHER_EVENT, "composer": e.isin(*COMPOSER_EVENTS),
+        "planner": e.isin(*PLANNER_EVENTS), "analytics": e.isin(*ANALYTICS_EVENTS)})
+
+
+@query("w13_distinct_before_marker")
+def w13(spark, sf_dir):
+    from pyspark.sql import functions as F
+    from paidpath.operators.events import distinct_before_marker
+    from paidpath.plans.experiments import ADD_NETWORK_PREFIX, DASHBOARD_EVENT, STEAL_SUFFIX
+    p = _anchored_pairs(Catalog(spark, sf_dir), 29 * 24)
+    markers = p.filter(F.col("event") == DASHBOARD_EVENT).groupBy("member_id").agg(F.min("timestamp").alias("marker"))
+    adds = p.filter(F.col("event").startswith(ADD_NETWORK_PREFIX) | F.col("event").endswith(STEAL_SUFFIX))
+    return distinct_before_marker(adds, markers, "member_id", "timestamp", "marker", "social_network_id",
+                                  "networks_added")
+
+
+@query("w14_day_bucket_retention")
+def w14(spark, sf_dir):
+    from pyspark.sql import functions as F
+    from paidpath.operators.events import day_bucket_counts
+    p = _anchored_pairs(Catalog(spark, sf_dir), 29 * 24)
+    p = p.filter(F.col("event").isin(*B.MEANINGFUL_NAMES))
+    return day_bucket_counts(p, ["member_id"], "signup_ts", "timestamp",
+                             {"w1": (0, 6), "w2": (7, 13), "w3": (14, 20)})
+
+
+@query("w15_active_days_in_window")
+def w15(spark, sf_dir):
+    from paidpath.operators.events import active_days_in_window
+    t = Catalog(spark, sf_dir)
+    base = B.first_signups(t).withColumnRenamed("signup_ts", "anchor")
+    from pyspark.sql import functions as F
+    base = base.withColumn("anchor", F.date_trunc("day", "anchor"))
+    return active_days_in_window(base, B.engagement_days(t), "member_id", "anchor", 29, "activity_date_utc")
+
+
+@query("w30_first_refund")
+def w30(spark, sf_dir):
+    from pyspark.sql import functions as F
+    from paidpath.operators.revenue import first_refund
+    t = Catalog(spark, sf_dir)
+    p = B.invoice_payments(t)
+    base = p.groupBy("member_id").agg(F.min("payment_date").alias("trial_start_date")).join(
+        B.first_payments(t), "member_id", "left")
+    return first_refund(p, base, "member_id", "trial_start_date", "first_overall_payment")

@@ -259,7 +259,8 @@ def product_events(t: Catalog) -> DataFrame:
         F.when(k < 20, "facebook_page").when(k < 40, "Instagram_Business").when(k < 55, "linkedin_company")
          .when(k < 70, "twitter").when(k < 80, "HSApp_internal").alias("social_network_type"),
         (F.col("user_id") * 100 + F.floor(k / 10)).cast("bigint").alias("social_network_id"),
-        F.when(v < 5, "EMPLOYEE").when(v > 300, None).otherwise("PRO_PLAN").alias("member_effective_product_code"),
+        F.when(v < 5, "EMPLOYEE").when(v > 300, None).when(v < 150, "PRO_PLAN").otherwise("TEAM_PLAN")
+         .alias("member_effective_product_code"),
         F.when(v > 300, None).otherwise("pro").alias("member_max_plan"),
         F.col("props").alias("data"),
     )
@@ -363,3 +364,149 @@ def invoice_items(t: Catalog) -> DataFrame:
         F.when(F.col("l_returnflag") == "R", F.date_sub(ship, 10)).alias("subscription_cancel_date"),
         F.col("l_linestatus").alias("billing_system"),
     )
+
+
+# ---- activation inputs ------------------------------------------------------------------
+
+def buy_now_events(t: Catalog) -> DataFrame:
+    e = t("events", ["user_id", "ts", "event_type", "value"]).filter(F.col("event_type") == "purchase")
+    return e.select(F.col("user_id").alias("member_id"), F.col("ts").alias("timestamp"),
+                    (F.col("value") > 100).alias("is_buy_now"))
+
+
+def authentication_events(t: Catalog) -> DataFrame:
+    e = product_events(t)
+    return e.select(F.col("actor_id").alias("member_id"), "timestamp", "social_network_type",
+                    F.when(F.col("event") != "error", "success").otherwise("failure").alias("authentication_result"),
+                    F.when(F.col("event").isin("signup", "click", "view"), "authentication").otherwise("reauth")
+                     .alias("authentication_type"))
+
+
+def trial_to_paying(t: Catalog) -> DataFrame:
+    """Conversion per member with a purchase: converted when any purchase is above 200."""
+    e = t("events", ["user_id", "event_type", "value"]).filter(F.col("event_type") == "purchase")
+    return e.groupBy(F.col("user_id").alias("member_id")).agg(
+        F.max(F.col("value") > 200).alias("is_converted"),
+        F.max(F.when(F.col("value") > 200, 1).otherwise(0)).alias("converted"))
+
+
+# ---- experiment inputs --------------------------------------------------------------------
+# Fixed values of the binding: a detailed product-event vocabulary. Each generic event
+# type maps to ten names, picked by ``k mod 10`` of the event's props.
+EVENT_NAME_VOCABULARY = {
+    "signup": ["experiment_started", "finish_connecting_sn", "user_clicks_continue_button",
+               "account_setup_user_click_skip_button", "user_clicks_add_more_later", "add_social_network_twitter",
+               "add_social_network_facebook", "instagram_add_start", "instagrambusiness_add_start",
+               "facebook_steal_success"],
+    "view": ["web.dashboard.load", "content_planner_opened", "analytics_app_loaded", "open_new_compose",
+             "compose_new_message_from_source_page", "new_post_clicked", "open_legacy_compose", "new_pin_clicked",
+             "stream_user_clicked_schedule_cta", "user_clicks_new_post"],
+    "click": ["dashboard_planner_clicked", "dashboard_new_analytics_clicked", "dashboard_streams_clicked",
+              "dashboard_publisher_clicked", "user_clicks_add_sn_button_instagram", "instagram_reauth_start",
+              "add_team_member", "compose_new_message", "new_story_clicked", "open_new_compose_pinterest"],
+    "purchase": ["message_published", "add_team_member", "open_new_compose_from_template",
+                 "compose_new_message_for_network", "open_new_compose_instagramstory", "instagram_steal_start",
+                 "instagrambusiness_steal_start", "instagrambusiness_reauth_start", "web.dashboard.load",
+                 "content_planner_opened"],
+    "error": ["message_send_failed", "drop_stream", "add_stream", "drop_social_network_x", "twitter_steal_success",
+              "web.dashboard.load", "dashboard_streams_clicked", "analytics_app_loaded", "dashboard_planner_clicked",
+              "new_post_clicked"],
+}
+# Experiment names exposed through the cohort table and through the event stream,
+# picked by ``(k div 10) mod 6``.
+COHORT_EXPERIMENTS = ["EX_HOME", "GRW_SS_ONB", "GRW_FREE_TRIAL", "GRW_SS_ACT_1", "sitewide_banner", "ca_pricing"]
+STREAM_EXPERIMENTS = ["ex_home", "ACT_SETUP", "ENG_FEED", "grw_ss_act_1", "PNC_CHECKOUT", "other_test"]
+# Detailed events that count as meaningful activity.
+MEANINGFUL_NAMES = ["message_published", "web.dashboard.load", "content_planner_opened", "analytics_app_loaded",
+                    "open_new_compose", "dashboard_streams_clicked"]
+
+
+def _pick(names: list[str], idx: Column) -> Column:
+    return F.element_at(F.array(*[F.lit(n) for n in names]), idx + 1)
+
+
+def experiment_event_log(t: Catalog) -> DataFrame:
+    """Product events with detailed names and a JSON payload (experiment id, variation,
+    source page)."""
+    e = product_events(t)
+    k = F.get_json_object("data", "$.k").cast("int")
+    name = F.lit(None).cast("string")
+    for et, names in EVENT_NAME_VOCABULARY.items():
+        name = F.when(F.col("event") == et, _pick(names, F.pmod(k, F.lit(10)))).otherwise(name)
+    exp_idx = F.pmod(F.floor(k / 10), F.lit(6)).cast("int")
+    payload = F.to_json(F.struct(F.struct(
+        _pick(STREAM_EXPERIMENTS, exp_idx).alias("id"),
+        F.concat(F.lit("v"), F.pmod(k, F.lit(2)).cast("string")).alias("variation"),
+        F.when(k < 50, "planner").otherwise("dashboard").alias("sourcePage")).alias("additional_data")))
+    return e.select("event_id", "actor_id", name.alias("event"), "timestamp", "social_network_id",
+                    "member_effective_product_code", "member_max_plan", payload.alias("data"),
+                    F.col("event").alias("event_type"), k.alias("k"))
+
+
+def experiment_cohorts(t: Catalog) -> DataFrame:
+    """Cohort-table exposures: every view and click event exposes its member."""
+    e = t("events", ["user_id", "ts", "event_type", "props"]).filter(F.col("event_type").isin("view", "click"))
+    k = F.get_json_object("props", "$.k").cast("int")
+    return e.select(F.col("user_id").alias("member_id"),
+                    _pick(COHORT_EXPERIMENTS, F.pmod(F.floor(k / 10), F.lit(6)).cast("int")).alias("experiment"),
+                    F.concat(F.lit("v"), F.pmod(k, F.lit(2)).cast("string")).alias("variant"),
+                    F.to_date("ts").alias("date"))
+
+
+def free_to_trial(t: Catalog) -> DataFrame:
+    c = customers(t).filter(F.col("trial_type") == "upgrade")
+    s = first_signups(t)
+    return c.join(s, "member_id").select("member_id", "signup_source", "acquisition_source",
+                                         F.col("signup_ts").alias("free_signup_date"))
+
+
+def social_networks(t: Catalog) -> DataFrame:
+    e = product_events(t).filter(F.col("social_network_type").isNotNull())
+    return e.select(F.col("actor_id").alias("owner_member_id"), "social_network_id").distinct()
+
+
+def first_payments(t: Catalog) -> DataFrame:
+    p = invoice_payments(t).filter(F.col("amount_in_usd") > 0)
+    return p.groupBy("member_id").agg(F.min("payment_date").alias("first_overall_payment"))
+
+
+def engagement_days(t: Catalog) -> DataFrame:
+    e = experiment_event_log(t).filter(F.col("event").isin(*MEANINGFUL_NAMES))
+    return e.select(F.col("actor_id").alias("member_id"), F.to_date("timestamp").alias("activity_date_utc")).distinct()
+
+
+def _user_facts(t: Catalog) -> DataFrame:
+    e = product_events(t)
+    c = lambda cond: F.count_if(cond)
+    return e.groupBy(F.col("actor_id").alias("member_id")).agg(
+        c(F.col("event") == "purchase").alias("n_purchase"), c(F.col("event") == "view").alias("n_view"),
+        c(F.col("event") == "click").alias("n_click"), c(F.col("event") == "error").alias("n_error"),
+        c(F.col("event") == "signup").alias("n_signup"),
+        F.count_distinct("social_network_type").alias("n_networks"),
+        c(F.col("social_network_type") == "facebook_page").alias("n_facebook"),
+        c(F.col("social_network_type") == "Instagram_Business").alias("n_instagram"),
+        c(F.col("social_network_type") == "twitter").alias("n_twitter"))
+
+
+def onboarding_facts(t: Catalog, kind: str, paid: bool) -> DataFrame:
+    """Setup / habit / aha fact tables; 'paid' tables hold members with a purchase, 'free'
+    tables the others."""
+    f = _user_facts(t)
+    f = f.filter(F.col("n_purchase") > 0) if paid else f.filter(F.col("n_purchase") == 0)
+    if kind == "setup":
+        return f.select("member_id", (F.col("n_click") >= 5).alias("setup_moment"),
+                        (F.col("n_view") > 10).alias("opened_composer_24h"),
+                        F.col("n_networks").cast("int").alias("count_social_profiles_added_24h"),
+                        F.col("n_facebook").cast("int").alias("count_facebook_pages_added_24h"),
+                        (F.col("n_instagram") - 5).cast("int").alias("count_igb_direct_publish_added_24h"),
+                        F.col("n_instagram").cast("int").alias("count_any_instagram_added_24h"),
+                        (F.col("n_twitter") - 8).cast("int").alias("count_twitter_added_24h"))
+    if kind == "habit":
+        return f.select("member_id", (F.col("n_view") >= 12).alias("habit_moment"),
+                        F.col("n_view").cast("int").alias("count_messages_published_28d"),
+                        F.col("n_click").cast("int").alias("count_streams_scrolls_28d"),
+                        F.col("n_error").cast("int").alias("count_edits_planner_28d"))
+    return f.select("member_id", (F.col("n_signup") >= 14).alias("aha_moment"),
+                    (F.col("n_signup") - 12).cast("int").alias("count_messages_published_5d"),
+                    (F.col("n_click") - 13).cast("int").alias("count_streams_scrolls_5d"),
+                    (F.col("n_error") - 14).cast("int").alias("count_edits_planner_5d"))
