@@ -491,3 +491,96 @@ def w30(spark, sf_dir):
     base = p.groupBy("member_id").agg(F.min("payment_date").alias("trial_start_date")).join(
         B.first_payments(t), "member_id", "left")
     return first_refund(p, base, "member_id", "trial_start_date", "first_overall_payment")
+
+
+# ---- cohorts and catalogue models -------------------------------------------------------------
+
+def _retention(t: Catalog):
+    from paidpath.plans.cohorts import year_later_retention
+    return year_later_retention(B.paid_months(t), B.shipment_activity(t), B.AS_OF_ORDERS)
+
+
+@query("m15_year_later_retention")
+def m15(spark, sf_dir):
+    return _retention(Catalog(spark, sf_dir))
+
+
+@query("m01_weekly_activity_cohorts")
+def m01(spark, sf_dir):
+    from paidpath.plans.cohorts import weekly_activity_cohorts
+    t = Catalog(spark, sf_dir)
+    r = _retention(t)
+    return weekly_activity_cohorts(B.daily_paying_customers(t), B.shipment_weeks(t), B.shipment_activity(t),
+                                   B.customers(t), r, r, B.AS_OF_ORDERS)
+
+
+@query("m11_daily_active_paying_customers")
+def m11(spark, sf_dir):
+    from paidpath.plans.cohorts import daily_active_paying_customers
+    t = Catalog(spark, sf_dir)
+    return daily_active_paying_customers(B.daily_paying_customers(t), B.shipment_days(t), _retention(t))
+
+
+@query("m12_monthly_active_paying_customers")
+def m12(spark, sf_dir):
+    from paidpath.plans.cohorts import monthly_active_paying_customers
+    t = Catalog(spark, sf_dir)
+    return monthly_active_paying_customers(B.paid_months(t), B.customers(t), B.shipment_activity(t), _retention(t))
+
+
+@query("m13_paid_base_seats")
+def m13(spark, sf_dir):
+    from paidpath.plans.cohorts import paid_base_seats
+    t = Catalog(spark, sf_dir)
+    return paid_base_seats(B.event_paid_months(t), B.org_memberships(t), B.organizations(t),
+                           B.event_monthly_activity(t), B.customers(t))
+
+
+@query("m14_cohorts_monthly")
+def m14(spark, sf_dir):
+    from paidpath.plans.cohorts import cohorts_monthly
+    t = Catalog(spark, sf_dir)
+    return cohorts_monthly(B.paid_months(t), B.ecomm_customers(t), B.shipment_activity(t))
+
+
+@query("w18_rolling_active_count")
+def w18(spark, sf_dir):
+    from paidpath.plans.cohorts import monthly_rolling_activity, weekly_paying_members
+    t = Catalog(spark, sf_dir)
+    return monthly_rolling_activity(weekly_paying_members(B.daily_paying_customers(t)), B.shipment_activity(t))
+
+
+@query("w21_activity_risk")
+def w21(spark, sf_dir):
+    from pyspark.sql import functions as F
+    from paidpath.functions.rules import activity_risk
+    from paidpath.operators.rolling import previous_values, rolling_active_count
+    e = Catalog(spark, sf_dir)("events", ["user_id", "ts", "event_type"])
+    wk = e.groupBy(F.col("user_id").alias("member_id"), F.date_trunc("week", "ts").cast("date").alias("week")).agg(
+        F.when(F.count_if(F.col("event_type") == "purchase") > 0, 1).otherwise(0).alias("active"))
+    wk = rolling_active_count(wk, "active", ["member_id"], ["week"], 3, "w3")
+    wk = rolling_active_count(wk, "active", ["member_id"], ["week"], 8, "m2")
+    wk = rolling_active_count(wk, "active", ["member_id"], ["week"], 52, "m12")
+    wk = previous_values(wk, ["active"], ["member_id"], ["week"], prefix="prev_")
+    return wk.select("member_id", "week", "active",
+                     activity_risk("active", "prev_active", "w3", "m2", "m12").alias("activity_retention_cohort"))
+
+
+@query("w38_as_of_bounds")
+def w38(spark, sf_dir):
+    from pyspark.sql import functions as F
+    from paidpath.functions.calendar import last_complete_month_start, last_complete_week_start
+    e = Catalog(spark, sf_dir)("events", ["ts"])
+    wk = e.select(F.date_trunc("week", "ts").cast("date").alias("period")).filter(
+        F.col("period") <= last_complete_week_start(B.AS_OF_EVENTS))
+    mo = e.select(F.trunc("ts", "month").alias("period")).filter(
+        F.col("period") <= last_complete_month_start(B.AS_OF_EVENTS))
+    return (wk.groupBy("period").agg(F.count("*").alias("events")).withColumn("grain", F.lit("week"))
+              .unionByName(mo.groupBy("period").agg(F.count("*").alias("events")).withColumn("grain", F.lit("month"))))
+
+
+@query("w27_email_domain")
+def w27(spark, sf_dir):
+    from paidpath.functions.rules import email_domain
+    c = B.customers(Catalog(spark, sf_dir))
+    return c.select("member_id", "email", email_domain("email", B.OWN_EMAIL_DOMAIN).alias("email_domain"))

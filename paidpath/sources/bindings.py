@@ -510,3 +510,59 @@ def onboarding_facts(t: Catalog, kind: str, paid: bool) -> DataFrame:
                     (F.col("n_signup") - 12).cast("int").alias("count_messages_published_5d"),
                     (F.col("n_click") - 13).cast("int").alias("count_streams_scrolls_5d"),
                     (F.col("n_error") - 14).cast("int").alias("count_edits_planner_5d"))
+
+
+# ---- paying members over time (orders) ------------------------------------------------------
+
+def daily_paying_customers(t: Catalog) -> DataFrame:
+    """Member x paid day with plan, interval and customer segments."""
+    o = t("orders", ["o_custkey", "o_orderdate", "o_orderpriority", "o_orderstatus"]).select(
+        F.col("o_custkey").alias("member_id"), F.to_date("o_orderdate").alias("date"),
+        F.col("o_orderpriority").alias("plan"), F.col("o_orderstatus").alias("billing_interval")).distinct()
+    c = customers(t).select("member_id", "market", "country", "trial_type", "trial_length", "acquisition_source",
+                            "signup_source", "is_tier_1_icp_member", "icp_tiers")
+    return o.join(c, "member_id")
+
+
+def paid_months(t: Catalog) -> DataFrame:
+    """Member x paid month with plan, interval, MRR and billing currency."""
+    pb = paid_base_by_member(t)
+    m = mrr_by_member(t)
+    cur = customers(t).select("member_id", F.when(F.col("market") == "EUROPE", "EUR").otherwise("USD").alias("currency"))
+    return pb.join(m, ["member_id", "date"], "left").join(cur, "member_id", "left")
+
+
+def shipment_days(t: Catalog) -> DataFrame:
+    li = t("lineitem", ["l_orderkey", "l_shipdate"])
+    o = t("orders", ["o_orderkey", "o_custkey"])
+    return (li.join(o, li.l_orderkey == o.o_orderkey)
+              .select(F.col("o_custkey").alias("member_id"), F.to_date("l_shipdate").alias("activity_date")).distinct())
+
+
+def shipment_weeks(t: Catalog) -> DataFrame:
+    return (shipment_days(t).select("member_id", F.date_trunc("week", "activity_date").cast("date")
+                                    .alias("week_of_activity")).distinct()
+            .withColumn("is_active", F.lit(True)))
+
+
+# ---- seats (events) ---------------------------------------------------------------------------
+
+def event_paid_months(t: Catalog) -> DataFrame:
+    """Members paying in a month: purchase events; plan = highest product code seen."""
+    e = product_events(t).filter(F.col("event") == "purchase")
+    g = e.groupBy(F.col("actor_id").alias("member_id"), F.trunc("timestamp", "month").alias("date")).agg(
+        F.max("member_effective_product_code").alias("plan"))
+    return g.select("member_id", "date", "plan", F.lit("monthly").alias("billing_interval"),
+                    F.lit("USD").alias("currency"))
+
+
+def org_memberships(t: Catalog) -> DataFrame:
+    e = product_events(t).filter(F.col("organization_id").isNotNull())
+    return e.select("organization_id", F.col("actor_id").alias("member_id"),
+                    F.trunc("timestamp", "month").alias("month")).distinct()
+
+
+def event_monthly_activity(t: Catalog) -> DataFrame:
+    e = product_events(t).filter(F.col("event").isin("view", "click"))
+    return e.select(F.col("actor_id").alias("member_id"),
+                    F.trunc("timestamp", "month").alias("month_of_activity")).distinct()
