@@ -68,11 +68,15 @@ def weekly_activity_cohorts(daily_paying: DataFrame, weekly_active: DataFrame, m
     cr = customer_retention.select("member_id", F.col("date").alias("month"), "is_customer_retained",
                                    "is_customer_retained_and_active")
     rr = revenue_retention.select("member_id", F.col("date").alias("month"), "net_arr_retained", "gross_arr_retained")
+    if customer_retention is revenue_retention:      # one table feeds both: join it once
+        cr = customer_retention.select("member_id", F.col("date").alias("month"), *RETENTION_COLUMNS)
+        rr = None
     j = (w.join(monthly.select("member_id", "month", "twelve_month_rolling_active_count",
                                "two_month_rolling_active_count"), ["member_id", "month"], "left")
           .join(icp, "member_id", "left")
-          .join(cr, ["member_id", "month"], "left")
-          .join(rr, ["member_id", "month"], "left"))
+          .join(cr, ["member_id", "month"], "left"))
+    if rr is not None:
+        j = j.join(rr, ["member_id", "month"], "left")
     label = activity_risk("is_active_ind", "previous_week_is_active_ind", "three_week_rolling_active_count",
                           "two_month_rolling_active_count", "twelve_month_rolling_active_count")
     return j.select("member_id", "date", F.col("_icp").alias("icp_tiers"), "plan", "billing_interval", "market",

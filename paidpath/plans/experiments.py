@@ -21,6 +21,7 @@ from paidpath.functions.calendar import lit_date
 from paidpath.functions.rules import experiment_audience, threshold_flag, tri_state, week_bucket
 from paidpath.operators.events import active_days_in_window, events_in_window, shift
 from paidpath.operators.revenue import first_refund
+from paidpath.session import materialize
 
 # Event lists and names the read-out is defined on.
 EXPOSURE_EVENT = "experiment_started"
@@ -213,8 +214,10 @@ def event_measures(conv: DataFrame, event_log: DataFrame, products: DataFrame, m
                           "member_effective_product_code", "member_max_plan")
     pairs = events_in_window(anchors, ev, "member_id", "created_date_c", 0, 119, event_key="actor_id")
     pairs = pairs.select(F.col("_b.member_id").alias("member_id"), "_b.experiment", "_b.experiment_audience",
-                         "_b.created_date_c", "_e.event", "_e.timestamp", "_e.social_network_id", "_e.data",
+                         "_b.created_date_c", "_e.event", "_e.timestamp", "_e.social_network_id",
+                         F.get_json_object("_e.data", "$.additional_data.sourcePage").alias("source_page"),
                          "_e.member_effective_product_code", "_e.member_max_plan")
+    pairs = materialize(pairs, "experiment_pairs")   # read by five aggregates below
     ts, cr, evn = F.col("timestamp"), F.col("created_date_c"), F.col("event")
     in29 = ts <= shift(cr, 29, "day")
     d0w = ts < shift(cr, 1, "day")
@@ -233,7 +236,7 @@ def event_measures(conv: DataFrame, event_log: DataFrame, products: DataFrame, m
     d0 = d0w & evn.isin(*D0_EVENTS)
     d5 = d5w & evn.isin(*D5_EVENTS)
     d28 = d28w & evn.isin(*D28_EVENTS)
-    planner_page = F.get_json_object("data", "$.additional_data.sourcePage") == "planner"
+    planner_page = F.col("source_page") == "planner"
     engaged = (in29 & ~evn.isin(*ENGAGEMENT_EXCLUDED_EVENTS) & ~evn.startswith(ADD_NETWORK_STEM) &
                ~evn.startswith(DROP_NETWORK_STEM) & ~evn.endswith(STEAL_SUFFIX))
     per_member = pairs.groupBy("member_id").agg(
@@ -287,11 +290,13 @@ def experiment_monitoring(cohort_table: DataFrame, event_log: DataFrame, custome
                           payments: DataFrame, first_payments: DataFrame, engagement_days: DataFrame,
                           meaningful_events, as_of: dt.date, min_cohort: int = MIN_COHORT) -> DataFrame:
     """Distinct members per combination of the 58 read-out dimensions."""
-    expo = exposures(cohort_table, event_log)
+    # read by the first-exposure aggregate and both cohort branches, each pushing its own
+    # filter below the distinct (so no exchange reuse): write it once
+    expo = materialize(exposures(cohort_table, event_log), "exposures")
     firsts = first_exposures(expo, customers, free_to_trial)
     exps = experiment_window(firsts, min_cohort)
     coh = cohorts(expo, exps, customers, members, products, free_to_trial)
-    conv = conversions(coh, networks, trial_to_paying, firsts, facts, as_of)
+    conv = materialize(conversions(coh, networks, trial_to_paying, firsts, facts, as_of), "conversions")
     finish, dashboard, per_member, step2, ret = event_measures(conv, event_log, products, meaningful_events)
     activity = active_days_in_window(conv.select("member_id", "created_date_c"), engagement_days, "member_id",
                                      "created_date_c", 29, "activity_date_utc", out="regularity")

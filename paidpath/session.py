@@ -59,3 +59,18 @@ def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> s
         fallback = tempfile.mkdtemp(prefix="paidpath-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     sc.setCheckpointDir(fallback)
     return fallback
+
+
+def materialize(df, name: str = ""):
+    """Cut lineage at a reuse point: write ``df`` once under the shared checkpoint folder
+    (``spark.checkpoint.dir``) and read it back. Later consumers read the files instead of
+    re-running the plan, and a lost executor re-reads files instead of recomputing the
+    whole lineage. Never a machine-local checkpoint."""
+    ensure_checkpoint_dir(df.sparkSession)
+    if os.environ.get("PAIDPATH_TRACE"):
+        import time
+        t = time.time()
+        out = df.checkpoint(eager=True)
+        print(f"materialize {name}: {time.time() - t:.2f}s", flush=True)
+        return out
+    return df.checkpoint(eager=True)
