@@ -29,9 +29,7 @@ def previous_values(df: DataFrame, cols: Sequence[str], key: Sequence[str], orde
                     prefix: str = "last_", offset: int = 1) -> DataFrame:
     """Previous-row value of several columns (one window spec, one sort)."""
     w = Window.partitionBy(*key).orderBy(*order)
-    for c in cols:
-        df = df.withColumn(f"{prefix}{c}", F.lag(c, offset).over(w))
-    return df
+    return df.withColumns({f"{prefix}{c}": F.lag(c, offset).over(w) for c in cols})
 
 
 def calendar_rolling_sum(df: DataFrame, value: str, keys: Sequence[str], date: str,

@@ -18,10 +18,10 @@ from paidpath.operators.rolling import monthly_revenue
 
 # The twelve portfolios; the member total leaves out the last one.
 PRODUCTS = ["amplify", "analytics", "apps", "assignments", "authentication", "composer", "inbox", "planner",
-            "streams", "social_ads", "content", "hootdesk"]
+            "streams", "social_ads", "content", "helpdesk"]
 MEMBER_TOTAL_PRODUCTS = PRODUCTS[:-1]
 OUTPUT_ORDER = ["amplify", "analytics", "apps", "assignments", "authentication", "composer", "inbox", "planner",
-                "streams", "content", "social_ads", "hootdesk"]
+                "streams", "content", "social_ads", "helpdesk"]
 
 
 def _days_sum(cols):

@@ -200,10 +200,11 @@ def conversions(coh: DataFrame, networks: DataFrame, trial_to_paying: DataFrame,
         either("a_count_streams_scrolls_5d|af_count_streams_scrolls_5d", ">", 0).alias("d5_scrolled"),
         either("a_count_edits_planner_5d|af_count_edits_planner_5d", ">", 0).alias("d5_edited_planner"),
     )
-    out = (out.withColumn("d28_5_published_20_scrolled", _true(F.col("d28_5_msgs_published") & F.col("d28_20_scrolls")))
-              .withColumn("d28_5_published_5_edited", _true(F.col("d28_5_msgs_published") & F.col("d28_5_edits")))
-              .withColumn("d5_published_and_scrolled", _true(F.col("d5_published") & F.col("d5_scrolled")))
-              .withColumn("d5_published_and_edited", _true(F.col("d5_published") & F.col("d5_edited_planner"))))
+    out = out.withColumns({
+        "d28_5_published_20_scrolled": _true(F.col("d28_5_msgs_published") & F.col("d28_20_scrolls")),
+        "d28_5_published_5_edited": _true(F.col("d28_5_msgs_published") & F.col("d28_5_edits")),
+        "d5_published_and_scrolled": _true(F.col("d5_published") & F.col("d5_scrolled")),
+        "d5_published_and_edited": _true(F.col("d5_published") & F.col("d5_edited_planner"))})
     return out.distinct()
 
 

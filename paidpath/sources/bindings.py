@@ -306,7 +306,7 @@ def crm_organizations(t: Catalog) -> DataFrame:
 # ---- usage and revenue for ARR attribution ------------------------------------------------
 
 USAGE_PRODUCTS = ["amplify", "analytics", "apps", "assignments", "authentication", "composer", "inbox", "planner",
-                  "streams", "social_ads", "content", "hootdesk"]
+                  "streams", "social_ads", "content", "helpdesk"]
 # event type -> product whose day count it feeds (other products stay 0)
 USAGE_EVENT_PRODUCT = {"view": "composer", "click": "planner", "purchase": "analytics", "signup": "inbox",
                        "error": "streams"}
@@ -320,7 +320,7 @@ def monthly_usage(t: Catalog) -> DataFrame:
         F.get_json_object("data", "$.k").cast("int").alias("_k"))
     conds = {p: F.col("event").isin(*[ev for ev, q in USAGE_EVENT_PRODUCT.items() if q == p])
              for p in set(USAGE_EVENT_PRODUCT.values())}
-    conds["hootdesk"] = F.col("_k") >= 90
+    conds["helpdesk"] = F.col("_k") >= 90
     g = e.groupBy("organization_id", "member_id", "date_month").agg(
         *[F.count_distinct(F.when(c, F.col("day"))).cast("int").alias(f"{p}_days") for p, c in conds.items()])
     seg = F.when(F.col("organization_id") >= 1010, "enterprise").when(F.col("organization_id").isNotNull(), "smb")
