@@ -17,6 +17,7 @@ from paidpath.functions.rules import fold_inbox, fold_inbox_like, social_network
 from paidpath.operators.events import allow_listed_events, events_in_window
 from paidpath.operators.shape import select_except
 from paidpath.operators.spines import bounded_labels, cross_categories
+from paidpath.session import materialize
 
 OVERALL = "any_product"
 DROPPED_CUSTOMER_COLUMNS = ["first_payment_date", "trial_start_date", "trial_end_date", "last_touch_signup_date",
@@ -43,7 +44,8 @@ def activation_funnel(customers: DataFrame, buy_now: DataFrame, events: DataFram
     """M03. Activation follows the SQL (7 days, 2+ categories), not the catalogue text
     (T4); discovery keeps raw categories while the grid folds inbox, so inbox discovery
     never matches (T21)."""
-    cust = activation_customers(customers, buy_now)
+    # one row per customer, read by the grid, the setup window and the final joins: write once
+    cust = materialize(activation_customers(customers, buy_now), "activation_customers")
     ev = events.filter(F.col("timestamp") >= F.lit(EVENTS_SINCE))
     labels = sorted(set(bounded_labels(meaningful.select(fold_inbox("activity_category").alias("c")), "c")))
     grid = cross_categories(cust, labels, OVERALL)

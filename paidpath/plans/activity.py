@@ -3,8 +3,9 @@
 Plan shape, built for a hot member or org holding a third of all events:
 
 1. Events are filtered (allow-list join on a broadcast mapping, year and product-code
-   predicates pushed to the scan) and reduced *map-side* to one row per
-   member x month x category x day (distinct-event counts) plus one per distinct network.
+   predicates pushed to the scan) and reduced in one pass (map-side partial aggregation)
+   to one row per member x month x category x day x network, written once. The events
+   table is scanned exactly once.
 2. The organization and payer rules ("last organization of the member-month", "last
    organization of the payer-month", "last payer of the org-month") are ``max_by``
    aggregates over member-month summaries, joined back on equi keys. No window has to
@@ -23,6 +24,7 @@ from pyspark.sql import functions as F
 from paidpath.functions.calendar import current_month_start, lit_date
 from paidpath.functions.rules import surrogate_key
 from paidpath.functions.calendar import add_months_py, month_start
+from paidpath.session import materialize
 
 # Measure suffixes in output order, and the categories each one counts.
 LABELS = ["all", "composer", "planner", "analytics", "amplify", "any_inbox", "inbox_1", "inbox_2", "streams"]
@@ -69,17 +71,38 @@ def active_events(events: DataFrame, meaningful: DataFrame, as_of: dt.date | Non
         "organization_id")
 
 
-def resolve_groups(ev: DataFrame, organizations: DataFrame, customers: DataFrame) -> DataFrame:
-    """Per member-month: the (organization_id, member_id) group its events count under."""
-    mm = ev.groupBy("member_id", "month_of_activity").agg(
-        F.max_by("organization_id", F.struct("timestamp", "organization_id")).alias("org"),
-        F.max("timestamp").alias("last_ts"))
+def event_summary(ev: DataFrame) -> DataFrame:
+    """One pass over the events: distinct events (category, member, month, timestamp,
+    network) reduced to one row per member x month x category x day x network with the
+    event count, the latest timestamp and the organization of the latest event.
+
+    Both steps are hash aggregates with map-side partial aggregation; the result is far
+    smaller than the event table and is the only input of every later step."""
+    by_ts = (ev.groupBy("member_id", "month_of_activity", "activity_category", F.to_date("timestamp").alias("day"),
+                        "social_network_type", "timestamp")
+               .agg(F.max("organization_id").alias("organization_id")))
+    return (by_ts.groupBy("member_id", "month_of_activity", "activity_category", "day", "social_network_type")
+                 .agg(F.count("*").alias("n"), F.max("timestamp").alias("last_ts"),
+                      F.max_by("organization_id", "timestamp").alias("last_org")))
+
+
+def resolve_groups(summary: DataFrame, organizations: DataFrame, customers: DataFrame) -> DataFrame:
+    """Per member-month: the (organization_id, member_id) group its events count under.
+
+    last organization of the member-month (nulls kept), then the payer's last organization
+    of the month, then the organization's last payer of the month; ties on the timestamp
+    go to the larger id. All three are ``max_by`` aggregates over member-month rows."""
+    mm = summary.groupBy("member_id", "month_of_activity").agg(
+        F.max_by("last_org", F.struct("last_ts", "last_org")).alias("org"),
+        F.max("last_ts").alias("last_ts"))
     o = organizations.select(F.col("organization_id").alias("org"), "payment_member_id")
     c1 = customers.select(F.col("member_id").alias("payment_member_id"), F.col("member_id").alias("_c1"))
     c2 = customers.select("member_id", F.col("member_id").alias("_c2"))
     mm = (mm.join(o, "org", "left").join(c1, "payment_member_id", "left").join(c2, "member_id", "left")
-            .withColumn("payer", F.coalesce("_c1", "_c2"))
-            .withColumn("payer_key", F.coalesce("_c1", "_c2", "member_id")))
+            .select("member_id", "month_of_activity", "org", "last_ts",
+                    F.coalesce("_c1", "_c2").alias("payer"),
+                    F.coalesce("_c1", "_c2", "member_id").alias("payer_key")))
+    mm = materialize(mm, "member_months")      # read by both rule aggregates and the joins back
     key = ["payer_key", "month_of_activity"]
     org2 = (mm.filter(F.col("org").isNotNull()).groupBy(*key)
               .agg(F.max_by("org", F.struct("last_ts", "org")).alias("org2")))
@@ -100,27 +123,22 @@ def monthly_active_customers(events: DataFrame, meaningful: DataFrame, customers
     """Org-month and member-month activity with 9 flags, 9 event counts, 9 user
     counts, 9 day counts, networks and products, keyed by a surrogate key."""
     ev = active_events(events, meaningful, as_of, lookback_months if incremental else None)
-    groups = resolve_groups(ev, organizations, customers)
-    # distinct events (category, member, month, timestamp, network) counted per day
-    per_day = (ev.groupBy("member_id", "month_of_activity", "activity_category", F.to_date("timestamp").alias("day"))
-                 .agg(F.count_distinct(F.struct("timestamp", F.coalesce("social_network_type", F.lit("\u0000"))))
-                      .alias("n")))
+    summary = materialize(event_summary(ev), "event_summary")
+    groups = materialize(resolve_groups(summary, organizations, customers), "activity_groups")
     g = ["g_org", "g_member", "month_of_activity"]
-    x = per_day.join(groups, ["member_id", "month_of_activity"])
+    x = summary.join(groups, ["member_id", "month_of_activity"])
+    per_day = x.groupBy(*g, "member_id", "activity_category", "day").agg(F.sum("n").alias("n"))
     cat = F.col("activity_category")
     labels = F.array_compact(F.array(F.lit("all"), cat, F.when(cat.isin(*INBOX), F.lit("any_inbox"))))
-    per_label = (x.withColumn("label", F.explode(labels))
-                  .groupBy(*g, "label")
-                  .agg(F.sum("n").alias("events"), F.count_distinct("day").alias("days"),
-                       F.count_distinct("member_id").alias("users")))
+    per_label = (per_day.withColumn("label", F.explode(labels))
+                 .groupBy(*g, "label")
+                 .agg(F.sum("n").alias("events"), F.count_distinct("day").alias("days"),
+                      F.count_distinct("member_id").alias("users")))
     wide = per_label.groupBy(*g).pivot("label", LABELS).agg(
         F.first("events").alias("e"), F.first("days").alias("d"), F.first("users").alias("u"))
-    products = x.groupBy(*g).agg(F.count_distinct("activity_category").alias("count_products"))
-    nets = (ev.filter(F.col("social_network_type").isNotNull())
-              .select("member_id", "month_of_activity", "social_network_type").distinct()
-              .join(groups, ["member_id", "month_of_activity"])
-              .groupBy(*g).agg(F.count_distinct("social_network_type").alias("count_social_networks_used")))
-    out = join_null_safe(join_null_safe(wide, products, g, "inner"), nets, g, "left")
+    breadth = x.groupBy(*g).agg(F.count_distinct("activity_category").alias("count_products"),
+                                F.count_distinct("social_network_type").alias("count_social_networks_used"))
+    out = join_null_safe(wide, breadth, g, "inner")
 
     def z(c):
         return F.coalesce(F.col(c), F.lit(0)).cast("bigint")

@@ -20,6 +20,7 @@ from paidpath.functions.calendar import current_month_start, last_complete_week_
 from paidpath.functions.rules import activity_risk
 from paidpath.operators.pickers import top_per_group
 from paidpath.operators.rolling import previous_values, rolling_active_count
+from paidpath.session import materialize
 
 MONEY = "decimal(18,2)"
 SEGMENT_COLUMNS = ["plan", "billing_interval", "market", "country", "trial_type", "trial_length",
@@ -56,7 +57,7 @@ def weekly_activity_cohorts(daily_paying: DataFrame, weekly_active: DataFrame, m
                             customers: DataFrame, customer_retention: DataFrame, revenue_retention: DataFrame,
                             as_of: dt.date) -> DataFrame:
     """Member x paid week with segments, retention columns, activity and risk label."""
-    weekly = weekly_paying_members(daily_paying)
+    weekly = materialize(weekly_paying_members(daily_paying), "weekly_paying")   # read by both rollings
     monthly = monthly_rolling_activity(weekly, monthly_active)
     wa = weekly_active.select("member_id", F.col("week_of_activity").alias("date"), F.lit(1).alias("_w")).distinct()
     w = (weekly.join(wa, ["member_id", "date"], "left")

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from paidpath.functions.rules import tier_from_label
 from paidpath.operators.pickers import one_to_one_links, single_valued
+from paidpath.session import materialize
 
 
 def org_account_links(accounts: DataFrame, organizations: DataFrame) -> DataFrame:
@@ -45,6 +46,9 @@ def org_profiles(accounts: DataFrame, organizations: DataFrame, industry_map: Da
     the source (T7); we take ``max`` so duplicate account rows cannot make runs differ.
     Each account row joined to a resolved organization yields one output row, as in the
     source."""
+    # the account rows feed six aggregates and joins: write the needed columns once
+    accounts = materialize(accounts.select("id", "organisation_id__c", "icp_tier__c", "industry",
+                                           "no_of_employees__c", "billingcountry"), "crm_accounts")
     links = org_account_links(accounts, organizations)
     full = (accounts.filter(F.col("organisation_id__c").isNotNull())
             .select(F.col("organisation_id__c").cast("string").alias("organization_id"))

@@ -33,19 +33,20 @@ def test_nine_frames_share_one_window(spark, queries):
 
 
 def test_scans_are_pruned_and_filters_pushed(spark, queries):
-    df = queries["m07_monthly_active_customers"](spark, SMALL)
-    plan = _plan(df)
+    from paidpath.plans.activity import active_events, event_summary
+    from paidpath.sources import bindings as B
+    from paidpath.sources.tables import Catalog
+    t = Catalog(spark, SMALL)
+    summary = event_summary(active_events(B.product_events(t), B.meaningful_activity(spark)))
+    plan = _plan(summary)
     scans = [ln for ln in plan.splitlines() if "FileScan parquet" in ln]
-    assert scans
-    events_scans = [s for s in scans if "events.parquet" in s]
-    # the active-events scan carries the run-window predicate down to parquet
-    assert any("PushedFilters: [IsNotNull(ts), GreaterThanOrEqual(ts" in s for s in events_scans), events_scans
-    # no scan reads the whole table: events has 6 columns
-    for s in events_scans:
-        read = s.split("ReadSchema: struct<")[1]
-        assert read.count(":") < 6, s
-    li = _plan(queries["w01_latest_per_key"](spark, SMALL))
-    assert "ReadSchema" in li
+    assert len(scans) == 1                                     # the event table is read once
+    s = scans[0]
+    assert "PushedFilters: [IsNotNull(ts), GreaterThanOrEqual(ts" in s, s
+    assert s.split("ReadSchema: struct<")[1].count(":") < 6, s    # not all six columns
+    m08 = _plan(queries["m08_rolling_paid_base"](spark, SMALL))
+    orders = [ln for ln in m08.splitlines() if "FileScan parquet" in ln and "orders.parquet" in ln]
+    assert orders and all("o_orderkey" not in ln.split("ReadSchema")[1] for ln in orders)
 
 
 def test_waterfall_window_is_not_reshuffled(spark, queries):
