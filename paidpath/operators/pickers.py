@@ -6,22 +6,20 @@ Design note (scale): "one row per key, highest in this order" is written as an
 window. The aggregate gets a map-side partial aggregation, so each input partition is
 reduced to one row per key before the shuffle. A key holding a third of all rows then
 costs one row per map task in the shuffle instead of a third of the table sorted in a
-single window task.
+single window task. (With string fields in the struct Spark plans the partial step as a
+sort-based aggregate, which spills instead of failing; the shuffle still carries one row
+per key per map task.)
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 
-def _names(cols):
-    return [c if isinstance(c, str) else c for c in cols]
-
-
 def top_per_group(df: DataFrame, keys: Sequence[str], order_desc: Sequence[str],
                   payload: Sequence[str] | None = None) -> DataFrame:
     """One row per ``keys``: the row with the largest ``order_desc`` tuple.

@@ -21,7 +21,7 @@ import datetime as dt
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from paidpath.functions.calendar import current_month_start, lit_date
+from paidpath.functions.calendar import lit_date
 from paidpath.functions.rules import surrogate_key
 from paidpath.functions.calendar import add_months_py, month_start
 from paidpath.session import materialize
@@ -161,5 +161,5 @@ def recompute_cutoff(as_of: dt.date, lookback_months: int = 2):
     return lit_date(add_months_py(month_start(as_of), -lookback_months))
 
 
-__all__ = ["monthly_active_customers", "active_events", "resolve_groups", "output_columns", "LABELS",
-           "recompute_cutoff", "current_month_start"]
+__all__ = ["monthly_active_customers", "active_events", "event_summary", "resolve_groups", "output_columns",
+           "LABELS", "recompute_cutoff"]

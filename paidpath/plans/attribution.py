@@ -13,7 +13,7 @@ from operator import add
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from paidpath.operators.revenue import MONEY, allocate, cents
+from paidpath.operators.revenue import MONEY, allocate
 from paidpath.operators.rolling import monthly_revenue
 
 # The twelve portfolios; the member total leaves out the last one.
@@ -53,4 +53,4 @@ def arr_attribution(monthly_usage: DataFrame, enterprise_arr: DataFrame, member_
     return m.select("date_month", "member_id", "organization_id", "arr_attribution", *shares).distinct()
 
 
-__all__ = ["arr_attribution", "PRODUCTS", "MEMBER_TOTAL_PRODUCTS", "OUTPUT_ORDER", "cents"]
+__all__ = ["arr_attribution", "PRODUCTS", "MEMBER_TOTAL_PRODUCTS", "OUTPUT_ORDER"]

@@ -14,7 +14,6 @@ import datetime as dt
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from paidpath.functions.calendar import current_month_start, last_complete_week_start
 from paidpath.functions.rules import activity_risk
@@ -197,4 +196,4 @@ def cohorts_monthly(paid_months: DataFrame, customers: DataFrame, monthly_active
 
 
 __all__ = ["weekly_activity_cohorts", "year_later_retention", "daily_active_paying_customers",
-           "monthly_active_paying_customers", "paid_base_seats", "cohorts_monthly", "Window"]
+           "monthly_active_paying_customers", "paid_base_seats", "cohorts_monthly"]

@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from paidpath.functions.calendar import lit_date
-from paidpath.functions.rules import experiment_audience, threshold_flag, tri_state, week_bucket
+from paidpath.functions.rules import experiment_audience, tri_state, week_bucket
 from paidpath.operators.events import active_days_in_window, events_in_window, shift
 from paidpath.operators.revenue import first_refund
 from paidpath.session import materialize
