@@ -237,3 +237,44 @@ def test_m10_versions_and_nulls(spark):
     got = rows(out, "original_rate_plan_charge_id", "version", "next_renewal_date", "is_non_profit")
     assert got == [("c1", 2, D(2020, 2, 11), True), ("c2", 1, D(2020, 4, 1), False)]
     assert out.columns[-1] == "billing_system"
+
+
+# ---- M07: payer with two orgs, null product code, summary events ------------------------------
+
+def test_m07_payer_orgs_and_traps(spark):
+    from paidpath.plans.activity import monthly_active_customers
+    ev_schema = ("actor_id long, event string, timestamp timestamp_ntz, organization_id long, "
+                 "social_network_type string, member_effective_product_code string")
+    events = spark.createDataFrame([
+        (1, "compose", T(2024, 1, 3, 10), 10, "facebook", "PRO"),
+        (2, "compose", T(2024, 1, 5, 10), 20, "twitter", "PRO"),
+        (2, "plan", T(2024, 1, 5, 11), 20, "linkedin", None),               # null code: dropped (T10)
+        (2, "x_messages_summary", T(2024, 1, 6, 9), 20, "instagram", "PRO"),  # network dropped (T11)
+        (3, "messages_summary", T(2024, 1, 7, 9), None, "instagram", "PRO"),  # no char before: kept
+        (3, "compose", T(2024, 1, 7, 9), None, "instagram", "EMPLOYEE"),      # employee: dropped
+    ], ev_schema)
+    meaningful = spark.createDataFrame(
+        [("compose", "composer", True), ("plan", "planner", True), ("x_messages_summary", "inbox_1", True),
+         ("messages_summary", "inbox_2", True)], "event string, activity_category string, is_active_event boolean")
+    customers = spark.createDataFrame([(1,), (2,), (3,)], "member_id long")
+    orgs = spark.createDataFrame([(10, 1), (20, 1)], "organization_id long, payment_member_id long")
+    out = {(r.organization_id, r.member_id): r for r in
+           monthly_active_customers(events, meaningful, customers, orgs).collect()}
+    assert set(out) == {(20, 1), (None, 3)}
+    org = out[(20, 1)]                              # both members paid by member 1, last org 20
+    assert org.count_active_users == 2 and org.count_active_events == 3
+    assert org.count_planner_events == 0            # the null-code event is gone
+    assert org.count_any_inbox_events == 1 and org.is_active_inbox_1
+    assert org.count_social_networks_used == 2      # facebook, twitter; instagram masked
+    assert org.count_products == 2 and org.days_active == 3
+    solo = out[(None, 3)]
+    assert solo.count_active_events == 1 and solo.count_social_networks_used == 1 and solo.is_active_inbox_2
+
+
+# ---- M06 / W28: unknown conversion stays null -------------------------------------------------------
+
+def test_w28_unknown_is_null(spark):
+    from paidpath.functions.rules import tri_state
+    df = spark.createDataFrame([(True, 1), (True, 0), (False, None)], "present boolean, converted int")
+    got = [r[0] for r in df.select(tri_state(F.col("present"), F.col("converted") == 1)).collect()]
+    assert got == [True, False, None]

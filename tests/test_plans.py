@@ -53,3 +53,31 @@ def test_waterfall_window_is_not_reshuffled(spark, queries):
     """The member-month window and the 20-key aggregate share the member partitioning."""
     text = queries["m05_member_waterfall"](spark, SMALL)._jdf.queryExecution().sparkPlan().toString()
     assert "NestedLoopJoin" not in text
+
+
+def _expand_widths(plan: str) -> list[int]:
+    """Number of projections of every Expand node: ``Expand [[p1], [p2], ...], [output]``."""
+    widths = []
+    for ln in plan.splitlines():
+        i = ln.find("Expand [")
+        if i < 0:
+            continue
+        depth, n = 0, 0
+        for ch in ln[i + len("Expand "):]:
+            if ch == "[":
+                depth += 1
+                if depth == 2:
+                    n += 1
+            elif ch == "]":
+                depth -= 1
+                if depth == 0:
+                    break
+        widths.append(n)
+    return widths
+
+
+def test_monthly_activity_expand_is_narrow(spark, queries):
+    """M07's distinct counts expand each (pre-aggregated) row at most three ways."""
+    plan = queries["m07_monthly_active_customers"](spark, SMALL)._jdf.queryExecution().executedPlan().toString()
+    widths = _expand_widths(plan)
+    assert widths and max(widths) <= 3, widths
