@@ -57,7 +57,11 @@ def org_profiles(accounts: DataFrame, organizations: DataFrame, industry_map: Da
     props = accounts.groupBy(F.col("id").alias("account_id")).agg(
         F.max("icp_tier__c").alias("icp_tier__c"), F.max("industry").alias("industry__c"),
         F.max("no_of_employees__c").alias("no_of_employees__c"), F.max("billingcountry").alias("country"))
-    rows = links.join(accounts.select(F.col("id").alias("account_id")), "account_id", "left")
+    # one row per account row of the resolved account, as in the source. Written as inner +
+    # anti join rather than a left join: AQE can split a hot account on either side of an
+    # inner join, but only the preserved side of an outer join.
+    ids = accounts.select(F.col("id").alias("account_id"))
+    rows = links.join(ids, "account_id", "inner").unionByName(links.join(ids, "account_id", "left_anti"))
     base = (rows.join(props, "account_id", "left")
                 .join(F.broadcast(size_map), F.col("no_of_employees__c") == F.col("legacy_sf_emps"), "left")
                 .join(F.broadcast(industry_map), F.col("industry__c") == F.col("legacy_sf_industry"), "left")

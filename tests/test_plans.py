@@ -81,3 +81,13 @@ def test_monthly_activity_expand_is_narrow(spark, queries):
     plan = queries["m07_monthly_active_customers"](spark, SMALL)._jdf.queryExecution().executedPlan().toString()
     widths = _expand_widths(plan)
     assert widths and max(widths) <= 3, widths
+
+
+def test_top_row_pickers_aggregate_before_the_shuffle(spark, queries):
+    """W01/W02/W04 reduce each map partition to one row per key (partial aggregate below the
+    Exchange), so a hot key never lands whole in one task."""
+    for name, fn in [("w01_latest_per_key", "partial_max"), ("w02_top_payment_per_month", "partial_max"),
+                     ("w04_last_in_period", "partial_max_by")]:
+        plan = queries[name](spark, SMALL)._jdf.queryExecution().executedPlan().toString()
+        assert fn in plan, name
+        assert "Window" not in plan, name
