@@ -49,7 +49,7 @@ def org_profiles(accounts: DataFrame, organizations: DataFrame, industry_map: Da
     # the account rows feed six aggregates and joins: write the needed columns once
     accounts = materialize(accounts.select("id", "organisation_id__c", "icp_tier__c", "industry",
                                            "no_of_employees__c", "billingcountry"), "crm_accounts")
-    links = org_account_links(accounts, organizations)
+    links = materialize(org_account_links(accounts, organizations), "org_account_links")  # read twice below
     full = (accounts.filter(F.col("organisation_id__c").isNotNull())
             .select(F.col("organisation_id__c").cast("string").alias("organization_id"))
             .unionByName(organizations.select(F.col("organization_id__c").cast("string").alias("organization_id")))

@@ -495,14 +495,18 @@ def w30(spark, sf_dir):
 
 # ---- cohorts and catalogue models -------------------------------------------------------------
 
-def _retention(t: Catalog):
+def _retention(t: Catalog, written: bool = True):
+    """M15's output. Other models read it as an upstream table, so it is written once
+    (as a pipeline would persist it) instead of being re-derived inside each consumer."""
     from paidpath.plans.cohorts import year_later_retention
-    return year_later_retention(B.paid_months(t), B.shipment_activity(t), B.AS_OF_ORDERS)
+    from paidpath.session import materialize
+    r = year_later_retention(B.paid_months(t), B.shipment_activity(t), B.AS_OF_ORDERS)
+    return materialize(r, "year_later_retention") if written else r
 
 
 @query("m15_year_later_retention")
 def m15(spark, sf_dir):
-    return _retention(Catalog(spark, sf_dir))
+    return _retention(Catalog(spark, sf_dir), written=False)
 
 
 @query("m01_weekly_activity_cohorts")
