@@ -92,20 +92,34 @@ def year_later_retention(paid_months: DataFrame, monthly_active: DataFrame, as_o
 
     Our reading of the catalogue: both net and gross ARR retained are
     ``least(arr a year later, arr now)`` (the catalogue gives them the same definition,
-    "excludes expansion, includes contraction"); 0 when not retained."""
-    p = paid_months.select("member_id", "date", (F.col("mrr") * 12).alias("_arr"))
-    later = p.select("member_id", F.add_months("date", -12).alias("date"), F.col("_arr").alias("_arr_later"),
-                     F.lit(True).alias("_kept"))
+    "excludes expansion, includes contraction"); 0 when not retained.
+
+    Plan: no self-join. Each paid month is emitted as itself and re-dated a year earlier,
+    activity months are re-dated a year earlier, and one aggregate by (member, month)
+    lines them up (one shuffle, partial aggregation map-side)."""
+    arr = (F.col("mrr") * 12).cast("decimal(38,2)")
+    no_arr, no_flag = F.lit(None).cast("decimal(38,2)"), F.lit(None).cast("boolean")
+    copies = F.array(  # the month itself, and the same payment seen from a year earlier
+        F.struct(F.col("date").alias("date"), arr.alias("_arr"), no_arr.alias("_arr_later"),
+                 F.lit(True).alias("_now"), no_flag.alias("_kept")),
+        F.struct(F.add_months("date", -12).alias("date"), no_arr.alias("_arr"), arr.alias("_arr_later"),
+                 no_flag.alias("_now"), F.lit(True).alias("_kept")))
+    paid = (paid_months.select("member_id", F.explode(copies).alias("_c"))
+                       .select("member_id", "_c.*", no_flag.alias("_act_later")))
     act = monthly_active.select("member_id", F.add_months("month_of_activity", -12).alias("date"),
-                                F.lit(True).alias("_act_later")).distinct()
-    j = (p.filter(F.add_months("date", 12) < current_month_start(as_of))
-          .join(later, ["member_id", "date"], "left").join(act, ["member_id", "date"], "left"))
+                                no_arr.alias("_arr"), no_arr.alias("_arr_later"), no_flag.alias("_now"),
+                                no_flag.alias("_kept"), F.lit(True).alias("_act_later"))
+    rows = paid.unionByName(act).filter(F.add_months("date", 12) < current_month_start(as_of))
+    j = (rows.groupBy("member_id", "date")
+             .agg(F.max("_arr").alias("_arr"), F.max("_arr_later").alias("_arr_later"), F.max("_now").alias("_now"),
+                  F.max("_kept").alias("_kept"), F.max("_act_later").alias("_act_later"))
+             .filter(F.col("_now")))
     kept = F.col("_kept").isNotNull()
-    arr = F.when(kept, F.least("_arr", "_arr_later")).otherwise(F.lit(0)).cast(MONEY)
+    retained = F.when(kept, F.least("_arr", "_arr_later")).otherwise(F.lit(0)).cast(MONEY)
     return j.select("member_id", "date",
                     F.when(kept, 1).otherwise(0).alias("is_customer_retained"),
                     F.when(kept & F.col("_act_later").isNotNull(), 1).otherwise(0).alias("is_customer_retained_and_active"),
-                    arr.alias("net_arr_retained"), arr.alias("gross_arr_retained"))
+                    retained.alias("net_arr_retained"), retained.alias("gross_arr_retained"))
 
 
 # ---- M11, M12 ------------------------------------------------------------------------------
