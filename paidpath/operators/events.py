@@ -53,13 +53,28 @@ def _keys(key, event_key):
     return keys, ekeys
 
 
+def bound_to_anchor_range(events: DataFrame, base: DataFrame, anchor: str, lower: int, upper: int,
+                          unit: str = "day", ts: str = "timestamp") -> DataFrame:
+    """Keep only events inside [min(anchor) + lower, max(anchor) + upper].
+
+    The two bounds come from one scalar subquery over the (small) anchor side, evaluated at
+    run time, so events outside every window are dropped right after the scan and never
+    reach the shuffle. On a multi-year event log and a few months of anchors this removes
+    most of the join input. No rows leave the driver."""
+    rng = base.select(F.struct(F.min(anchor).alias("lo"), F.max(anchor).alias("hi")).alias("r")).scalar()
+    return events.filter((F.col(ts) >= shift(rng["lo"], lower, unit)) & (F.col(ts) <= shift(rng["hi"], upper, unit)))
+
+
 def events_in_window(base: DataFrame, events: DataFrame, key, anchor: str, lower: int, upper: int,
                      unit: str = "day", closed: str = "both", how: str = "inner", ts: str = "timestamp",
-                     event_key=None) -> DataFrame:
+                     event_key=None, prune: bool = True) -> DataFrame:
     """Pair each base row with the same member's events in [anchor+lower, anchor+upper]
     (upper open when ``closed='left'``). ``key``/``event_key`` may name several equi keys
-    (member and category); ``how='left'`` keeps base rows without events."""
+    (member and category); ``how='left'`` keeps base rows without events. With ``prune``
+    the events are first bounded to the anchors' overall time range (before the shuffle)."""
     keys, ekeys = _keys(key, event_key)
+    if prune:
+        events = bound_to_anchor_range(events, base, anchor, lower, upper, unit, ts)
     b, e = base.alias("_b"), events.alias("_e")
     cond = window_condition(F.col(f"_e.{ts}"), F.col(f"_b.{anchor}"), lower, upper, unit, closed)
     for k, ek in zip(keys, ekeys):
