@@ -32,11 +32,16 @@ def _exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(hpath)
 
 
-def full_refresh(df: DataFrame, path: str, partition_by: list[str] | None = None) -> DataFrame:
-    """Replace the whole table (TRUNCATE + INSERT) and return it read back."""
+def full_refresh(df: DataFrame, path: str | None = None, partition_by: list[str] | None = None,
+                 table: str | None = None) -> DataFrame:
+    """Replace the whole table (TRUNCATE + INSERT) and return it read back. Writes a
+    parquet location, or a catalog table when ``table`` is given."""
     w = df.write.mode("overwrite")
     if partition_by:
         w = w.partitionBy(*partition_by)
+    if table is not None:
+        w.saveAsTable(table)
+        return df.sparkSession.table(table)
     w.parquet(path)
     return df.sparkSession.read.parquet(path)
 

@@ -33,3 +33,21 @@ class Catalog:
 
 
 TableReader = Callable[[str, Sequence[str] | None], DataFrame]
+
+
+class TableCatalog:
+    """Reads tables registered in the session catalog (``spark.table``), optionally
+    qualified by a database / schema. Same call shape as :class:`Catalog`, so every
+    binding and model runs unchanged over metastore tables or views."""
+
+    def __init__(self, spark: SparkSession, database: str | None = None, names: dict | None = None):
+        self.spark = spark
+        self.database = database
+        self.names = names or {}        # role table -> physical table name, when they differ
+        self.sf_dir = None
+
+    def __call__(self, name: str, columns: Sequence[str] | None = None) -> DataFrame:
+        physical = self.names.get(name, name)
+        full = f"{self.database}.{physical}" if self.database else physical
+        df = self.spark.table(full)
+        return df.select(*columns) if columns else df
