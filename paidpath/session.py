@@ -84,12 +84,28 @@ def materialize(df, name: str = ""):
     """Cut lineage at a reuse point: write ``df`` once under the shared checkpoint folder
     (``spark.checkpoint.dir``) and read it back. Later consumers read the files instead of
     re-running the plan, and a lost executor re-reads files instead of recomputing the
-    whole lineage. Never a machine-local checkpoint."""
-    ensure_checkpoint_dir(df.sparkSession)
+    whole lineage. Never a machine-local checkpoint.
+
+    Default: ``DataFrame.checkpoint`` (reliable checkpoint into the checkpoint folder; with
+    ``spark.cleaner.referenceTracking.cleanCheckpoints`` the files go when the DataFrame
+    does). ``PAIDPATH_MATERIALIZE=parquet`` writes parquet instead: columnar and compressed,
+    and the read-back carries exact file sizes for broadcast decisions. It measured ~10%
+    slower on the small local intermediates (PLANS.md), and its files are not cleaned up
+    automatically."""
+    import uuid
+    spark = df.sparkSession
+    base = ensure_checkpoint_dir(spark)
+    t = None
     if os.environ.get("PAIDPATH_TRACE"):
         import time
         t = time.time()
+    if os.environ.get("PAIDPATH_MATERIALIZE", "rdd") != "parquet":
         out = df.checkpoint(eager=True)
+    else:
+        path = os.path.join(base, "materialized", f"{name or 'df'}-{uuid.uuid4().hex[:12]}")
+        df.write.mode("overwrite").parquet(path)
+        out = spark.read.parquet(path)
+    if t is not None:
+        import time
         print(f"materialize {name}: {time.time() - t:.2f}s", flush=True)
-        return out
-    return df.checkpoint(eager=True)
+    return out
