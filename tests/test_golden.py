@@ -278,3 +278,52 @@ def test_w28_unknown_is_null(spark):
     df = spark.createDataFrame([(True, 1), (True, 0), (False, None)], "present boolean, converted int")
     got = [r[0] for r in df.select(tri_state(F.col("present"), F.col("converted") == 1)).collect()]
     assert got == [True, False, None]
+
+
+# ---- M09: segments, zero totals, different product lists (T12) -------------------------------
+
+def test_m09_allocation_branches(spark):
+    from paidpath.plans.attribution import PRODUCTS, arr_attribution
+    cols = ", ".join(f"{p}_days int" for p in PRODUCTS)
+    def usage(org, member, seg, **days):
+        return (org, member, D(2024, 1, 1), seg, *[days.get(p, 0) for p in PRODUCTS])
+    u = spark.createDataFrame([
+        usage(1, 10, "enterprise", composer=2),                 # org 1: 2 + (6 planner + 2 helpdesk) = 10 days
+        usage(1, 11, "enterprise", planner=6, helpdesk=2),
+        usage(2, 20, "enterprise"),                             # org total 0 -> 0.00
+        usage(None, 30, None, inbox=3),                         # null segment -> enterprise branch, no org
+        usage(3, 40, "smb", analytics=1, streams=3),            # self-serve: own MRR x 12
+    ], f"organization_id long, member_id long, date_month date, segments string, {cols}")
+    ent = spark.createDataFrame([(1, D(2024, 1, 5), Decimal("60.00")), (1, D(2024, 1, 20), Decimal("40.00")),
+                                 (2, D(2024, 1, 2), Decimal("50.00"))], "organization_id long, date date, arr decimal(18,2)")
+    rev = spark.createDataFrame([(40, D(2024, 1, 3), Decimal("10.00"), False), (40, D(2024, 1, 9), Decimal("5.00"), None)],
+                                "member_id long, payment_month date, mrr decimal(18,2), refunded_for_first_payment boolean")
+    out = {r.member_id: r for r in arr_attribution(u, ent, rev).collect()}
+    assert out[10].arr_attribution == Decimal("20.00") and out[10].composer_arr_attribution == Decimal("20.00")
+    # member total leaves helpdesk out (6 days) while the org total counts it
+    assert out[11].arr_attribution == Decimal("60.00")
+    assert out[11].planner_arr_attribution == Decimal("60.00") and out[11].helpdesk_arr_attribution == Decimal("20.00")
+    assert out[20].arr_attribution == Decimal("0.00")
+    assert out[30].arr_attribution == Decimal("0.00")                                   # no org: no total
+    assert out[40].arr_attribution == Decimal("120.00")                                 # null refund flag dropped
+    assert out[40].analytics_arr_attribution == Decimal("30.00") and out[40].streams_arr_attribution == Decimal("90.00")
+
+
+# ---- M02: duplicate account rows, tiers, unresolved orgs --------------------------------------
+
+def test_m02_profiles(spark):
+    from paidpath.plans.org_profiles import org_profiles
+    acc = spark.createDataFrame([
+        ("A1", 100, "Tier 2", "F", "small", "CA"), ("A1", 100, None, "F", None, None),     # duplicate rows: max
+        ("A2", 200, "x", "O", "large", "US"), ("A2", 201, "x", "O", "large", "US"),     # two orgs: unresolved
+        ("A3", None, "tier 3 and 1", "P", "medium", "FR"),                               # no primary org
+    ], "id string, organisation_id__c long, icp_tier__c string, industry string, no_of_employees__c string, "
+       "billingcountry string")
+    orgs = spark.createDataFrame([(300, "A3"), (400, "A1"), (400, "A9")], "organization_id__c long, account__c string")
+    ind = spark.createDataFrame([("F", "Finance"), ("P", "Public")], "legacy_sf_industry string, current_sf_industry string")
+    size = spark.createDataFrame([("small", "1-50"), ("medium", "51-1000")], "legacy_sf_emps string, current_sf_emps string")
+    rows = sorted(tuple(r) for r in org_profiles(acc, orgs, ind, size).collect())
+    assert rows == [
+        ("100", "A1", "CA", "Finance", "1-50", "tier_2"), ("100", "A1", "CA", "Finance", "1-50", "tier_2"),
+        ("200", None, None, None, None, "unknown"), ("201", None, None, None, None, "unknown"),
+        ("300", "A3", "FR", "Public", "51-1000", "tier_1"), ("400", None, None, None, None, "unknown")]
