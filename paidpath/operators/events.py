@@ -120,7 +120,11 @@ def day_bucket_counts(pairs: DataFrame, keys: Sequence[str], anchor: str, ts: st
 
 def active_days_in_window(base: DataFrame, activity: DataFrame, key: str, anchor: str, days: int,
                           day_col: str, out: str = "days_active") -> DataFrame:
-    """Distinct active days in [anchor, anchor + days]; 0 when there are none."""
+    """Distinct active days in [anchor, anchor + days]; 0 when there are none. The
+    activity table is first bounded to the anchors' overall range (runtime scalar subquery)."""
+    rng = base.select(F.struct(F.min(anchor).alias("lo"), F.max(anchor).alias("hi")).alias("r")).scalar()
+    activity = activity.filter((F.col(day_col) >= F.to_date(rng["lo"])) &
+                               (F.col(day_col) <= F.date_add(F.to_date(rng["hi"]), days)))
     b, a = base.alias("_b"), activity.alias("_a")
     cond = ((F.col(f"_b.{key}") == F.col(f"_a.{key}")) & (F.col(f"_a.{day_col}") >= F.col(f"_b.{anchor}")) &
             (F.col(f"_a.{day_col}") <= F.date_add(F.col(f"_b.{anchor}"), days)))

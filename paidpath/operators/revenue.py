@@ -53,8 +53,12 @@ def first_refund(payments: DataFrame, base: DataFrame, key: str, start: str, fir
                  days: int = 59, excluded_plan_pattern: str = "%Prorated%") -> DataFrame:
     """Earliest negative, non-prorated payment between the trial start day and the
     first payment day + ``days``."""
-    p = payments.filter((F.col("amount_in_usd") < 0) & ~F.col("plan_name").like(excluded_plan_pattern))
-    j = p.join(base.select(key, start, first_payment), key)
     day = F.to_date("payment_date")
+    rng = base.select(F.struct(F.min(F.to_date(start)).alias("lo"),
+                               F.max(F.date_add(F.to_date(first_payment), days)).alias("hi")).alias("r")).scalar()
+    # refunds only; and only inside the anchors' overall range (runtime scalar subquery)
+    p = payments.filter((F.col("amount_in_usd") < 0) & ~F.col("plan_name").like(excluded_plan_pattern) &
+                        (day >= rng["lo"]) & (day <= rng["hi"]))
+    j = p.join(base.select(key, start, first_payment), key)
     j = j.filter(day.between(F.to_date(start), F.date_add(F.to_date(first_payment), days)))
     return j.groupBy(key).agg(F.min("payment_date").alias("payment_date"))
