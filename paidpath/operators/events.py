@@ -17,6 +17,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from paidpath.operators.sizing import broadcast_if_bounded
 
 
 def allow_listed_events(events: DataFrame, mapping: DataFrame, key: str = "event", how: str = "inner",
@@ -26,8 +27,8 @@ def allow_listed_events(events: DataFrame, mapping: DataFrame, key: str = "event
     mk = mapping_key or key
     m = mapping if mk == key else mapping.withColumnRenamed(mk, key)
     if how == "semi":
-        return events.join(F.broadcast(m.select(key).distinct()), key, "left_semi")
-    return events.join(F.broadcast(m), key, "inner")
+        return events.join(broadcast_if_bounded(m.select(key).distinct()), key, "left_semi")
+    return events.join(broadcast_if_bounded(m), key, "inner")
 
 
 def shift(ts: Column | str, amount: int, unit: str) -> Column:

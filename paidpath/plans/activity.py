@@ -25,6 +25,7 @@ from paidpath.functions.calendar import lit_date
 from paidpath.functions.rules import surrogate_key
 from paidpath.functions.calendar import add_months_py, month_start
 from paidpath.session import materialize
+from paidpath.operators.sizing import broadcast_if_bounded
 
 # Measure suffixes in output order, and the categories each one counts.
 LABELS = ["all", "composer", "planner", "analytics", "amplify", "any_inbox", "inbox_1", "inbox_2", "streams"]
@@ -63,7 +64,7 @@ def active_events(events: DataFrame, meaningful: DataFrame, as_of: dt.date | Non
     if lookback_months is not None:
         cutoff = add_months_py(month_start(as_of), -lookback_months)
         e = e.filter(F.col("timestamp") >= lit_date(cutoff))
-    e = e.join(F.broadcast(m), "event")
+    e = e.join(broadcast_if_bounded(m), "event")
     return e.select(
         "activity_category", F.col("actor_id").alias("member_id"),
         F.trunc("timestamp", "month").alias("month_of_activity"), "timestamp",

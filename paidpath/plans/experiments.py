@@ -22,6 +22,7 @@ from paidpath.functions.rules import experiment_audience, tri_state, week_bucket
 from paidpath.operators.events import active_days_in_window, events_in_window, shift
 from paidpath.operators.revenue import first_refund
 from paidpath.session import materialize
+from paidpath.operators.sizing import broadcast_if_bounded
 
 # Event lists and names the read-out is defined on.
 EXPOSURE_EVENT = "experiment_started"
@@ -119,7 +120,7 @@ def cohorts(expo: DataFrame, experiments: DataFrame, customers: DataFrame, membe
                 .join(customers.select("member_id", "acquisition_source", "trial_plan", "trial_length", "trial_type",
                                        "trial_start_date", "trial_end_date"), "member_id", "left")
                 .join(me, "member_id", "left")
-                .join(F.broadcast(products), F.col("legacy_plan_code") == F.col("trial_plan")))
+                .join(broadcast_if_bounded(products), F.col("legacy_plan_code") == F.col("trial_plan")))
     start_day = F.date_trunc("day", "trial_start_date")
     paid = paid.filter(
         start_day.between(F.col("start_date"), F.col("end_date")) & (F.col("include_in_ecomm") == "TRUE") &
@@ -269,7 +270,7 @@ def event_measures(conv: DataFrame, event_log: DataFrame, products: DataFrame, m
     # Month 1-3 retention by whole days since the anchor, different rules per audience
     dd = F.datediff(F.to_date("timestamp"), F.to_date("created_date_c"))
     ret = (pairs.filter(evn.isin(*meaningful_events) & (ts >= shift(cr, 30, "day")))
-                .join(F.broadcast(products), F.col("billing_product_code") == F.col("member_effective_product_code"))
+                .join(broadcast_if_bounded(products), F.col("billing_product_code") == F.col("member_effective_product_code"))
                 .filter((F.col("include_in_ecomm") == "TRUE") | (F.col("include_in_enterprise") == "TRUE") |
                         F.col("member_max_plan").isNull() | F.col("member_effective_product_code").isNull()))
     paid_ok = (F.col("experiment_audience") == "paid") & (F.col("is_paid") == "True")

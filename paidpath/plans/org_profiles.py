@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from paidpath.functions.rules import tier_from_label
 from paidpath.operators.pickers import one_to_one_links, single_valued
 from paidpath.session import materialize
+from paidpath.operators.sizing import broadcast_if_bounded
 
 
 def org_account_links(accounts: DataFrame, organizations: DataFrame) -> DataFrame:
@@ -63,8 +64,8 @@ def org_profiles(accounts: DataFrame, organizations: DataFrame, industry_map: Da
     ids = accounts.select(F.col("id").alias("account_id"))
     rows = links.join(ids, "account_id", "inner").unionByName(links.join(ids, "account_id", "left_anti"))
     base = (rows.join(props, "account_id", "left")
-                .join(F.broadcast(size_map), F.col("no_of_employees__c") == F.col("legacy_sf_emps"), "left")
-                .join(F.broadcast(industry_map), F.col("industry__c") == F.col("legacy_sf_industry"), "left")
+                .join(broadcast_if_bounded(size_map), F.col("no_of_employees__c") == F.col("legacy_sf_emps"), "left")
+                .join(broadcast_if_bounded(industry_map), F.col("industry__c") == F.col("legacy_sf_industry"), "left")
                 .select("organization_id", "account_id", "country",
                         F.col("current_sf_industry").alias("industry"),
                         F.col("current_sf_emps").alias("no_of_employees"), "icp_tier__c"))

@@ -20,6 +20,7 @@ from paidpath.functions.calendar import lit_date
 from paidpath.operators.pickers import top_per_group
 from paidpath.operators.rolling import calendar_rolling_sum
 from paidpath.operators.spines import day_sequence, densify
+from paidpath.operators.sizing import broadcast_if_bounded
 
 SEGMENTS = ["market", "plan", "billing_interval", "trial_type", "trial_length", "acquisition_source",
             "signup_source"]
@@ -32,8 +33,8 @@ def paying_days(payments: DataFrame, plans: DataFrame, service_numbers: DataFram
     p = payments.select("member_id", "payment_date", "amount", "amount_in_usd", "associated_plan", "service_no")
     day = F.to_date("payment_date")
     j = (p.filter(day <= lit_date(as_of))
-          .join(F.broadcast(pm), "associated_plan")
-          .join(F.broadcast(service_numbers), "service_no")
+          .join(broadcast_if_bounded(pm), "associated_plan")
+          .join(broadcast_if_bounded(service_numbers), "service_no")
           .filter(F.col("exclude_from_mrr") == F.lit(False)))
     return (j.groupBy("member_id", day.alias("payment_date"), "plan_name", "billing_interval")
              .agg(F.sum("amount").alias("amount"), F.sum("amount_in_usd").alias("amount_in_usd"))

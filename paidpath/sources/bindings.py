@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from paidpath.operators.pickers import top_per_group
 from paidpath.sources.tables import Catalog
+from paidpath.operators.sizing import broadcast_if_bounded
 
 # Run dates. Orders run 1995-01-01 .. 2001-08-01, events 2024-01-01 .. 2024-01-30.
 AS_OF_ORDERS = dt.date(2001, 8, 1)
@@ -69,8 +70,22 @@ INDUSTRY_ROWS = [("F", "Finance"), ("O", "Operations"), ("P", "Public Sector")]
 SIZE_ROWS = [("small", "1-50"), ("medium", "51-1000"), ("large", "1000+")]
 
 
+def _sql_literal(v) -> str:
+    if v is None:
+        return "NULL"
+    if isinstance(v, bool):
+        return "TRUE" if v else "FALSE"
+    return "'" + str(v).replace("'", "''") + "'"
+
+
 def _literal(spark: SparkSession, rows, schema: str) -> DataFrame:
-    return F.broadcast(spark.createDataFrame(rows, schema))
+    """A mapping table from the fixed values above, as an in-memory VALUES relation (exact
+    size statistics). Bounded by construction, so it carries a broadcast hint."""
+    fields = [f.strip().split(" ") for f in schema.split(",")]
+    values = ", ".join("(" + ", ".join(_sql_literal(v) for v in r) + ")" for r in rows)
+    names = ", ".join(n for n, _ in fields)
+    df = spark.sql(f"SELECT * FROM VALUES {values} AS v({names})")
+    return F.broadcast(df.select(*[F.col(n).cast(t).alias(n) for n, t in fields]))
 
 
 def plans(spark):
@@ -130,8 +145,8 @@ def invoice_payments(t: Catalog) -> DataFrame:
 
 def _customer_geo(t: Catalog) -> DataFrame:
     c = t("customer", ["c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment"])
-    n = F.broadcast(t("nation", ["n_nationkey", "n_name", "n_regionkey"]))   # 25 rows by definition
-    r = F.broadcast(t("region", ["r_regionkey", "r_name"]))                   # 5 rows by definition
+    n = broadcast_if_bounded(t("nation", ["n_nationkey", "n_name", "n_regionkey"]))
+    r = broadcast_if_bounded(t("region", ["r_regionkey", "r_name"]))
     return (c.join(n, c.c_nationkey == n.n_nationkey, "left")
              .join(r, F.col("n_regionkey") == r.r_regionkey, "left"))
 

@@ -91,3 +91,17 @@ def test_top_row_pickers_aggregate_before_the_shuffle(spark, queries):
         plan = queries[name](spark, SMALL)._jdf.queryExecution().executedPlan().toString()
         assert fn in plan, name
         assert "Window" not in plan, name
+
+
+def test_broadcast_only_behind_a_size_bound(spark):
+    from paidpath.operators.sizing import broadcast_if_bounded, estimated_bytes
+    from paidpath.sources import bindings as B
+    from paidpath.sources.tables import Catalog
+    t = Catalog(spark, SMALL)
+    plans = B.plans(spark)
+    assert estimated_bytes(plans) < 10_000                          # exact size of the literal
+    orders = t("orders", ["o_orderkey", "o_orderpriority"])
+    lines = t("lineitem", ["l_orderkey"])
+    assert broadcast_if_bounded(lines, max_bytes=1024) is lines      # over the bound: no hint
+    hinted = orders.join(broadcast_if_bounded(plans), orders.o_orderpriority == plans.associated_plan)
+    assert "BroadcastHashJoin" in hinted._jdf.queryExecution().executedPlan().toString()
