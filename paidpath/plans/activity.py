@@ -2,7 +2,7 @@
 
 Plan shape, built for a hot member or org holding a third of all events:
 
-1. Events are filtered (allow-list join on a broadcast mapping, year and product-code
+1. Events are filtered (allow-list join on a size-checked broadcast mapping, year and product-code
    predicates pushed to the scan) and reduced in one pass (map-side partial aggregation)
    to one row per member x month x category x day x network, written once. The events
    table is scanned exactly once.

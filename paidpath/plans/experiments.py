@@ -6,7 +6,7 @@ to the event log **once**, on the member key with the widest window (0-119 days)
 residual, instead of the source's eight separate joins. Every windowed measure (d0, d5,
 d28 actions, 29-day first events, breadth, month-1..3 retention) is a conditional
 aggregate with its own bounds over that single pair set. The before-marker network count
-(W13) is a second pass over the same pairs. Mapping tables are broadcast; every fact
+(W13) is a second pass over the same pairs. Mapping tables are broadcast behind a size bound; every fact
 table joins on ``member_id``.
 """
 

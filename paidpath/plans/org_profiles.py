@@ -5,7 +5,7 @@ Every step is an aggregate with a HAVING-style filter (``count_distinct = 1``) o
 equi-join on account or organization id; the distinct counts are planned as two-phase
 aggregations (de-duplicate (key, value) pairs map-side, then count), which keeps a hot
 account or organization from landing whole in one task. Attribute look-ups are bounded
-mapping tables and are broadcast.
+mapping tables, broadcast behind a size bound.
 """
 
 from __future__ import annotations

@@ -6,7 +6,7 @@ then to one row per member-month (``top_per_group``, again partially aggregated)
 to customer segments on ``member_id`` and counted per day and segment. Only that small
 daily table is densified onto the per-segment day shell and shuffled once on the seven
 segment keys for the nine-frame window. The mapping tables (plans, service numbers) are
-bounded literals and are broadcast.
+bounded literals, broadcast behind a size bound.
 """
 
 from __future__ import annotations

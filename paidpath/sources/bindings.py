@@ -4,7 +4,8 @@ The models read a SaaS warehouse (payments, plans, events, CRM accounts ...). Th
 tables are a TPC-H-like star schema plus an event log, so every role the models need is
 *derived* here from those tables with Spark expressions. Each role grows with the data it
 is derived from; none is a fixed literal except the small mapping tables, whose size is
-bounded by construction and which are therefore the only sides we broadcast.
+bounded by construction (in-memory VALUES relations with exact sizes); dimension tables
+read from storage are broadcast only behind a size bound (``broadcast_if_bounded``).
 
 The same derivations exist as SQL in :mod:`paidpath.oracle` so DuckDB can check results.
 """
