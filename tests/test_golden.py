@@ -327,3 +327,36 @@ def test_m02_profiles(spark):
         ("100", "A1", "CA", "Finance", "1-50", "tier_2"), ("100", "A1", "CA", "Finance", "1-50", "tier_2"),
         ("200", None, None, None, None, "unknown"), ("201", None, None, None, None, "unknown"),
         ("300", "A3", "FR", "Public", "51-1000", "tier_1"), ("400", None, None, None, None, "unknown")]
+
+
+# ---- M06: month 1-3 retention (W14), product rules, closed day-119 bound (T15, T18) ---------
+
+def test_m06_retention_buckets(spark):
+    from paidpath.plans.experiments import event_measures
+    c = T(2024, 1, 1)
+    conv = spark.createDataFrame([(1, "EX_A", "paid", c), (2, "EX_A", "free", c), (3, "EX_A", "paid", c),
+                                  (4, "EX_A", "paid", c)],
+                                 "member_id long, experiment string, experiment_audience string, created_date_c timestamp_ntz")
+    day = dt.timedelta(days=1)
+    ev = spark.createDataFrame([
+        (1, "m", c + 45 * day, "P1", "pro"),                       # paid, is_paid 'True': month 1
+        (2, "m", c + 95 * day, None, None),                        # null code: no product row (T18)
+        (2, "m", c + 65 * day, "P2", "pro"),                       # free: any product, month 2
+        (3, "m", c + 70 * day, "P2", "pro"),                       # paid but is_paid 'FALSE': not counted
+        (3, "other", c + 100 * day, "P1", "pro"),                  # not a meaningful event
+        (4, "m", c + 119 * day, "P1", "pro"),                      # exactly day 119 00:00: inside (T15)
+        (4, "m", c + 119 * day + dt.timedelta(seconds=1), "P3", "pro"),  # one second later: outside
+    ], "actor_id long, event string, timestamp timestamp_ntz, member_effective_product_code string, "
+       "member_max_plan string")
+    ev = ev.withColumn("social_network_id", F.lit(None).cast("long")).withColumn("data", F.lit("{}"))
+    products = spark.createDataFrame(
+        [("L1", "P1", "TRUE", "FALSE", "True"), ("L2", "P2", "FALSE", "TRUE", "FALSE"),
+         ("L3", "P3", "TRUE", "FALSE", "True")],
+        "legacy_plan_code string, billing_product_code string, include_in_ecomm string, include_in_enterprise string, "
+        "is_paid string")
+    *_, ret = event_measures(conv, ev, products, ["m"])
+    got = {r.member_id: (r.m1_retained, r.m2_retained, r.m3_retained) for r in ret.collect()}
+    assert got[1] == (True, False, False)
+    assert got[2] == (False, True, False)
+    assert got.get(3, (False, False, False)) == (False, False, False)
+    assert got[4] == (False, False, True)
