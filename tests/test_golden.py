@@ -360,3 +360,24 @@ def test_m06_retention_buckets(spark):
     assert got[2] == (False, True, False)
     assert got.get(3, (False, False, False)) == (False, False, False)
     assert got[4] == (False, False, True)
+
+
+# ---- W08 / T26: null segment keys never match; W33: no opening row in the open month -------
+
+def test_w08_null_segment_never_matches(spark):
+    from paidpath.operators.spines import densify
+    shell = spark.createDataFrame([(D(2024, 1, 1), "EU"), (D(2024, 1, 1), None), (D(2024, 1, 2), "EU")],
+                                  "date date, market string")
+    fact = spark.createDataFrame([(D(2024, 1, 1), "EU", 3), (D(2024, 1, 1), None, 5)],
+                                 "date date, market string, n long")
+    got = sorted(densify(fact, shell, ["date", "market"]).collect(), key=lambda r: (r.date, r.market or ""))
+    assert [(r.date, r.market, r.n) for r in got] == [
+        (D(2024, 1, 1), None, None), (D(2024, 1, 1), "EU", 3), (D(2024, 1, 2), "EU", None)]
+
+
+def test_w33_opening_balance_skips_open_month(spark):
+    from paidpath.functions.calendar import current_month_start
+    from paidpath.operators.rolling import opening_balance
+    ending = spark.createDataFrame([(D(2024, 5, 1), 10), (D(2024, 6, 1), 12)], "month date, arr long")
+    out = opening_balance(ending, "month", current_month_start(D(2024, 7, 15)), 1, "metrics", "1_Starting")
+    assert rows(out, "month", "arr", "metrics") == [(D(2024, 6, 1), 10, "1_Starting")]
