@@ -5,12 +5,18 @@ import pytest
 from conftest import SMALL
 
 import __spark_entry__ as E
+from paidpath.oracle import ORACLE
+from paidpath.registry import QUERIES
 
-NAMES = sorted(E.queries())
+NAMES = sorted(QUERIES)
 
 
 def test_every_query_has_an_oracle():
-    assert set(E.oracle_sql()) == set(E.queries())
+    assert set(ORACLE) == set(QUERIES)
+
+
+def test_entry_registers_every_query():
+    assert set(QUERIES) <= set(E.queries()) and set(ORACLE) <= set(E.oracle_sql())
 
 
 @pytest.mark.parametrize("name", NAMES)
