@@ -181,11 +181,29 @@ def _kept_keys(described: DataFrame, broadcast) -> DataFrame:
     return described.select("cls", "size", "keys").mapInArrow(keep, "key long, cls long, size long")
 
 
-def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Those pairs ``a, b`` (classes) whose sets really link. A centre ``a`` with many
-    partners is compared by many tasks."""
-    slim = sets.select("cls", "size", "cells")
-    a, b = slim.toDF("a", "na", "ca"), slim.toDF("b", "nb", "cb")
+def _sets_of(docs: DataFrame, holders: DataFrame, classes: DataFrame, n: int) -> DataFrame:
+    """``cls, shingles`` of ``classes``, from one document of each. Texts are not shuffled:
+    a bitmap of the documents goes to where the texts are."""
+    some = BitFilter(holders.join(classes, "cls", "left_semi"), "doc_id")
+    told = docs.sparkSession.sparkContext.broadcast(some)
+
+    def whole(batches):
+        for batch in batches:
+            batch = batch.filter(pa.array(told.value.has(np.asarray(batch.column("slot")))))
+            for _, _, data, offsets in text_chunks(batch.column("text")):
+                sets = shingle_sets(data, offsets, n)
+                yield pa.RecordBatch.from_arrays([pa.array([class_key(s) for s in sets], pa.int64()),
+                                                  pa.array([s.tobytes() for s in sets], pa.binary())], names=["cls", "shingles"])
+
+    return written(docs.where("doc_id IS NOT NULL AND text IS NOT NULL").select("text", some.slot("doc_id").alias("slot"))
+                   .mapInArrow(whole, "cls long, shingles binary"), "sets")
+
+
+def _verified(docs: DataFrame, holders: DataFrame, pairs: DataFrame, n: int, percent: int) -> DataFrame:
+    """Those pairs ``a, b`` (classes) whose sets really link. Pairs are bounded by their
+    cells first; only classes of pairs that pass have their sets built. A centre ``a`` with
+    many partners is compared by many tasks."""
+    a, b = (holders.select(F.col("cls").alias(x), F.col("size").alias("n" + x), F.col("cells").alias("c" + x)) for x in "ab")
 
     def bounded(batches):
         for batch in batches:
@@ -195,6 +213,7 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
     likely = written(pairs.join(a, "a").join(b, "b").where("100 * least(na, nb) >= %d * greatest(na, nb)" % percent)
                      .select("a", "b", "na", "nb", "ca", "cb").mapInArrow(bounded, "a long, b long"), "likely")
+    sets = _sets_of(docs, holders, likely.select(F.col("a").alias("cls")).union(likely.select("b")).distinct(), n)
     salts = likely.groupBy("a").agg(F.ceil(F.count("*") / KEYS_A_TASK).cast("long").alias("salts"))
     salted = F.pmod(F.xxhash64("b"), F.col("salts")).alias("salt")
     members = (likely.join(salts, "a").select("a", "b", salted)
@@ -243,26 +262,10 @@ def jaccard_classes(docs: DataFrame, n: int = 4, percent: int = 85, id_col: str
     lists = kept.groupBy("key").agg(F.min("cls").alias("lo"), F.max("cls").alias("hi")).where("lo < hi").select("key")
     members = written(kept.join(lists, "key").distinct(), "members")
 
-    wanted = members.select("cls").distinct()
-    holders = described.where("cls IS NOT NULL").groupBy("cls").agg(F.min("doc_id").alias("doc_id")).join(wanted, "cls")
-    holders = written(holders.where("doc_id IS NOT NULL"), "holders")
-    some = BitFilter(holders, "doc_id")
-    told = spark.sparkContext.broadcast(some)
-
-    def whole(batches):
-        hit = told.value
-        for batch in batches:
-            batch = batch.filter(pa.array(hit.has(np.asarray(batch.column("slot")))))
-            for i, j, data, offsets in text_chunks(batch.column("text")):
-                sets = shingle_sets(data, offsets, n)
-                yield pa.RecordBatch.from_arrays([
-                    batch.column("doc_id").slice(i, j - i), pa.array([class_key(s) for s in sets], pa.int64()),
-                    pa.array([len(s) for s in sets], pa.int64()), pa.array([cells_of(s) for s in sets], pa.binary()),
-                    pa.array([s.tobytes() for s in sets], pa.binary())], names=["doc_id", "cls", "size", "cells", "shingles"])
-
-    found = (docs.where("doc_id IS NOT NULL AND text IS NOT NULL").select("doc_id", "text", some.slot("doc_id").alias("slot"))
-             .mapInArrow(whole, "doc_id long, cls long, size long, cells binary, shingles binary"))
-    sets = written(found.join(holders, ["doc_id", "cls"], "left_semi").drop("doc_id").dropDuplicates(["cls"]), "sets")
+    holders = written(described.where("cls IS NOT NULL AND doc_id IS NOT NULL").groupBy("cls").agg(
+        F.min("doc_id").alias("doc_id"), F.first("size").alias("size"), F.first("cells").alias("cells"))
+        .join(members.select("cls").distinct(), "cls", "left_semi"), "holders")
+    verify = lambda pairs: _verified(docs, holders, pairs, n, percent)
 
     links, open_lists = [], members.withColumn("comp", F.col("cls"))
     for turn in range(star_rounds):
@@ -272,12 +275,12 @@ def jaccard_classes(docs: DataFrame, n: int = 4, percent: int = 85, id_col: str
         pairs = (open_lists.join(centres, "key")
                  .where("comp <> c_comp AND 100 * least(size, c_size) >= %d * greatest(size, c_size)" % percent)
                  .groupBy(F.col("cls").alias("b")).agg(F.min("c").alias("a")).select("a", "b"))
-        links.append(written(_verified(pairs, sets, percent), "links"))
+        links.append(written(verify(pairs), "links"))
         open_lists = _still_open(members, links)
     x, y = open_lists.toDF("key", "a", "na", "ca"), open_lists.toDF("key", "b", "nb", "cb")
     rest = (x.join(y, "key").where("a < b AND ca <> cb AND 100 * least(na, nb) >= %d * greatest(na, nb)" % percent)
             .select("a", "b").distinct())
-    links.append(written(_verified(rest, sets, percent), "links"))
+    links.append(written(verify(rest), "links"))
     comp = components(reduce(DataFrame.union, links))
     return (described.select("doc_id", "size", "cls").join(comp.withColumnRenamed("node", "cls"), "cls", "left")
             .select("doc_id", F.col("size").alias("n_shingles"), "cls", F.coalesce("component", "cls").alias("component")))
