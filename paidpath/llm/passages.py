@@ -56,21 +56,32 @@ class Windows:
 
 
 def _places(ids: pa.Array, w: Windows, s: np.ndarray, picked: np.ndarray) -> pa.RecordBatch:
-    """Rows for windows that start at the words ``s`` of a chunk and selected ``picked``."""
-    doc = w.doc[picked]
-    return pa.RecordBatch.from_arrays([pa.array(w.hashes[s].view(np.int64)), ids.take(pa.array(doc)),
-                                       pa.array((s - w.first[doc]).astype(np.int32)), pa.array(w.suffix[picked].view(np.int64))],
-                                      names=["h", "doc_id", "s", "key"])
+    """A row for each document and different window, of those that start at the words ``s``
+    of a chunk and selected ``picked``; a text that repeats itself has them in one row."""
+    order = np.lexsort((s, w.hashes[s], w.doc[picked]))
+    s, doc = s[order], w.doc[picked][order]
+    h = w.hashes[s]
+    head = np.flatnonzero(np.concatenate([[True], (h[1:] != h[:-1]) | (doc[1:] != doc[:-1])])) if len(s) else s
+    return pa.RecordBatch.from_arrays(
+        [pa.array(h[head].view(np.int64)), ids.take(pa.array(doc[head])),
+         list_array(pa.array((s - w.first[doc]).astype(np.int32)), np.append(head, len(s))),
+         pa.array(w.suffix[picked[order][head]].view(np.int64))], names=["h", "doc_id", "s", "key"])
+
+
+def _groups(places: DataFrame) -> DataFrame:
+    """``h``, its first place, and whether there is any other."""
+    at = F.struct("doc_id", F.col("s")[0].alias("s"))
+    return (places.groupBy("h").agg(F.min(at).alias("lo"), F.max(at).alias("hi"), F.max(F.size("s")).alias("own"))
+            .select("h", F.col("lo.doc_id").alias("first_doc"), F.col("lo.s").alias("first_s"), F.expr("lo < hi OR own > 1").alias("again")))
 
 
 def _judged(places: DataFrame) -> DataFrame:
     """The places whose window occurs elsewhere too, with the first place's document and
-    whether this place is a later one."""
-    at = F.struct("doc_id", "s")
-    groups = (places.groupBy("h").agg(F.min(at).alias("lo"), F.max(at).alias("hi")).where("lo < hi")
-              .select("h", F.col("lo.doc_id").alias("first_doc"), F.col("lo.s").alias("first_s")))
-    return places.join(groups, "h").select(
-        "doc_id", "s", "first_doc", F.expr("doc_id <> first_doc OR s <> first_s").alias("later"))
+    whether this place is a later one. The groups are written first, so that the join has two
+    plain shuffles, of which Spark splits large parts."""
+    groups = written(_groups(places).where("again").drop("again"), "groups")
+    one = places.select("h", "doc_id", "s").join(groups, "h").select("doc_id", F.explode("s").alias("s"), "first_doc", "first_s")
+    return one.select("doc_id", "s", "first_doc", F.expr("doc_id <> first_doc OR s <> first_s").alias("later"))
 
 
 def repeated_windows(docs: DataFrame, length: int = 50, span: int = 26) -> DataFrame:
@@ -105,12 +116,14 @@ def repeated_windows(docs: DataFrame, length: int = 50, span: int = 26) -> DataF
                         two = good[w.a[good] < w.b[good]]
                         s, picked = np.concatenate([w.a[good], w.b[two]]), np.concatenate([good, two])
                     yield _places(batch.column("doc_id").slice(i, j - i), w, s, picked)
-        return docs.mapInArrow(emit, "h long, doc_id long, s int, key long").distinct()
+        return docs.mapInArrow(emit, "h long, doc_id long, s array<int>, key long")
 
     outer = written(windows_of(spark.sparkContext.broadcast(shared), inner=False), "edges")
     # suffixes of which some place has an outer window without an equal: all their places
     # are looked into, as an equal of an inner window may stand between two that repeat
-    lone = outer.groupBy("h").agg(F.min("key").alias("key"), F.count("*").alias("n")).where("n = 1").select("key")
+    key = outer.groupBy("h").agg(F.min("key").alias("key"), F.min(F.struct("doc_id", F.col("s")[0])).alias("lo"),
+                                 F.max(F.struct("doc_id", F.col("s")[0])).alias("hi"), F.max(F.size("s")).alias("own"))
+    lone = key.where("lo = hi AND own = 1").select("key")
     odd = BitFilter(lone, "key", hashed=True)
     middle = written(windows_of(spark.sparkContext.broadcast(odd), inner=True), "inner")
     # an inner window's equal may be an outer one elsewhere: all places are judged together
