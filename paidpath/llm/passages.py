@@ -78,10 +78,19 @@ def _groups(places: DataFrame) -> DataFrame:
 def _judged(places: DataFrame) -> DataFrame:
     """The places whose window occurs elsewhere too, with the first place's document and
     whether this place is a later one. The groups are written first, so that the join has two
-    plain shuffles, of which Spark splits large parts."""
+    plain shuffles, of which Spark splits large parts; windows that surely stand alone are
+    not shuffled."""
     groups = written(_groups(places).where("again").drop("again"), "groups")
-    one = places.select("h", "doc_id", "s").join(groups, "h").select("doc_id", F.explode("s").alias("s"), "first_doc", "first_s")
-    return one.select("doc_id", "s", "first_doc", F.expr("doc_id <> first_doc OR s <> first_s").alias("later"))
+    some = BitFilter(groups, "h", hashed=True)
+    told = places.sparkSession.sparkContext.broadcast(some)
+
+    def maybe(batches):
+        for batch in batches:
+            yield batch.filter(pa.array(told.value.has_hash(np.asarray(batch.column("h")).view(np.uint64))))
+
+    rows = places.select("h", "doc_id", "s").mapInArrow(maybe, "h long, doc_id long, s array<int>")
+    return rows.join(groups, "h").select("doc_id", F.explode("s").alias("s"), "first_doc", "first_s").select(
+        "doc_id", "s", "first_doc", F.expr("doc_id <> first_doc OR s <> first_s").alias("later"))
 
 
 def repeated_windows(docs: DataFrame, length: int = 50, span: int = 26) -> DataFrame:
@@ -121,13 +130,12 @@ def repeated_windows(docs: DataFrame, length: int = 50, span: int = 26) -> DataF
     outer = written(windows_of(spark.sparkContext.broadcast(shared), inner=False), "edges")
     # suffixes of which some place has an outer window without an equal: all their places
     # are looked into, as an equal of an inner window may stand between two that repeat
-    key = outer.groupBy("h").agg(F.min("key").alias("key"), F.min(F.struct("doc_id", F.col("s")[0])).alias("lo"),
-                                 F.max(F.struct("doc_id", F.col("s")[0])).alias("hi"), F.max(F.size("s")).alias("own"))
-    lone = key.where("lo = hi AND own = 1").select("key")
+    lone = (outer.groupBy("h").agg(F.min("key").alias("key"), F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi"))
+            .where("lo = hi").select("key"))
     odd = BitFilter(lone, "key", hashed=True)
-    middle = written(windows_of(spark.sparkContext.broadcast(odd), inner=True), "inner")
+    middle = written(windows_of(spark.sparkContext.broadcast(odd), inner=True).drop("key"), "inner")
     # an inner window's equal may be an outer one elsewhere: all places are judged together
-    return _judged(outer.union(middle))
+    return _judged(outer.drop("key").union(middle))
 
 
 def repeated_spans(docs: DataFrame, length: int = 50, span: int = 26, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -140,7 +148,7 @@ def repeated_spans(docs: DataFrame, length: int = 50, span: int = 26, id_col: st
     fewer than ``length`` words. Rows with one doc_id count once. Other columns are not read."""
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     rows = repeated_windows(docs, length, span).groupBy("doc_id").agg(
-        F.array_sort(F.collect_set(F.struct("s", "later"))).alias("w"),
+        F.array_sort(F.collect_set(F.col("s") * 2 + F.col("later").cast("int"))).alias("w"),  # one number is a third of a struct
         F.array_sort(F.collect_set("first_doc")).alias("first_doc_ids"))
 
     def merge(starts: np.ndarray) -> list[dict]:
@@ -152,9 +160,9 @@ def repeated_spans(docs: DataFrame, length: int = 50, span: int = 26, id_col: st
         for batch in batches:
             every, later = [], []
             for w in batch.column("w"):
-                s = np.asarray(w.values.field("s"))
-                every.append(merge(s))
-                later.append(merge(s[w.values.field("later").to_numpy(zero_copy_only=False)]))
+                coded = np.asarray(w.values)
+                every.append(merge(coded >> 1))
+                later.append(merge((coded >> 1)[coded & 1 > 0]))
             kind = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
             total = lambda x: pa.array([sum(v["end"] - v["start"] for v in y) for y in x], pa.int64())
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(every, kind), pa.array(later, kind), total(every),
