@@ -14,8 +14,9 @@ need(s) = ceil(percent * s / 100) shingles, so all but s - need(s) of them.
 * The boundary between small and large is the size with the least estimated cost, from the
   sample's size histogram and its list lengths.
 * Candidates of a list are not expanded into all pairs. Two rounds compare members with one
-  centre each; links found there merge components. Only members of one list that lie in
-  different components afterwards are paired. Before any set is sent, a pair must pass an
+  centre each; links found there merge components. Only lists that hold more than one
+  component afterwards are looked into: short ones pair by pair, long ones in blocks, whose
+  overlaps are products of 0/1 matrices. Before the sets of a pair are sent, it must pass an
   upper bound on its overlap from counts of shingles by cell.
 * Equal sets are one class from the start, and copies are never paired.
 
@@ -40,6 +41,8 @@ ORDER_BITS = 1 << 23  # slots of the bitmap of frequent shingles: 1 MB
 SAMPLE_ONE_IN = 16  # of the documents, for the order and the boundary
 FREQUENT = 4  # documents of the sample
 KEYS_A_TASK = 500  # pairs of one centre that one task compares
+LONG_LIST = 48  # members in more than one component
+BLOCK = 256  # members of a long list that a task compares with as many
 
 
 def shingle_sets(data: np.ndarray, docs: np.ndarray, n: int) -> list[np.ndarray]:
@@ -242,13 +245,72 @@ def _verified(docs: DataFrame, holders: DataFrame, pairs: DataFrame, n: int, per
     return members.union(centres).groupBy("a", "salt").applyInArrow(compare, "a long, b long")
 
 
+def overlaps(sets: list[np.ndarray]) -> np.ndarray:
+    """The sizes of all intersections, by products of 0/1 matrices of bounded width."""
+    every, at = np.unique(np.concatenate(sets), return_inverse=True)
+    row = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+    wide = np.bincount(at, minlength=len(every)) > 1  # a shingle of one set adds to no overlap
+    column = np.cumsum(wide) - 1
+    row, column = row[wide[at]], column[at[wide[at]]]
+    out = np.diag([float(len(s)) for s in sets]).astype(np.float32)
+    order = np.argsort(column, kind="stable")
+    row, column = row[order], column[order]
+    for lo in range(0, int(column[-1]) + 1 if len(column) else 0, 4096):
+        a, b = np.searchsorted(column, [lo, lo + 4096])
+        part = np.zeros((len(sets), 4096), np.float32)
+        part[row[a:b], column[a:b] - lo] = 1
+        out += part @ part.T
+    np.fill_diagonal(out, [len(s) for s in sets])
+    return out
+
+
+def forest(linked: np.ndarray) -> list[tuple[int, int]]:
+    """Links that connect what a symmetric matrix of links connects: one fewer than members."""
+    left, out = np.ones(len(linked), bool), []
+    for start in range(len(linked)):
+        if not left[start]:
+            continue
+        left[start], todo = False, [start]
+        while todo:
+            u = todo.pop()
+            near = np.flatnonzero(linked[u] & left)
+            left[near] = False
+            out += [(u, int(v)) for v in near]
+            todo += near.tolist()
+    return out
+
+
+def _long_lists(docs: DataFrame, holders: DataFrame, members: DataFrame, n: int, percent: int) -> DataFrame:
+    """Links within the long lists ``members`` (key, cls, n: the list's length): blocks of a
+    list meet two by two, each pair of blocks in a task, which returns a spanning forest
+    instead of pairs."""
+    sets = _sets_of(docs, holders, members.select("cls").distinct(), n)
+    blocks = F.ceil(F.col("n") / BLOCK).cast("long")
+    own = members.select("key", "cls", blocks.alias("blocks"), F.pmod(F.xxhash64("cls"), blocks).alias("x"))
+    met = own.select("key", "cls", "x", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("y"))
+    rows = (met.select("key", "cls", F.least("x", "y").alias("i"), F.greatest("x", "y").alias("j"))
+            .join(sets, "cls").select("key", "i", "j", "cls", "shingles"))
+
+    def compare(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found = {}
+        for batch in batches:
+            for c, s in zip(batch.column("cls").to_pylist(), batch.column("shingles"), strict=True):
+                found[c] = np.frombuffer(s.as_buffer(), np.uint64)
+        names, own = list(found), list(found.values())
+        both, size = overlaps(own), np.array([len(s) for s in own], float)
+        links = forest(100 * both >= percent * (size[:, None] + size[None, :] - both))
+        yield pa.RecordBatch.from_arrays([pa.array([names[u] for u, _ in links], pa.int64()), pa.array([names[v] for _, v in links], pa.int64())], names=["a", "b"])
+
+    return rows.groupBy("key", "i", "j").applyInArrow(compare, "a long, b long")
+
+
 def jaccard_classes(docs: DataFrame, n: int = 4, percent: int = 85, id_col: str = "doc_id", text_col: str = "text",
                     star_rounds: int = 2) -> DataFrame:
     """``doc_id, n_shingles, cls, component`` for every row of ``docs``.
 
     ``cls`` names the row's set (null for the empty set); ``component`` is the smallest class
     key linked with it, directly or not. Rows are documents: repeated rows and equal texts
-    share a class. Null and empty texts, and texts without a word, have the empty set, size
+    share a class. A set that only rows without doc_id have links with nothing else. Null and empty texts, and texts without a word, have the empty set, size
     0 and no class. An empty table gives an empty result. Other columns are not read."""
     spark = docs.sparkSession
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
@@ -277,10 +339,13 @@ def jaccard_classes(docs: DataFrame, n: int = 4, percent: int = 85, id_col: str
                  .groupBy(F.col("cls").alias("b")).agg(F.min("c").alias("a")).select("a", "b"))
         links.append(written(verify(pairs), "links"))
         open_lists = _still_open(members, links)
-    x, y = open_lists.toDF("key", "a", "na", "ca"), open_lists.toDF("key", "b", "nb", "cb")
+    counts = written(open_lists.groupBy("key").agg(F.count("*").alias("n")), "lists")
+    short = open_lists.join(counts.where(F.col("n") <= LONG_LIST).select("key"), "key")
+    x, y = short.toDF("key", "a", "na", "ca"), short.toDF("key", "b", "nb", "cb")
     rest = (x.join(y, "key").where("a < b AND ca <> cb AND 100 * least(na, nb) >= %d * greatest(na, nb)" % percent)
             .select("a", "b").distinct())
     links.append(written(verify(rest), "links"))
+    links.append(written(_long_lists(docs, holders, open_lists.join(counts.where(F.col("n") > LONG_LIST), "key"), n, percent), "links"))
     comp = components(reduce(DataFrame.union, links))
     return (described.select("doc_id", "size", "cls").join(comp.withColumnRenamed("node", "cls"), "cls", "left")
             .select("doc_id", F.col("size").alias("n_shingles"), "cls", F.coalesce("component", "cls").alias("component")))
