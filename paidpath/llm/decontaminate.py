@@ -242,6 +242,8 @@ def decontaminated(docs: DataFrame, items: DataFrame, length: int = 10, coverage
     """``docs`` (doc_id, text, others) without the words that are hit, with the separators
     after them; documents of whose words more than ``coverage`` are hit go, and so do those
     with nothing left. Documents without a hit keep their row as it is. n_chars follows."""
+    names = docs.columns
+    docs = docs.toDF(*["text" if c == "text" else f"c{k}" for k, c in enumerate(names)])  # no name clashes
     columns, schema = docs.columns, docs.schema
     found = matched(docs, items, length)
 
@@ -259,7 +261,7 @@ def decontaminated(docs: DataFrame, items: DataFrame, length: int = 10, coverage
 
 
     out = found.mapInArrow(cut, T.StructType([*schema.fields, found.schema["hits"]]))
-    if "n_chars" in columns:
-        out = out.withColumn("n_chars", F.when(F.size("hits") == 0, F.col("n_chars")).otherwise(
-            F.length("text")).cast(schema["n_chars"].dataType))
-    return out.select(columns)
+    if "n_chars" in names:
+        n = columns[names.index("n_chars")]
+        out = out.withColumn(n, F.when(F.size("hits") == 0, F.col(n)).otherwise(F.length("text")).cast(schema[n].dataType))
+    return out.select(columns).toDF(*names)
