@@ -198,7 +198,9 @@ def read_archives(spark: SparkSession, path: str, range_bytes: int = RANGE_BYTES
                              pa.array([list(fields.items())], pa.map_(pa.string(), pa.string())), pa.array([block], pa.binary())],
                             names=["archive", "offset", "warc_type", "fields", "payload"])
 
-    return ranges.repartition("path", "start").mapInArrow(
+    # a task for each range, up to what the cluster can use
+    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 4 * spark.sparkContext.defaultParallelism)
+    return ranges.repartition(max(1, min(ranges.count(), tasks)), "path", "start").mapInArrow(
         read, "archive string, offset long, warc_type string, fields map<string,string>, payload binary")
 
 
