@@ -33,7 +33,7 @@ from paidpath.llm.words import ragged, text_chunks
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 MARKER = "▁".encode()
 NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = 1, 2, 3, 4, 5, 6  # kinds of pieces in the file format
-CHUNK = 4 << 20
+CHUNK = 2 << 20
 LONG_WORD = 96  # bytes; longer words are segmented one by one
 UNKNOWN_PENALTY = 10.0
 
@@ -392,11 +392,23 @@ def decoded(rows: DataFrame, model: str = MODEL, into: str = "decoded") -> DataF
 def tokenised(docs: DataFrame, model: str = MODEL) -> DataFrame:
     """``doc_id, n_tokens, ids, n_byte_tokens, text_restored`` for every row: the ids, how
     many stand for single bytes, and whether decoding them gives the text back (with U+2581
-    as a space; null for a null text)."""
-    bytes_ = [int(i) for i in load(model).byte_ids if i >= 0]
-    low, high = (min(bytes_), max(bytes_)) if bytes_ else (0, -1)
-    rows = decoded(encoded(docs.select("doc_id", "text"), model), model)
-    return rows.select(
-        "doc_id", "n_tokens", "ids",
-        F.coalesce(F.size(F.filter("ids", lambda i: i.between(low, high))), F.lit(0)).cast("long").alias("n_byte_tokens"),
-        (F.col("decoded") == F.translate("text", "▁", " ")).alias("text_restored"))
+    as a space; null for a null text). Encodes and decodes in one pass over the texts."""
+    told = docs.sparkSession.sparkContext.broadcast(load(model))
+
+    def run(batches):
+        v = told.value
+        single = np.zeros(len(v.texts), np.int64)
+        single[v.byte_ids[v.byte_ids >= 0]] = 1
+        for batch in batches:
+            for i, j, data, offsets in text_chunks(batch.column("text"), CHUNK):
+                ids, at = v.encode(data, offsets)
+                restored = pc.equal(v.decode(ids, at), pc.replace_substring(
+                    batch.column("text").slice(i, j - i).cast(pa.large_string()), "▁", " "))
+                total = np.concatenate([[0], np.cumsum(single[ids])])
+                none = batch.column("text").slice(i, j - i).is_null()
+                lists = pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(ids), mask=none if pc.any(none).as_py() else None)
+                yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(i, j - i), pa.array(np.diff(at)), lists, pa.array(np.diff(total[at])), restored],
+                                                 names=["doc_id", "n_tokens", "ids", "n_byte_tokens", "text_restored"])
+
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(
+        run, "doc_id long, n_tokens long, ids array<int>, n_byte_tokens long, text_restored boolean")
