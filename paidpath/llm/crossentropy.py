@@ -109,7 +109,8 @@ def cross_entropy_difference(docs: DataFrame, target: DataFrame, top: int = TOP,
     told = spark.sparkContext.broadcast(Vocabulary(frequent_words(docs, top), classes))
     background = pair_counts(docs, told)
     wanted = target.select(F.col("doc_id").cast("long").alias("doc_id")).where("doc_id IS NOT NULL").distinct()
-    counts = pair_counts(docs.join(wanted, "doc_id", "left_semi"), told)
+    # the labels may outgrow any broadcast, so both sides are shuffled at every size
+    counts = pair_counts(docs.hint("merge").join(wanted.hint("merge"), "doc_id", "left_semi"), told)
     if not counts.any():
         counts = background
     background *= counts.sum() / max(background.sum(), 1.0)
