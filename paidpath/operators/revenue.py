@@ -25,16 +25,14 @@ def cents(amount) -> Column:
 
 def half_up_div(n: Column, d: Column) -> Column:
     """Integer ``n / d`` rounded half away from zero, for ``d > 0``."""
-    a = F.abs(n).cast("long")
-    num = a * 2 + d
-    den = d * 2
-    q = ((num - F.pmod(num, den)) / den).cast("long")   # exact: num - pmod is a multiple of den
+    wide = "decimal(38,0)"
+    q = F.call_function("div", (F.abs(n.cast(wide)) * 2 + d).cast(wide), (d * 2).cast(wide))
     return F.when(n >= 0, q).otherwise(-q)
 
 
 def allocate(amount, weight, total) -> Column:
     """``round(amount * weight / total, 2)`` in exact cents; 0.00 when total is not > 0."""
-    n = cents(amount) * _c(weight).cast("bigint")
+    n = cents(amount).cast("decimal(19,0)") * _c(weight).cast("bigint").cast("decimal(18,0)")
     d = _c(total).cast("bigint")
     q = half_up_div(n, d)
     return F.when(d > 0, (q.cast("decimal(20,0)") / F.lit(100)).cast(MONEY)).otherwise(F.lit(0).cast(MONEY))

@@ -232,7 +232,7 @@ def w37(spark, sf_dir):
 
     def build_as_of(as_of):
         def build(incremental):
-            p = B.invoice_payments(t).filter(F.col("payment_date") < F.lit(as_of))
+            p = B.invoice_payments(t).filter(F.col("payment_date") <= F.lit(as_of))
             if incremental:
                 p = p.filter(F.col("payment_date") >= F.lit(dt.date(as_of.year, as_of.month, 1)) - F.expr("interval 2 months"))
             r = monthly_revenue(p, "member_id", "payment_date", "amount", out="revenue")

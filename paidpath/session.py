@@ -64,8 +64,9 @@ def build_session(master: str | None = None, app: str = "paidpath",
 def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
     """Return the shared checkpoint folder named by the cluster.
 
-    The cluster's ``spark.checkpoint.dir`` always wins. Only when it is unset (local
-    tests) is ``fallback`` (or a fresh folder under /tmp) installed.
+    The cluster's ``spark.checkpoint.dir`` always wins. Only when it is unset is ``fallback``
+    installed, or on a local master a fresh folder under /tmp; any other master raises, since
+    its executors would not share such a folder.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
@@ -74,6 +75,8 @@ def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> s
             sc.setCheckpointDir(current)
         return current
     if fallback is None:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         import tempfile
         fallback = tempfile.mkdtemp(prefix="paidpath-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     sc.setCheckpointDir(fallback)

@@ -108,3 +108,12 @@ def test_as_of_is_an_argument_not_the_clock():
         text = p.read_text()
         assert "current_date(" not in text and "current_timestamp(" not in text, p
     assert dt.date  # noqa
+
+
+def test_allocation_of_large_amounts_is_exact(spark):
+    import decimal
+
+    from paidpath.operators.revenue import allocate
+    amount = decimal.Decimal("90071992547409.93")
+    df = spark.createDataFrame([(amount, 7, 7), (amount, 10**9, 10**9), (-amount, 3, 3)], "a decimal(18,2), w bigint, t bigint")
+    assert [r[0] for r in df.select(allocate("a", "w", "t")).collect()] == [amount, amount, -amount]
