@@ -33,7 +33,7 @@ from paidpath.llm.words import ragged, text_chunks
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 MARKER = "▁".encode()
 NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = 1, 2, 3, 4, 5, 6  # kinds of pieces in the file format
-CHUNK = 2 << 20
+CHUNK = 1 << 19
 LONG_WORD = 96  # bytes; longer words are segmented one by one
 UNKNOWN_PENALTY = 10.0
 

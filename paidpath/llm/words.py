@@ -16,8 +16,8 @@ import pyarrow as pa
 
 U = np.uint64
 BASE = 0x9E3779B97F4A7C15  # odd, so it has an inverse modulo 2**64
-BLOCK = 1 << 20
-CHUNK_BYTES = 2 << 20
+BLOCK = 1 << 18
+CHUNK_BYTES = 1 << 19
 
 
 def _letters() -> np.ndarray:
