@@ -20,15 +20,18 @@ from paidpath.functions.calendar import ROLLING_FRAMES, calendar_frame_index
 def rolling_active_count(df: DataFrame, flag: str, key: Sequence[str], order: Sequence[str],
                          n: int, out: str) -> DataFrame:
     """Sum of ``flag`` over the current row and the ``n - 1`` rows before it (rows,
-    not calendar time: gaps shorten the span, T5)."""
-    w = Window.partitionBy(*key).orderBy(*order).rowsBetween(-(n - 1), 0)
+    not calendar time: gaps shorten the span, T5). Other columns break ties, as in W19."""
+    ties = [c for c in df.columns if c not in {*key, *order}]
+    w = Window.partitionBy(*key).orderBy(*order, *ties).rowsBetween(-(n - 1), 0)
     return df.withColumn(out, F.sum(flag).over(w))
 
 
 def previous_values(df: DataFrame, cols: Sequence[str], key: Sequence[str], order: Sequence[str],
                     prefix: str = "last_", offset: int = 1) -> DataFrame:
-    """Previous-row value of several columns (one window spec, one sort)."""
-    w = Window.partitionBy(*key).orderBy(*order)
+    """Previous-row value of several columns (one window spec, one sort). All other
+    columns break ties of ``order`` (T9), so the answer does not depend on task order; they
+    must be of types that Spark can sort."""
+    w = Window.partitionBy(*key).orderBy(*order, *[c for c in df.columns if c not in {*key, *order}])
     return df.withColumns({f"{prefix}{c}": F.lag(c, offset).over(w) for c in cols})
 
 

@@ -59,23 +59,22 @@ def densify(fact: DataFrame, shell: DataFrame, keys: Sequence[str]) -> DataFrame
         *[F.col(f"_fact.{c}") for c in fact.columns if c not in keys])
 
 
-def cross_categories(entities: DataFrame, categories: Sequence[str], overall: str | None = None,
+def cross_categories(entities: DataFrame, categories: Sequence[str] | Column, overall: str | None = None,
                      name: str = "activity_category") -> DataFrame:
     """Entity x category grid plus an optional "overall" category.
 
-    The category list is a bounded set of labels, so the grid is an ``explode`` of a
-    literal array on each entity row (no join, no shuffle)."""
-    labels = list(dict.fromkeys(categories))
-    if overall is not None and overall not in labels:
-        labels.append(overall)
-    arr = F.array(*[F.lit(c) for c in labels])
+    The grid is an ``explode`` of an array of labels on each entity row (no join, no shuffle
+    of entities). ``categories``: the labels, or an array column such as ``label_set``."""
+    if isinstance(categories, Column):
+        arr = categories
+    else:
+        arr = F.array(*[F.lit(c) for c in dict.fromkeys(categories)]).cast("array<string>")
+    if overall is not None:
+        arr = F.array_union(arr, F.array(F.lit(overall)))
     return entities.select(F.explode(arr).alias(name), *entities.columns)
 
 
-def bounded_labels(df: DataFrame, col: str, limit: int = 10_000) -> list[str]:
-    """Distinct labels of a *mapping* table, checked to be small before they reach the
-    driver (mapping tables are bounded by construction; the check enforces it)."""
-    rows = df.select(col).distinct().limit(limit + 1).collect()
-    if len(rows) > limit:
-        raise ValueError(f"{col}: more than {limit} labels; not a mapping table")
-    return sorted(r[0] for r in rows if r[0] is not None)
+def label_set(df: DataFrame, col: str) -> Column:
+    """The distinct labels of a mapping table as one array: a scalar subquery that Spark
+    evaluates when the query runs. Nulls are no labels."""
+    return df.agg(F.array_sort(F.collect_set(col)).alias("labels")).scalar()

@@ -3,7 +3,7 @@ activation and conversion flags.
 
 Event windows are equi joins on (member, category) with the time range as a residual, so
 each customer row meets only its own events; the category grid is an ``explode`` of a
-bounded label list (no cross join).
+label array that Spark reads from the mapping (no cross join, nothing collected).
 """
 
 from __future__ import annotations
@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from paidpath.functions.rules import fold_inbox, fold_inbox_like, social_network_family, threshold_flag
 from paidpath.operators.events import allow_listed_events, events_in_window
 from paidpath.operators.shape import select_except
-from paidpath.operators.spines import bounded_labels, cross_categories
+from paidpath.operators.spines import cross_categories, label_set
 from paidpath.session import materialize
 
 OVERALL = "any_product"
@@ -47,7 +47,7 @@ def activation_funnel(customers: DataFrame, buy_now: DataFrame, events: DataFram
     # one row per customer, read by the grid, the setup window and the final joins: write once
     cust = materialize(activation_customers(customers, buy_now), "activation_customers")
     ev = events.filter(F.col("timestamp") >= F.lit(EVENTS_SINCE))
-    labels = sorted(set(bounded_labels(meaningful.select(fold_inbox("activity_category").alias("c")), "c")))
+    labels = label_set(meaningful.select(fold_inbox("activity_category").alias("c")), "c")
     grid = cross_categories(cust, labels, OVERALL)
     base = grid.select("member_id", "activity_category", "adjusted_signup_date")
 

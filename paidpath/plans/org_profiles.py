@@ -45,8 +45,8 @@ def org_profiles(accounts: DataFrame, organizations: DataFrame, industry_map: Da
 
     Account attributes are the account's last non-null values with no defined order in
     the source (T7); we take ``max`` so duplicate account rows cannot make runs differ.
-    Each account row joined to a resolved organization yields one output row, as in the
-    source."""
+    The account id is a key there, so an organization has one output row however often its
+    account is given."""
     # the account rows feed six aggregates and joins: write the needed columns once
     accounts = materialize(accounts.select("id", "organisation_id__c", "icp_tier__c", "industry",
                                            "no_of_employees__c", "billingcountry"), "crm_accounts")
@@ -58,12 +58,7 @@ def org_profiles(accounts: DataFrame, organizations: DataFrame, industry_map: Da
     props = accounts.groupBy(F.col("id").alias("account_id")).agg(
         F.max("icp_tier__c").alias("icp_tier__c"), F.max("industry").alias("industry__c"),
         F.max("no_of_employees__c").alias("no_of_employees__c"), F.max("billingcountry").alias("country"))
-    # one row per account row of the resolved account, as in the source. Written as inner +
-    # anti join rather than a left join: AQE can split a hot account on either side of an
-    # inner join, but only the preserved side of an outer join.
-    ids = accounts.select(F.col("id").alias("account_id"))
-    rows = links.join(ids, "account_id", "inner").unionByName(links.join(ids, "account_id", "left_anti"))
-    base = (rows.join(props, "account_id", "left")
+    base = (links.join(props, "account_id", "left")
                 .join(broadcast_if_bounded(size_map), F.col("no_of_employees__c") == F.col("legacy_sf_emps"), "left")
                 .join(broadcast_if_bounded(industry_map), F.col("industry__c") == F.col("legacy_sf_industry"), "left")
                 .select("organization_id", "account_id", "country",

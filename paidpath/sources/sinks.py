@@ -25,13 +25,28 @@ def scratch_table_path(spark: SparkSession, name: str) -> str:
     return os.path.join(base, "tables", f"{name}-{uuid.uuid4().hex[:12]}")
 
 
+def _folder(spark: SparkSession, path: str):
+    hpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), hpath
+
+
 def _exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    hpath = jvm.org.apache.hadoop.fs.Path(path)
-    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    fs, hpath = _folder(spark, path)
     return fs.exists(hpath)
 
 
+def drop_months(spark: SparkSession, path: str, month_col: str, which: Callable[[dt.date], bool]) -> None:
+    """Delete the month partitions of ``path`` that ``which`` selects (none if there is no
+    table yet). Only folder names are read: as many as the calendar has months."""
+    fs, hpath = _folder(spark, path)
+    if not fs.exists(hpath):
+        return
+    for status in fs.listStatus(hpath):
+        column, _, value = status.getPath().getName().partition("=")
+        if column == month_col and value != "__HIVE_DEFAULT_PARTITION__" and which(dt.date.fromisoformat(value)):
+            fs.delete(status.getPath(), True)
+
+
 def full_refresh(df: DataFrame, path: str | None = None, partition_by: list[str] | None = None,
                  table: str | None = None) -> DataFrame:
     """Replace the whole table (TRUNCATE + INSERT) and return it read back. Writes a
@@ -51,18 +66,15 @@ def refresh_recent_months(build: Callable[[bool], DataFrame], path: str, as_of:
     """Recompute only months >= (month of ``as_of``) - ``lookback_months``.
 
     ``build(incremental)`` returns the model; with ``incremental=True`` it may read only
-    the recent events. The first run (no table yet) is a full build. Later runs replace
-    just the recomputed month partitions (dynamic partition overwrite), so a month-aligned
-    model gives the same table as a full refresh."""
+    the recent events. The first run (no table yet) is a full build. Later runs delete every
+    month partition of that span and write the recomputed ones (dynamic partition overwrite),
+    so a month that has no rows any more goes too and a month-aligned model gives the same
+    table as a full refresh. A run that fails between the two steps is repaired by the next."""
     spark = SparkSession.getActiveSession()
     if not _exists(spark, path):
         return full_refresh(build(False), path, [month_col])
-    cutoff = lit_date(add_months_py(month_start(as_of), -lookback_months))
-    recent = build(True).filter(F.col(month_col) >= cutoff)
-    prev = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    try:
-        recent.write.mode("overwrite").partitionBy(month_col).parquet(path)
-    finally:
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", prev)
-    return spark.read.parquet(path)
+    cutoff = add_months_py(month_start(as_of), -lookback_months)
+    recent = build(True).filter(F.col(month_col) >= lit_date(cutoff))
+    drop_months(spark, path, month_col, lambda month: month >= cutoff)
+    recent.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(month_col).parquet(path)
+    return spark.read.schema(recent.schema).parquet(path)

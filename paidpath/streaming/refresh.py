@@ -4,7 +4,8 @@ The models run in batch; the only time-incremental rule in them is "recompute th
 month and the two before it" (late events up to two months old are absorbed). As a
 Structured Streaming job this is a ``foreachBatch`` sink: each micro-batch of new events
 names the months it touches (a small distinct set), and those months are recomputed from
-the full event table and replaced with dynamic partition overwrite. State lives in the
+the full event table and replaced: their partitions are deleted, then written with dynamic
+partition overwrite, so a month left without rows goes too. State lives in the
 output table and the stream checkpoint, so a lost executor or a restarted driver
 replays the micro-batch idempotently.
 """
@@ -16,6 +17,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from paidpath.sources.sinks import drop_months
+
 
 def month_refresher(rebuild_months: Callable[[DataFrame], DataFrame], path: str, month_col: str,
                     ts_col: str = "timestamp"):
@@ -24,13 +27,9 @@ def month_refresher(rebuild_months: Callable[[DataFrame], DataFrame], path: str,
     def handle(batch: DataFrame, epoch_id: int) -> None:
         months = batch.select(F.trunc(ts_col, "month").alias(month_col)).distinct()
         out = rebuild_months(months)
-        spark = batch.sparkSession
-        prev = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-        try:
-            out.write.mode("overwrite").partitionBy(month_col).parquet(path)
-        finally:
-            spark.conf.set("spark.sql.sources.partitionOverwriteMode", prev)
+        touched = {r[0] for r in months.collect()}  # as many as the calendar has months
+        drop_months(batch.sparkSession, path, month_col, touched.__contains__)
+        out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(month_col).parquet(path)
 
     return handle
 

@@ -324,7 +324,7 @@ def test_m02_profiles(spark):
     size = spark.createDataFrame([("small", "1-50"), ("medium", "51-1000")], "legacy_sf_emps string, current_sf_emps string")
     rows = sorted(tuple(r) for r in org_profiles(acc, orgs, ind, size).collect())
     assert rows == [
-        ("100", "A1", "CA", "Finance", "1-50", "tier_2"), ("100", "A1", "CA", "Finance", "1-50", "tier_2"),
+        ("100", "A1", "CA", "Finance", "1-50", "tier_2"),  # given twice, one row
         ("200", None, None, None, None, "unknown"), ("201", None, None, None, None, "unknown"),
         ("300", "A3", "FR", "Public", "51-1000", "tier_1"), ("400", None, None, None, None, "unknown")]
 
