@@ -28,7 +28,7 @@ from paidpath.llm.words import BASE, U, mix, text_chunks
 ORDER = 5
 DOCS_A_LANGUAGE = 400  # bound of the training sample, by hash of doc_id
 SPACE = 32
-CHUNK = 6 << 20
+CHUNK = 1 << 20
 
 
 @lru_cache(maxsize=1)
