@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 
 from paidpath.session import ensure_checkpoint_dir
 
+BATCH_BYTES = 4 << 20  # of a record batch that Spark hands to Python
+
 
 def read(spark: SparkSession, sf_dir: str, table: str, *columns: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet").select(*columns)
@@ -20,10 +22,20 @@ def scratch(spark: SparkSession, name: str) -> str:
     return f"{ensure_checkpoint_dir(spark).rstrip('/')}/llm/{name}-{uuid.uuid4().hex}"
 
 
+def bounded_batches(spark: SparkSession) -> None:
+    """Bounds a record batch to BATCH_BYTES, unless the session has a bound of its own. Spark holds every
+    batch of a task in memory outside the heap, and the Python worker holds it again; the
+    bound is no part of any result."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if key not in spark.conf.getAll:
+        spark.conf.set(key, BATCH_BYTES)
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """``df`` as a Parquet table in the shared folder: computed once, lineage cut, and read
     again by whichever executor needs it."""
     spark, path = df.sparkSession, scratch(df.sparkSession, name)
+    bounded_batches(spark)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
