@@ -6,9 +6,10 @@ window (W16).
 Design note (scale): every window join is an *equi* join on the member key with the time
 range as a residual predicate, so Spark plans a sort-merge or (after AQE measures the
 anchor side) broadcast hash join, never a nested loop. Events are filtered by the
-allow-list (a mapping broadcast behind a size bound) before the join. A member holding a third of all events
-is one skewed join partition, which AQE's skew-join handling splits into several tasks
-(the anchor side of that key is small and is replicated to each split).
+allow-list (a mapping broadcast behind a size bound) before the join. AQE splits a hot member's join partition only
+where the anchors are a plain table and nothing above the join reuses its partitioning: the
+operators that group by the member after the join (W05, W11, W13-W16) keep such a member in
+one task unless the anchors are broadcast.
 """
 
 from __future__ import annotations

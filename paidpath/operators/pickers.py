@@ -77,8 +77,9 @@ def last_in_period(df: DataFrame, value: str, partition: Sequence[str], order: S
     the last non-null one).
 
     Computed as a ``max_by`` aggregate joined back on the partition keys instead of an
-    unbounded window: the aggregate is partially combined map-side and the join back is
-    an equi-join that AQE can split when one partition key is hot.
+    unbounded window: the aggregate is partially combined map-side. The join back is an
+    equi-join; AQE does not split it for a hot partition key, whose rows meet in one task
+    unless the aggregate is small enough to be broadcast.
     """
     out = out or value
     ord_col = F.struct(*[F.col(c) for c in order])

@@ -212,13 +212,16 @@ def conversions(coh: DataFrame, networks: DataFrame, trial_to_paying: DataFrame,
 def event_measures(conv: DataFrame, event_log: DataFrame, products: DataFrame, meaningful_events):
     """All windowed event measures from one anchor x event join."""
     anchors = conv.select("member_id", "experiment", "experiment_audience", "created_date_c").distinct()
-    ev = event_log.select("actor_id", "event", "timestamp", "social_network_id", "data",
+    ev = event_log.select("actor_id", "event", "timestamp", "social_network_id",
+                          F.get_json_object("data", "$.additional_data.sourcePage").alias("source_page"),
                           "member_effective_product_code", "member_max_plan")
     pairs = events_in_window(anchors, ev, "member_id", "created_date_c", 0, 119, event_key="actor_id")
     pairs = pairs.select(F.col("_b.member_id").alias("member_id"), "_b.experiment", "_b.experiment_audience",
-                         "_b.created_date_c", "_e.event", "_e.timestamp", "_e.social_network_id",
-                         F.get_json_object("_e.data", "$.additional_data.sourcePage").alias("source_page"),
+                         "_b.created_date_c", "_e.event", "_e.timestamp", "_e.social_network_id", "_e.source_page",
                          "_e.member_effective_product_code", "_e.member_max_plan")
+    # past day 29 only retention reads the pairs, and it reads meaningful events alone
+    pairs = pairs.filter((F.col("timestamp") <= shift("created_date_c", 29, "day")) |
+                         F.col("event").isin(*meaningful_events))
     pairs = materialize(pairs, "experiment_pairs")   # read by five aggregates below
     ts, cr, evn = F.col("timestamp"), F.col("created_date_c"), F.col("event")
     in29 = ts <= shift(cr, 29, "day")

@@ -376,7 +376,9 @@ def w25(spark, sf_dir):
 # ---- experiments ----------------------------------------------------------------------------
 
 def _facts(t: Catalog):
-    return {f"{k}_{'paid' if p else 'free'}": B.onboarding_facts(t, k, p)
+    from paidpath.session import materialize
+    users = materialize(B.user_facts(t), "user_facts")  # one pass over the events for all six
+    return {f"{k}_{'paid' if p else 'free'}": B.onboarding_facts(users, k, p)
             for k in ("setup", "habit", "aha") for p in (True, False)}
 
 
@@ -495,12 +497,18 @@ def w30(spark, sf_dir):
 
 # ---- cohorts and catalogue models -------------------------------------------------------------
 
-def _retention(t: Catalog, written: bool = True):
+def _shipment_days(t: Catalog):
+    """The shuffle of line items with orders, done once where weeks and months need it too."""
+    from paidpath.session import materialize
+    return materialize(B.shipment_days(t), "shipment_days")
+
+
+def _retention(t: Catalog, written: bool = True, days=None):
     """M15's output. Other models read it as an upstream table, so it is written once
     (as a pipeline would persist it) instead of being re-derived inside each consumer."""
     from paidpath.plans.cohorts import year_later_retention
     from paidpath.session import materialize
-    r = year_later_retention(B.paid_months(t), B.shipment_activity(t), B.AS_OF_ORDERS)
+    r = year_later_retention(B.paid_months(t), B.shipment_activity(t, days), B.AS_OF_ORDERS)
     return materialize(r, "year_later_retention") if written else r
 
 
@@ -513,8 +521,9 @@ def m15(spark, sf_dir):
 def m01(spark, sf_dir):
     from paidpath.plans.cohorts import weekly_activity_cohorts
     t = Catalog(spark, sf_dir)
-    r = _retention(t)
-    return weekly_activity_cohorts(B.daily_paying_customers(t), B.shipment_weeks(t), B.shipment_activity(t),
+    days = _shipment_days(t)
+    r = _retention(t, days=days)
+    return weekly_activity_cohorts(B.daily_paying_customers(t), B.shipment_weeks(t, days), B.shipment_activity(t, days),
                                    B.customers(t), r, r, B.AS_OF_ORDERS)
 
 
@@ -522,14 +531,17 @@ def m01(spark, sf_dir):
 def m11(spark, sf_dir):
     from paidpath.plans.cohorts import daily_active_paying_customers
     t = Catalog(spark, sf_dir)
-    return daily_active_paying_customers(B.daily_paying_customers(t), B.shipment_days(t), _retention(t))
+    days = _shipment_days(t)
+    return daily_active_paying_customers(B.daily_paying_customers(t), days, _retention(t, days=days))
 
 
 @query("m12_monthly_active_paying_customers")
 def m12(spark, sf_dir):
     from paidpath.plans.cohorts import monthly_active_paying_customers
     t = Catalog(spark, sf_dir)
-    return monthly_active_paying_customers(B.paid_months(t), B.customers(t), B.shipment_activity(t), _retention(t))
+    days = _shipment_days(t)
+    return monthly_active_paying_customers(B.paid_months(t), B.customers(t), B.shipment_activity(t, days),
+                                           _retention(t, days=days))
 
 
 @query("m13_paid_base_seats")

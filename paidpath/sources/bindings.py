@@ -226,15 +226,17 @@ def paid_base_by_member(t: Catalog) -> DataFrame:
     return top.select("member_id", "date", "plan", "billing_interval")
 
 
-def shipment_activity(t: Catalog) -> DataFrame:
-    """Member-months with a shipped line item: the activity feed of the orders binding."""
-    li = t("lineitem", ["l_orderkey", "l_shipdate"])
-    o = t("orders", ["o_orderkey", "o_custkey"])
-    j = li.join(o, li.l_orderkey == o.o_orderkey)
-    return (j.select(F.col("o_custkey").alias("member_id"),
-                     F.trunc("l_shipdate", "month").alias("month_of_activity"))
-             .distinct()
-             .withColumn("is_active", F.lit(True)))
+def shipment_activity(t: Catalog, days: DataFrame | None = None) -> DataFrame:
+    """Member-months with a shipped line item: the activity feed of the orders binding.
+    ``days``: shipment_days, where a query has them already."""
+    if days is None:
+        li = t("lineitem", ["l_orderkey", "l_shipdate"])
+        o = t("orders", ["o_orderkey", "o_custkey"])
+        days = li.join(o, li.l_orderkey == o.o_orderkey).select(
+            F.col("o_custkey").alias("member_id"), F.to_date("l_shipdate").alias("activity_date"))
+    return (days.select("member_id", F.trunc("activity_date", "month").alias("month_of_activity"))
+                .distinct()
+                .withColumn("is_active", F.lit(True)))
 
 
 def member_tiers(t: Catalog) -> DataFrame:
@@ -491,7 +493,8 @@ def engagement_days(t: Catalog) -> DataFrame:
     return e.select(F.col("actor_id").alias("member_id"), F.to_date("timestamp").alias("activity_date_utc")).distinct()
 
 
-def _user_facts(t: Catalog) -> DataFrame:
+def user_facts(t: Catalog) -> DataFrame:
+    """Counts of events by kind and of networks per member."""
     e = product_events(t)
     c = lambda cond: F.count_if(cond)
     return e.groupBy(F.col("actor_id").alias("member_id")).agg(
@@ -504,10 +507,10 @@ def _user_facts(t: Catalog) -> DataFrame:
         c(F.col("social_network_type") == "twitter").alias("n_twitter"))
 
 
-def onboarding_facts(t: Catalog, kind: str, paid: bool) -> DataFrame:
-    """Setup / habit / aha fact tables; 'paid' tables hold members with a purchase, 'free'
-    tables the others."""
-    f = _user_facts(t)
+def onboarding_facts(users: DataFrame, kind: str, paid: bool) -> DataFrame:
+    """Setup / habit / aha fact tables from ``user_facts``; 'paid' tables hold members with a
+    purchase, 'free' tables the others."""
+    f = users
     f = f.filter(F.col("n_purchase") > 0) if paid else f.filter(F.col("n_purchase") == 0)
     if kind == "setup":
         return f.select("member_id", (F.col("n_click") >= 5).alias("setup_moment"),
@@ -555,8 +558,8 @@ def shipment_days(t: Catalog) -> DataFrame:
               .select(F.col("o_custkey").alias("member_id"), F.to_date("l_shipdate").alias("activity_date")).distinct())
 
 
-def shipment_weeks(t: Catalog) -> DataFrame:
-    return (shipment_days(t).select("member_id", F.date_trunc("week", "activity_date").cast("date")
+def shipment_weeks(t: Catalog, days: DataFrame | None = None) -> DataFrame:
+    return ((shipment_days(t) if days is None else days).select("member_id", F.date_trunc("week", "activity_date").cast("date")
                                     .alias("week_of_activity")).distinct()
             .withColumn("is_active", F.lit(True)))
 
