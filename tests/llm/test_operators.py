@@ -137,6 +137,32 @@ def test_cross_entropy_difference(spark, docs, odd, none):
     assert crossentropy.cross_entropy_difference(none, none).count() == 0
 
 
+def test_cross_entropy_of_rare_words_against_a_dense_model(spark):
+    # more words than the former cap of 1,535 and its 512 classes could tell apart, each in two documents
+    rng = np.random.default_rng(4)
+    rare = rng.permutation(np.repeat([f"w{i}" for i in range(3000)], 2))
+    rows = [(i, " ".join(["The", *rare[i * 60:i * 60 + 60], "the"])) for i in range(100)]
+    rows += [(7, rows[7][1]), (7, "w1 w1 w2"), (None, "w1 w2"), (200, None), (201, "")]
+    wanted = [0, 7, 50, 201, 999]
+    flow = [["", *words((t or "").translate(LOWER)), ""] for _, t in rows]
+    number = {w: k for k, w in enumerate(sorted({w for f in flow for w in f}))}
+    counts = np.zeros((2, len(number), len(number)))
+    for (i, _), f in zip(rows, flow, strict=True):
+        for a, b in zip(f, f[1:], strict=False):
+            counts[:, number[a], number[b]] += [i in wanted, 1]
+    logs = [crossentropy.log_model(counts[0]), crossentropy.log_model(counts[1] * counts[0].sum() / counts[1].sum())]
+    want = []
+    for (i, _), f in zip(rows, flow, strict=True):
+        bits = [-np.mean([m[number[a], number[b]] for a, b in zip(f, f[1:], strict=False)]) for m in logs]
+        want.append((-1 if i is None else i, len(f) - 2, *bits, bits[1] - bits[0]))
+    table = spark.createDataFrame(rows, "doc_id long, text string")
+    target = spark.createDataFrame([(i,) for i in [*wanted, 7, None]], "doc_id long")
+    for sizes in ((2_000, 3_000), (1 << 20, 1 << 20)):
+        got = [(-1 if r[0] is None else r[0], *r[1:]) for r in map(tuple, crossentropy.cross_entropy_difference(table, target, *sizes).collect())]
+        for x, y in zip(sorted(got), sorted(want), strict=True):
+            assert x == pytest.approx(y, abs=1e-9)
+
+
 # 4
 def test_neighbours_recall_and_ties(spark):
     rows = spark.read.parquet(f"{SMALL}/embeddings.parquet")
