@@ -11,10 +11,12 @@ doc_id are one document given more than once.
    guarantees. A suffix without an equal neighbour is done with.
 3. Left: each position p stands for the windows of ``length`` words that selected it, which
    start at a .. b with p - span < a <= b <= p. The outermost two are compared first. If
-   both repeat, all between is covered. If not, the windows between are compared as well,
-   which extends the match to the left and right word by word.
+   the places of a suffix have no others than these two, all between is covered alike. If
+   not, the windows between are compared as well, which extends the match to the left and
+   right word by word.
 
-So the result is exactly the union of all windows that occur twice. Groups of equal
+So the results are exactly the union of all windows that occur twice, and the union of all
+that occur at an earlier place. Groups of equal
 suffixes are never expanded into pairs: each window is compared with its group's first
 place, by sums that are combined before the shuffle. Bitmaps of fixed size only spare work.
 """
@@ -128,11 +130,12 @@ def repeated_windows(docs: DataFrame, length: int = 50, span: int = 26) -> DataF
         return docs.mapInArrow(emit, "h long, doc_id long, s array<int>, key long")
 
     outer = written(windows_of(spark.sparkContext.broadcast(shared), inner=False), "edges")
-    # suffixes of which some place has an outer window without an equal: all their places
-    # are looked into, as an equal of an inner window may stand between two that repeat
-    lone = (outer.groupBy("h").agg(F.min("key").alias("key"), F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi"))
-            .where("lo = hi").select("key"))
-    odd = BitFilter(lone, "key", hashed=True)
+    # suffixes with more than two different outer windows: all their places are looked into, as
+    # an equal of an inner window may stand between two that have no equal, or other first
+    # places. With two at most, the places that have both are alike in all between, and what
+    # is between repeats, or repeats an earlier place, only where the outer windows cover it
+    several = outer.groupBy("key", "h").agg(F.lit(1)).groupBy("key").count().where("count > 2").select("key")
+    odd = BitFilter(several, "key", hashed=True)
     middle = written(windows_of(spark.sparkContext.broadcast(odd), inner=True).drop("key"), "inner")
     # an inner window's equal may be an outer one elsewhere: all places are judged together
     return _judged(outer.drop("key").union(middle))

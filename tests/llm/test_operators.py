@@ -305,6 +305,24 @@ def test_repeated_passages_against_brute_force(spark, docs):
     assert kept[102] == dict(rows)[102] and all(i in kept for i in dict(rows) if i not in every)
 
 
+def test_later_places_against_brute_force(spark):
+    # a passage in A and B, each of which shares its surroundings with another document
+    def four(i, n):
+        word = lambda name, size: [f"{name}{i}_{k}" for k in range(size)]
+        a, b, p = word("a", 80), word("b", 80), word("p", n)
+        left, right = a[:40] + p + a[40:], b[:40] + p + b[40:]
+        return [word("u", 9) + left, left + word("v", 9), word("x", 9) + right, right + word("y", 9)]
+    texts = [t for i in range(48) for t in four(i, (50, 51, 55, 60, 65, 75)[i % 6])]
+    rng = np.random.default_rng(6)
+    rows = [(int(i), " ".join(t)) for i, t in zip(rng.permutation(len(texts)), texts, strict=True)]
+    table = spark.createDataFrame(rows, "doc_id long, text string")
+    every, later = brute_repeats(rows, 50)
+    covered = lambda spans: {k for x in spans for k in range(x["start"], x["end"])}
+    found = {r["doc_id"]: r for r in passages.repeated_spans(table).collect()}
+    assert {i: covered(r["spans"]) for i, r in found.items()} == every
+    assert {i: covered(r["later"]) for i, r in found.items()} == {i: later[i] for i in every}
+
+
 def test_repeated_passages_of_odd_rows(odd, none):
     rows = passages.repeated_spans(odd).collect()
     assert [r["doc_id"] for r in rows] == [5] and rows[0]["n_repeated"] == 30_000
