@@ -149,17 +149,24 @@ def cosines(q: np.ndarray, x: np.ndarray) -> np.ndarray:
 
 
 def best_in_block(q_ids: np.ndarray, q: np.ndarray, x_ids: np.ndarray, x: np.ndarray, k: int) -> tuple[np.ndarray, ...]:
-    """(query, vector, cosine) of each query's ``k`` best in a block, ties to smaller ids."""
+    """(query, vector, cosine) of each query's ``k`` best vec_ids in a block, each with its
+    best row, ties to smaller ids."""
     out: list[tuple[np.ndarray, ...]] = []
+    order = np.argsort(x_ids, kind="stable")
+    x_ids, x = x_ids[order], x[order]
+    heads = np.flatnonzero(np.concatenate([[True], x_ids[1:] != x_ids[:-1]]))
     unit_q, unit_x = (m / np.linalg.norm(m, axis=1, keepdims=True) for m in (q / np.abs(q).max(1, keepdims=True), x / np.abs(x).max(1, keepdims=True)))
     for i in range(0, len(q), 64):
         rough = unit_q[i:i + 64] @ unit_x.T
         rough[q_ids[i:i + 64, None] == x_ids[None, :]] = -np.inf
-        least = np.partition(rough, -k, 1)[:, -k] if rough.shape[1] > k else np.full(len(rough), -2.0)
+        each = np.maximum.reduceat(rough, heads, axis=1) if len(heads) < len(x_ids) else rough
+        least = np.partition(each, -k, 1)[:, -k] if len(heads) > k else np.full(len(rough), -2.0)
         a, b = np.nonzero(rough >= np.maximum(least, -2.0)[:, None] - 1e-9)
         exact = cosines(q[i + a], x[b])
         order = np.lexsort((x_ids[b], -exact, a))
         a, b, exact = a[order], b[order], exact[order]
+        once = np.sort(np.unique(a * len(x_ids) + np.searchsorted(x_ids, x_ids[b]), return_index=True)[1])
+        a, b, exact = a[once], b[once], exact[once]
         first = np.searchsorted(a, a)
         top = np.arange(len(a)) - first < k
         out.append((q_ids[i + a[top]], x_ids[b[top]], exact[top]))
@@ -183,8 +190,9 @@ def nearest(vectors: DataFrame, is_query: Column | None = None, k: int = 5, id_c
     sizes = sorted((r["count"], r["d"]) for r in rows.groupBy(F.size("v").alias("d")).count().collect())
     if not sizes:
         return spark.createDataFrame([], schema)
-    n, d = sizes[-1]
-    rows = written(rows.where(F.size("v") == d), "vectors")
+    d = sizes[-1][1]
+    rows = written(rows.where(F.size("v") == d).distinct(), "vectors")
+    n = rows.count()
     some = rows.where(F.pmod(F.xxhash64("vec_id"), F.lit(1 << 20)) < int(min(1.0, SAMPLE / n) * (1 << 20))).select("v").toArrow().column("v")
     sample = _unit(_matrix(some.combine_chunks(), d)) if len(some) else _unit(_matrix(rows.select("v").limit(1).toArrow().column("v").combine_chunks(), d))
     lists = min(MOST_LISTS, max(1, n // LIST_ROWS))
@@ -201,10 +209,11 @@ def nearest(vectors: DataFrame, is_query: Column | None = None, k: int = 5, id_c
 
     postings = written(rows.mapInArrow(post, "list long, vec_id long, v array<double>"), "postings")
     held = np.zeros(len(graph.centroids), np.int64)
-    for r in postings.groupBy("list").count().collect():
+    # every vec_id counts in one of its lists, however many rows and lists it has
+    for r in postings.groupBy("vec_id").agg(F.min("list").alias("list")).groupBy("list").count().collect():
         held[r["list"]] = r["count"]
     lengths = spark.sparkContext.broadcast(held)
-    enough = REPLICAS * (k + 1)  # entries that hold k + 1 different vectors at least
+    enough = REPLICAS * (k + 1)
 
     def probe(batches):
         for batch in batches:
@@ -219,7 +228,7 @@ def nearest(vectors: DataFrame, is_query: Column | None = None, k: int = 5, id_c
     probes = written(rows.where(is_query).dropDuplicates(["vec_id"]).mapInArrow(probe, "list long, vec_id long, v array<double>"), "probes")
     asked = probes.groupBy("list").agg(F.ceil(F.count("*") / BLOCK).cast("long").alias("nq"))
     blocks = (postings.groupBy("list").agg(F.ceil(F.count("*") / BLOCK).cast("long").alias("nb")).join(asked, "list"))
-    salt = lambda n: F.pmod(F.xxhash64("vec_id"), F.col(n))
+    salt = lambda n: F.pmod(F.xxhash64("vec_id", "v"), F.col(n))
     upto = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1))
     left = probes.join(blocks, "list").withColumn("q", salt("nq")).withColumn("b", upto("nb")).select("list", "b", "q", "vec_id", "v")
     right = postings.join(blocks, "list").withColumn("b", salt("nb")).withColumn("q", upto("nq")).select("list", "b", "q", "vec_id", "v")

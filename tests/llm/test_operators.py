@@ -189,6 +189,21 @@ def test_neighbours_recall_and_ties(spark):
     assert neighbours.nearest(rows.limit(0)).count() == 0
 
 
+def test_neighbours_of_rows_given_several_times(spark, monkeypatch):
+    monkeypatch.setattr(neighbours, "BLOCK", 64)
+    rows = spark.read.parquet(f"{SMALL}/embeddings.parquet").select("vec_id", "embedding")
+    one = sorted(map(tuple, neighbours.nearest(rows).collect()))
+    many = rows.crossJoin(spark.range(6).select(F.lit(1)).toDF("x")).drop("x")
+    assert sorted(map(tuple, neighbours.nearest(many).collect())) == one
+    few = neighbours.nearest(rows.limit(3).crossJoin(spark.range(10)).drop("id"), is_query=F.col("vec_id") >= 0)
+    assert few.count() == 6
+    # one vec_id with many different rows hides no other
+    rng = np.random.default_rng(8)
+    table = [(0, [1.0, 0.0, 0.0])] + [(1, [1.0, float(e), 0.0]) for e in rng.uniform(0, 0.01, 200)] + [(i, [1.0, 0.0, i / 10]) for i in range(2, 9)]
+    got = neighbours.nearest(spark.createDataFrame(table, "vec_id long, embedding array<double>")).orderBy("rank").collect()
+    assert [r["vec_id"] for r in got] == [1, 2, 3, 4, 5]
+
+
 # 5
 def brute_components(rows, n=4, percent=85):
     sets = {}
