@@ -2,7 +2,7 @@
 
 import pytest
 
-from conftest import SMALL
+from datasets import SMALL
 
 import __spark_entry__ as E
 from paidpath.oracle import ORACLE

@@ -3,7 +3,7 @@ for the nine W20 frames, pruned scans with pushed filters."""
 
 import pytest
 
-from conftest import SMALL
+from datasets import SMALL
 
 
 def _plan(df) -> str:

@@ -7,7 +7,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from conftest import MEDIUM, SMALL
+from datasets import MEDIUM, SMALL
 
 
 def test_waterfall_identity_with_positive_mrr(spark):

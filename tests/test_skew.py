@@ -9,7 +9,7 @@ import pyarrow.compute as pc
 import pyarrow.parquet as pq
 import pytest
 
-from conftest import SMALL
+from datasets import SMALL
 
 EVENT_QUERIES = ["m07_monthly_active_customers", "m06_experiment_monitoring", "m03_activation_funnel",
                  "m09_arr_attribution", "m13_paid_base_seats", "w04_last_in_period", "w10_events_in_window",

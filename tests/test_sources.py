@@ -2,7 +2,7 @@
 
 import os
 
-from conftest import SMALL
+from datasets import SMALL
 
 
 def test_models_run_over_catalog_tables(spark):

@@ -6,7 +6,7 @@ import shutil
 
 from pyspark.sql import functions as F
 
-from conftest import SMALL
+from datasets import SMALL
 
 
 def test_stream_refresh_equals_batch(spark, tmp_path):
