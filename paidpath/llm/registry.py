@@ -5,10 +5,10 @@ result; the operators have their own interfaces."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from paidpath.llm import (crossentropy, decontaminate, jaccard, langid, neighbours, passages, quality, sentencepieces,
+from paidpath.llm import (crossentropy, decontaminate, infilling, jaccard, langid, neighbours, passages, quality, sentencepieces,
                           sharding, warc)
 from paidpath.llm.tables import crc_of_id, read
 
@@ -61,9 +61,19 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
                        F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = infilling.infilled(read(spark, sf_dir, "documents", "doc_id", "text").select("doc_id", "text"))
+    return rows.select("doc_id", "n", "form", "prefix_chars", "middle_chars", _sha256(F.col("output")).alias("output_sha256"),
+                       _sha256(infilling.restored(F.col("output"), F.col("form"))).alias("restored_sha256"))
+
+
+def _sha256(text: Column) -> Column:
+    return F.sha2(text.cast("binary"), 256)
+
+
 QUERIES = {f.__name__: f for f in (
     op1_sentencepiece, op2_language_id, op3_cross_entropy, op4_neighbours, op5_jaccard_join, op6_warc, op7_repeated_passages,
-    op8_quality, op9_decontamination, op10_sharding)}
+    op8_quality, op9_decontamination, op10_sharding, op11_fill_in_middle)}
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
@@ -118,4 +128,23 @@ named AS (
 SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit, CAST(coalesce(n_items, 0) AS BIGINT) AS n_items,
   sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
 FROM words LEFT JOIN hit USING (doc_id) LEFT JOIN named USING (doc_id)""",
+    "op11_fill_in_middle": r"""
+WITH units AS (
+  SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[A-Za-z]+|[^A-Za-z]') AS u,
+    sha256('1:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h FROM documents),
+numbers AS (
+  SELECT doc_id, t, u, len(u) AS n, CAST('0x' || substr(h, 1, 8) AS BIGINT) AS h1, CAST('0x' || substr(h, 9, 8) AS BIGINT) AS h2,
+    CAST('0x' || substr(h, 17, 8) AS BIGINT) AS h3, CAST('0x' || substr(h, 25, 8) AS BIGINT) AS h4 FROM units),
+formed AS (
+  SELECT doc_id, t, u, n, least(h1 % (n + 1), h2 % (n + 1)) AS a, greatest(h1 % (n + 1), h2 % (n + 1)) AS b,
+    CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR h3 % 100 >= 90 THEN 'plain'
+      WHEN h4 % 100 < 20 THEN 'spm' ELSE 'psm' END AS form FROM numbers),
+parts AS (
+  SELECT doc_id, t, n, form, array_to_string(u[1:a], '') AS p, array_to_string(u[a + 1:b], '') AS m, array_to_string(u[b + 1:n], '') AS s
+  FROM formed)
+SELECT doc_id, CAST(n AS BIGINT) AS n, form, CASE WHEN form <> 'plain' THEN CAST(length(p) AS BIGINT) END AS prefix_chars,
+  CASE WHEN form <> 'plain' THEN CAST(length(m) AS BIGINT) END AS middle_chars,
+  sha256(CASE form WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m WHEN 'spm' THEN '<S>' || s || '<P>' || p || '<M>' || m ELSE t END) AS output_sha256,
+  sha256(t) AS restored_sha256
+FROM parts""",
 }
