@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from paidpath.llm import (crossentropy, decontaminate, infilling, jaccard, langid, neighbours, passages, quality, sentencepieces,
-                          sharding, warc)
+                          sharding, tokencounts, warc)
 from paidpath.llm.tables import crc_of_id, read
 
 
@@ -71,9 +71,15 @@ def _sha256(text: Column) -> Column:
     return F.sha2(text.cast("binary"), 256)
 
 
+def op12_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = tokencounts.counted(read(spark, sf_dir, "documents", "doc_id", "text"))
+    return rows.select("doc_id", F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("n_bytes"), "n_tokens",
+                       (F.col("n_tokens") > 1024).alias("over_limit"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_sentencepiece, op2_language_id, op3_cross_entropy, op4_neighbours, op5_jaccard_join, op6_warc, op7_repeated_passages,
-    op8_quality, op9_decontamination, op10_sharding, op11_fill_in_middle)}
+    op8_quality, op9_decontamination, op10_sharding, op11_fill_in_middle, op12_token_counts)}
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
