@@ -8,8 +8,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from paidpath.llm import (crossentropy, decontaminate, infilling, jaccard, langid, neighbours, passages, quality, sentencepieces,
-                          sharding, tokencounts, warc)
+from paidpath.llm import (crossentropy, decontaminate, infilling, jaccard, langid, lexical, neighbours, passages, quality,
+                          sentencepieces, sharding, tokencounts, warc)
 from paidpath.llm.tables import crc_of_id, read
 
 
@@ -77,9 +77,14 @@ def op12_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
                        (F.col("n_tokens") > 1024).alias("over_limit"))
 
 
+def op13_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.ranked(read(spark, sf_dir, "documents", "doc_id", "text"), read(spark, sf_dir, "benchmark", "item_id", "text"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_sentencepiece, op2_language_id, op3_cross_entropy, op4_neighbours, op5_jaccard_join, op6_warc, op7_repeated_passages,
-    op8_quality, op9_decontamination, op10_sharding, op11_fill_in_middle, op12_token_counts)}
+    op8_quality, op9_decontamination, op10_sharding, op11_fill_in_middle, op12_token_counts,
+    op13_ranked_search)}
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
@@ -153,4 +158,24 @@ SELECT doc_id, CAST(n AS BIGINT) AS n, form, CASE WHEN form <> 'plain' THEN CAST
   sha256(CASE form WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m WHEN 'spm' THEN '<S>' || s || '<P>' || p || '<M>' || m ELSE t END) AS output_sha256,
   sha256(t) AS restored_sha256
 FROM parts""",
+    "op13_ranked_search": rf"""
+WITH words AS (
+  SELECT doc_id, unnest(regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) AS term FROM documents),
+counts AS (SELECT doc_id, term, count(*) AS tf FROM words GROUP BY doc_id, term),
+lengths AS (SELECT doc_id, count(*) AS n FROM words GROUP BY doc_id),
+corpus AS (SELECT count(*) AS n_docs, CAST(sum(n) AS BIGINT) AS n_words FROM lengths),
+weights AS (
+  SELECT term, CAST(floor(1000 * ln(CAST(2 * n_docs + 2 AS DOUBLE) / (2 * count(*) + 1))) AS BIGINT) AS w
+  FROM counts, corpus GROUP BY term, n_docs),
+asked AS (
+  SELECT item_id, term, count(*) AS times
+  FROM (SELECT item_id, unnest(regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) AS term FROM benchmark)
+  GROUP BY item_id, term),
+scores AS (
+  SELECT item_id, doc_id, CAST(sum(times * w * ((1000000000 * tf) // (1000 * tf + 12 * (75 + (25 * n * n_docs) // n_words)))) AS BIGINT) AS score
+  FROM asked JOIN weights USING (term) JOIN counts USING (term) JOIN lengths USING (doc_id), corpus GROUP BY item_id, doc_id),
+ranks AS (
+  SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank, doc_id, score
+  FROM scores WHERE score > 0)
+SELECT item_id, rank, doc_id, score FROM ranks WHERE rank <= 20""",
 }
