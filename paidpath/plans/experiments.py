@@ -1,13 +1,13 @@
 """Experiment monitoring (M06): distinct members per combination of 58 read-out
 dimensions.
 
-Plan shape: the conversion anchors (member, experiment, audience, created day) are joined
-to the event log **once**, on the member key with the widest window (0-119 days) as a
-residual, instead of the source's eight separate joins. Every windowed measure (d0, d5,
-d28 actions, 29-day first events, breadth, month-1..3 retention) is a conditional
-aggregate with its own bounds over that single pair set. The before-marker network count
-(W13) is a second pass over the same pairs. Mapping tables are broadcast behind a size bound; every fact
-table joins on ``member_id``.
+Plan shape: the conversion anchors (member, created day) are joined to the event log
+**once**, on the member and a bucket of days with the widest window (0-119 days) as a residual,
+instead of the source's eight separate joins. Events come as a time, a network and a bit for
+each class they belong to. The pairs are reduced where they are made to a mergeable funnel
+state (operators/funnel.py), which is written; every windowed measure (d0, d5, d28 actions,
+29-day first events, breadth, networks before the marker, month-1..3 retention) comes from it.
+Mapping tables are broadcast behind a size bound; every fact table joins on ``member_id``.
 """
 
 from __future__ import annotations
@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from paidpath.functions.calendar import lit_date
 from paidpath.functions.rules import experiment_audience, tri_state, week_bucket
 from paidpath.operators.events import active_days_in_window, events_in_window, shift
+from paidpath.operators.funnel import distinct_before, distinct_of, event_classes, funnel_state, has_class, merge_states
 from paidpath.operators.revenue import first_refund
 from paidpath.session import materialize
 from paidpath.operators.sizing import broadcast_if_bounded
@@ -58,6 +59,8 @@ D5_EVENTS = (PUBLISHER_EVENT,) + COMPOSER_EVENTS + PLANNER_EVENTS + ANALYTICS_EV
 # The 28-day filter list leaves out the publisher and composer events, so those two
 # counts are always 0 (T14); kept as in the source.
 D28_EVENTS = (TEAM_MEMBER_EVENT,) + PLANNER_EVENTS + ANALYTICS_EVENTS + STREAMS_EVENTS
+D28_CLASSES = ("team", "planner", "analytics", "streams")
+RETENTION_DAYS = {"m1": (30, 59), "m2": (60, 89), "m3": (90, 119)}
 
 DIMENSIONS = [
     "experiment", "variant", "acquisition_source", "market", "created_date", "have_sn", "converted", "regularity",
@@ -209,84 +212,100 @@ def conversions(coh: DataFrame, networks: DataFrame, trial_to_paying: DataFrame,
     return out.distinct()
 
 
+def read_out_classes(meaningful_events, any_product: Column, paid_product: Column) -> dict[str, Column]:
+    """``any_product`` / ``paid_product``: whether the event's product counts for retention."""
+    e = F.col("event")
+    steal = e.endswith(STEAL_SUFFIX)
+    # only call-to-action events look into their payload
+    page = F.when(e.isin(*POST_CTA_EVENTS), F.get_json_object("data", "$.additional_data.sourcePage"))
+    meaningful = e.isin(*meaningful_events)
+    return {
+        "finish": e.isin(*FINISH_STEP_2_EVENTS), "dashboard": e == DASHBOARD_EVENT,
+        "instagram": e.isin(*INSTAGRAM_ATTEMPT_EVENTS), "planner": e.isin(*PLANNER_EVENTS),
+        "analytics": e.isin(*ANALYTICS_EVENTS), "streams": e.isin(*STREAMS_EVENTS), "publisher": e == PUBLISHER_EVENT,
+        "planner_post": page == "planner", "composer": e.isin(*COMPOSER_EVENTS), "team": e == TEAM_MEMBER_EVENT,
+        "added": e.startswith(ADD_NETWORK_PREFIX) | steal,
+        "engaged": ~(e.isin(*ENGAGEMENT_EXCLUDED_EVENTS) | steal | e.startswith(ADD_NETWORK_STEM) | e.startswith(DROP_NETWORK_STEM)),
+        "kept": meaningful & any_product, "kept_paid": meaningful & paid_product,
+    }
+
+
+def retention_products(products: DataFrame) -> DataFrame:
+    """Product codes with what their rows allow: whether any row counts (and one that is paid
+    for), for events whose plan is known (``listed``) and for those whose plan is not."""
+    listed = (F.col("include_in_ecomm") == "TRUE") | (F.col("include_in_enterprise") == "TRUE")
+    paid = F.col("is_paid") == "True"
+
+    def holds(c: Column) -> Column:
+        return F.coalesce(F.bool_or(c), F.lit(False))
+
+    return products.groupBy(F.col("billing_product_code").alias("member_effective_product_code")).agg(
+        holds(listed).alias("_listed"), holds(listed & paid).alias("_listed_paid"), holds(paid).alias("_paid"))
+
+
+def experiment_funnel(conv: DataFrame, event_log: DataFrame, products: DataFrame, meaningful_events) -> DataFrame:
+    """The funnel state of every (member, created day, network): one anchor x event join, dealt
+    by member and week, reduced where the pairs are made. Experiments that share a member and
+    a day share their pairs. An event comes as its time, network and classes."""
+    anchors = conv.select("member_id", "created_date_c").distinct()
+    ev = event_log.join(broadcast_if_bounded(retention_products(products)), "member_effective_product_code", "left")
+    no_plan = F.col("member_max_plan").isNull()
+    classes = read_out_classes(
+        meaningful_events, F.coalesce(F.col("_listed") | (no_plan & F.col("_listed").isNotNull()), F.lit(False)),
+        F.coalesce(F.col("_listed_paid") | (no_plan & F.col("_paid")), F.lit(False)))
+    ev = ev.select("actor_id", "timestamp", "social_network_id", event_classes(classes)).where("classes <> 0")
+    pairs = events_in_window(anchors, ev, "member_id", "created_date_c", 0, 119, event_key="actor_id", days=7)
+    pairs = pairs.select("_b.member_id", "_b.created_date_c", "_e.timestamp", "_e.social_network_id", "_e.classes")
+
+    def of(*names: str) -> Column:
+        return has_class(classes, *names)
+
+    ts, cr = F.col("timestamp"), F.col("created_date_c")
+    in29, d0 = ts <= shift(cr, 29, "day"), ts < shift(cr, 1, "day")
+    d5, d28 = ts <= shift(cr, 119, "hour"), ts <= shift(cr, 27, "day")
+    day = F.datediff(F.to_date(ts), F.to_date(cr))
+    later = ts >= shift(cr, 30, "day")
+    pairs = pairs.where(in29 | of("kept"))  # past day 29 only retention is read
+    counts = {"engaged": in29 & of("engaged"), "kept": later & of("kept")}
+    counts |= {f"d0_{c}": d0 & of(c) for c in ("instagram", "planner", "analytics", "streams")}
+    counts |= {f"d5_{c}": d5 & of(c) for c in ("publisher", "planner_post", "composer", "planner", "analytics", "streams")}
+    # the 28-day filter list leaves out the publisher and composer events
+    counts |= {f"d28_{c}": d28 & of(c) & F.lit(c in D28_CLASSES) for c in ("team", "publisher", "composer", "planner", "analytics", "streams")}
+    for m, (lo, hi) in RETENTION_DAYS.items():
+        counts |= {f"{m}_free": later & day.between(lo, hi) & of("kept"), f"{m}_paid": later & day.between(lo, hi) & of("kept_paid")}
+    return funnel_state(pairs, ["member_id", "created_date_c", "social_network_id"], "timestamp",
+                        {"finish": in29 & of("finish"), "dashboard": in29 & of("dashboard"), "added": in29 & of("added")}, counts)
+
+
 def event_measures(conv: DataFrame, event_log: DataFrame, products: DataFrame, meaningful_events):
-    """All windowed event measures from one anchor x event join."""
-    anchors = conv.select("member_id", "experiment", "experiment_audience", "created_date_c").distinct()
-    ev = event_log.select("actor_id", "event", "timestamp", "social_network_id",
-                          F.get_json_object("data", "$.additional_data.sourcePage").alias("source_page"),
-                          "member_effective_product_code", "member_max_plan")
-    pairs = events_in_window(anchors, ev, "member_id", "created_date_c", 0, 119, event_key="actor_id")
-    pairs = pairs.select(F.col("_b.member_id").alias("member_id"), "_b.experiment", "_b.experiment_audience",
-                         "_b.created_date_c", "_e.event", "_e.timestamp", "_e.social_network_id", "_e.source_page",
-                         "_e.member_effective_product_code", "_e.member_max_plan")
-    # past day 29 only retention reads the pairs, and it reads meaningful events alone
-    pairs = pairs.filter((F.col("timestamp") <= shift("created_date_c", 29, "day")) |
-                         F.col("event").isin(*meaningful_events))
-    pairs = materialize(pairs, "experiment_pairs")   # read by five aggregates below
-    ts, cr, evn = F.col("timestamp"), F.col("created_date_c"), F.col("event")
-    in29 = ts <= shift(cr, 29, "day")
-    d0w = ts < shift(cr, 1, "day")
-    d5w = ts <= shift(cr, 119, "hour")
-    d28w = ts <= shift(cr, 27, "day")
-
-    def n(cond: Column) -> Column:
-        return F.sum(F.when(cond, 1).otherwise(0))
-
-    firsts = (pairs.groupBy("member_id", "created_date_c")
-                   .agg(F.min(F.when(in29 & evn.isin(*FINISH_STEP_2_EVENTS), ts)).alias("finish_ts"),
-                        F.min(F.when(in29 & (evn == DASHBOARD_EVENT), ts)).alias("dashboard_ts")))
-    finish = firsts.filter(F.col("finish_ts").isNotNull()).select("member_id", "created_date_c", "finish_ts")
-    dashboard = firsts.filter(F.col("dashboard_ts").isNotNull()).select("member_id", "created_date_c", "dashboard_ts")
-
-    d0 = d0w & evn.isin(*D0_EVENTS)
-    d5 = d5w & evn.isin(*D5_EVENTS)
-    d28 = d28w & evn.isin(*D28_EVENTS)
-    planner_page = F.col("source_page") == "planner"
-    engaged = (in29 & ~evn.isin(*ENGAGEMENT_EXCLUDED_EVENTS) & ~evn.startswith(ADD_NETWORK_STEM) &
-               ~evn.startswith(DROP_NETWORK_STEM) & ~evn.endswith(STEAL_SUFFIX))
-    per_member = pairs.groupBy("member_id").agg(
-        (n(d0 & evn.isin(*INSTAGRAM_ATTEMPT_EVENTS)) > 0).alias("h24_attempted_add_instagram"),
-        (n(d0 & evn.isin(*PLANNER_EVENTS)) > 0).alias("h24_navigated_planner"),
-        (n(d0 & evn.isin(*ANALYTICS_EVENTS)) > 0).alias("h24_navigated_analytics"),
-        (n(d0 & evn.isin(*STREAMS_EVENTS)) > 0).alias("h24_navigated_streams"),
-        (n(d5 & (evn == PUBLISHER_EVENT)) > 0).alias("d5_navigated_publisher"),
-        (n(d5 & evn.isin(*POST_CTA_EVENTS) & planner_page) > 0).alias("d5_clicked_post_ctas_planner"),
-        (n(d5 & evn.isin(*COMPOSER_EVENTS)) > 0).alias("d5_opened_composer"),
-        (n(d5 & evn.isin(*PLANNER_EVENTS)) > 0).alias("d5_navigated_planner"),
-        (n(d5 & evn.isin(*ANALYTICS_EVENTS)) > 0).alias("d5_navigated_analytics"),
-        (n(d5 & evn.isin(*STREAMS_EVENTS)) > 0).alias("d5_navigated_streams"),
-        (n(d28 & (evn == TEAM_MEMBER_EVENT)) > 0).alias("d28_added_team_member"),
-        (n(d28 & (evn == PUBLISHER_EVENT)) > 0).alias("d28_navigated_publisher"),
-        (n(d28 & evn.isin(*COMPOSER_EVENTS)) > 0).alias("d28_opened_composer"),
-        (n(d28 & evn.isin(*PLANNER_EVENTS)) > 0).alias("d28_navigated_planner"),
-        (n(d28 & evn.isin(*ANALYTICS_EVENTS)) > 0).alias("d28_navigated_analytics"),
-        (n(d28 & evn.isin(*STREAMS_EVENTS)) > 0).alias("d28_navigated_streams"),
-        F.count_distinct(F.when(engaged, F.col("social_network_id"))).alias("count_sp_engaged"),
-    )
+    """All windowed event measures, from the written funnel state."""
+    state = materialize(experiment_funnel(conv, event_log, products, meaningful_events), "experiment_funnel")
+    by_anchor = merge_states(state, ["member_id", "created_date_c"])
+    finish = by_anchor.where("first_finish IS NOT NULL").select("member_id", "created_date_c", F.col("first_finish").alias("finish_ts"))
+    dashboard = by_anchor.where("first_dashboard IS NOT NULL").select("member_id", "created_date_c", F.col("first_dashboard").alias("dashboard_ts"))
+
+    names = {f"h24_{o}": f"d0_{c}" for o, c in (("attempted_add_instagram", "instagram"), ("navigated_planner", "planner"),
+                                               ("navigated_analytics", "analytics"), ("navigated_streams", "streams"))}
+    names |= {f"d5_{o}": f"d5_{c}" for o, c in (("navigated_publisher", "publisher"), ("clicked_post_ctas_planner", "planner_post"),
+                                                ("opened_composer", "composer"), ("navigated_planner", "planner"),
+                                                ("navigated_analytics", "analytics"), ("navigated_streams", "streams"))}
+    names |= {f"d28_{o}": f"d28_{c}" for o, c in (("added_team_member", "team"), ("navigated_publisher", "publisher"),
+                                                  ("opened_composer", "composer"), ("navigated_planner", "planner"),
+                                                  ("navigated_analytics", "analytics"), ("navigated_streams", "streams"))}
+    flags = state.groupBy("member_id").agg(*[(F.sum(f"n_{c}") > 0).alias(o) for o, c in names.items()])
+    per_member = flags.join(distinct_of(state, ["member_id"], "social_network_id", {"count_sp_engaged": "engaged"}), "member_id")
     # Networks added before the member's (latest) first dashboard visit, all when none
     marker = dashboard.groupBy("member_id").agg(F.max("dashboard_ts").alias("marker"))
-    adds = pairs.filter(in29 & (evn.startswith(ADD_NETWORK_PREFIX) | evn.endswith(STEAL_SUFFIX)))
-    adds = adds.join(marker, "member_id", "left").filter(
-        F.col("marker").isNull() | (F.date_trunc("second", "marker") > F.date_trunc("second", "timestamp")))
-    step2 = adds.groupBy("member_id").agg(F.count_distinct("social_network_id").alias("step2_sns_added"))
+    step2 = distinct_before(state, "member_id", "social_network_id", "added", marker, "marker", "step2_sns_added", unit="second")
 
     # Month 1-3 retention by whole days since the anchor, different rules per audience
-    dd = F.datediff(F.to_date("timestamp"), F.to_date("created_date_c"))
-    ret = (pairs.filter(evn.isin(*meaningful_events) & (ts >= shift(cr, 30, "day")))
-                .join(broadcast_if_bounded(products), F.col("billing_product_code") == F.col("member_effective_product_code"))
-                .filter((F.col("include_in_ecomm") == "TRUE") | (F.col("include_in_enterprise") == "TRUE") |
-                        F.col("member_max_plan").isNull() | F.col("member_effective_product_code").isNull()))
-    paid_ok = (F.col("experiment_audience") == "paid") & (F.col("is_paid") == "True")
-    free_ok = F.col("experiment_audience") == "free"
-    buckets = {"m1": (30, 59), "m2": (60, 89), "m3": (90, 119)}
-    ret = ret.groupBy("member_id", "experiment", "experiment_audience").agg(
-        *[n(paid_ok & dd.between(lo, hi)).alias(f"{k}_paid") for k, (lo, hi) in buckets.items()],
-        *[n(free_ok & dd.between(lo, hi)).alias(f"{k}_free") for k, (lo, hi) in buckets.items()])
-    ret = ret.select("member_id", "experiment", *[
-        _true(((F.col("experiment_audience") == "paid") & (F.col(f"{k}_paid") > 0)) |
-              ((F.col("experiment_audience") == "free") & (F.col(f"{k}_free") > 0))).alias(f"{k}_retained")
-        for k in buckets])
-    return finish, dashboard, per_member, step2, ret
+    anchors = conv.select("member_id", "experiment", "experiment_audience", "created_date_c").distinct()
+    ret = anchors.join(by_anchor.where("n_kept > 0"), ["member_id", "created_date_c"])
+    paid = F.col("experiment_audience") == "paid"
+    free = F.col("experiment_audience") == "free"
+    ret = ret.groupBy("member_id", "experiment", "experiment_audience").agg(*[
+        F.bool_or((paid & (F.col(f"n_{m}_paid") > 0)) | (free & (F.col(f"n_{m}_free") > 0))).alias(f"{m}_retained") for m in RETENTION_DAYS])
+    return finish, dashboard, per_member, step2, ret.drop("experiment_audience")
 
 
 def experiment_monitoring(cohort_table: DataFrame, event_log: DataFrame, customers: DataFrame,
