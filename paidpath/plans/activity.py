@@ -26,6 +26,7 @@ from paidpath.functions.rules import surrogate_key
 from paidpath.functions.calendar import add_months_py, month_start
 from paidpath.session import materialize
 from paidpath.operators.sizing import broadcast_if_bounded
+from paidpath.sources.versions import MonthTable
 
 # Measure suffixes in output order, and the categories each one counts.
 LABELS = ["all", "composer", "planner", "analytics", "amplify", "any_inbox", "inbox_1", "inbox_2", "streams"]
@@ -125,6 +126,31 @@ def monthly_active_customers(events: DataFrame, meaningful: DataFrame, customers
     counts, 9 day counts, networks and products, keyed by a surrogate key."""
     ev = active_events(events, meaningful, as_of, lookback_months if incremental else None)
     summary = materialize(event_summary(ev), "event_summary")
+    return activity_roll_up(summary, customers, organizations)
+
+
+def refresh_monthly_active(state: MonthTable, table: MonthTable, events: DataFrame, meaningful: DataFrame, customers: DataFrame,
+                           organizations: DataFrame, as_of: dt.date, lookback_months: int = 2) -> DataFrame:
+    """M07, incrementally, over stored state. ``state`` keeps ``event_summary`` by month. The
+    months from ``lookback_months`` before the run date on are read from the events and
+    replace their states; a state of an older month is kept as it is, and its events are not
+    read. The model's rows of the same months come from the stored states and replace theirs
+    in ``table``. Each is swapped as one version, the state first, so a run that fails in
+    between is repaired by the next. The first run reads everything."""
+    def recent(month) -> bool:
+        return cutoff is None or (month is not None and month >= cutoff)
+
+    cutoff = add_months_py(month_start(as_of), -lookback_months) if state.version() else None
+    events = events.filter(F.col("timestamp") < lit_date(as_of))
+    state.replace(event_summary(active_events(events, meaningful, as_of, lookback_months if cutoff else None)), recent)
+    if not table.version():
+        cutoff = None
+    table.replace(activity_roll_up(state.read(since=cutoff), customers, organizations), recent)
+    return table.read()
+
+
+def activity_roll_up(summary: DataFrame, customers: DataFrame, organizations: DataFrame) -> DataFrame:
+    """M07's rows of the months of an event summary; months do not depend on each other."""
     groups = materialize(resolve_groups(summary, organizations, customers), "activity_groups")
     g = ["g_org", "g_member", "month_of_activity"]
     x = summary.join(groups, ["member_id", "month_of_activity"])
@@ -155,12 +181,3 @@ def monthly_active_customers(events: DataFrame, meaningful: DataFrame, customers
     res = out.select(*sel)
     res = res.withColumn("primary_key", surrogate_key("member_id", "organization_id", "month_of_activity"))
     return res.select(*output_columns())
-
-
-def recompute_cutoff(as_of: dt.date, lookback_months: int = 2):
-    """First month recomputed by an incremental run."""
-    return lit_date(add_months_py(month_start(as_of), -lookback_months))
-
-
-__all__ = ["monthly_active_customers", "active_events", "event_summary", "resolve_groups", "output_columns",
-           "LABELS", "recompute_cutoff"]

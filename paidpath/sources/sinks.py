@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from paidpath.functions.calendar import add_months_py, lit_date, month_start
 from paidpath.session import ensure_checkpoint_dir
+from paidpath.sources.versions import MonthTable
 
 
 def scratch_table_path(spark: SparkSession, name: str) -> str:
@@ -30,11 +31,6 @@ def _folder(spark: SparkSession, path: str):
     return hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), hpath
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    fs, hpath = _folder(spark, path)
-    return fs.exists(hpath)
-
-
 def drop_months(spark: SparkSession, path: str, month_col: str, which: Callable[[dt.date], bool]) -> None:
     """Delete the month partitions of ``path`` that ``which`` selects (none if there is no
     table yet). Only folder names are read: as many as the calendar has months."""
@@ -66,15 +62,14 @@ def refresh_recent_months(build: Callable[[bool], DataFrame], path: str, as_of:
     """Recompute only months >= (month of ``as_of``) - ``lookback_months``.
 
     ``build(incremental)`` returns the model; with ``incremental=True`` it may read only
-    the recent events. The first run (no table yet) is a full build. Later runs delete every
-    month partition of that span and write the recomputed ones (dynamic partition overwrite),
-    so a month that has no rows any more goes too and a month-aligned model gives the same
-    table as a full refresh. A run that fails between the two steps is repaired by the next."""
-    spark = SparkSession.getActiveSession()
-    if not _exists(spark, path):
-        return full_refresh(build(False), path, [month_col])
+    the recent events. The first run (no table yet) is a full build. Later runs write the
+    months of that span as a new version of the table (:class:`MonthTable`), so a month that
+    has no rows any more goes too, a month-aligned model gives the same table as a full
+    refresh, and a reader never sees a month missing, nor does a failed run change the table."""
+    table = MonthTable(SparkSession.getActiveSession(), path, month_col)
+    if not table.version():
+        table.replace(build(False))
+        return table.read()
     cutoff = add_months_py(month_start(as_of), -lookback_months)
-    recent = build(True).filter(F.col(month_col) >= lit_date(cutoff))
-    drop_months(spark, path, month_col, lambda month: month >= cutoff)
-    recent.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(month_col).parquet(path)
-    return spark.read.schema(recent.schema).parquet(path)
+    table.replace(build(True).filter(F.col(month_col) >= lit_date(cutoff)), lambda month: month is not None and month >= cutoff)
+    return table.read()
