@@ -146,18 +146,18 @@ def fold_inbox_like(category) -> Column:
     return F.when(c.ilike("%inbox%"), "inbox").otherwise(c)
 
 
-# Network families folded together, and the internal app that is dropped.
+# Network families folded together.
 NETWORK_FAMILIES = ("facebook", "instagram", "linkedin")
-INTERNAL_APP = "hsapp"
 
 
-def social_network_family(name) -> Column:
+def social_network_family(name, own_app: str = "ownapp") -> Column:
+    """The family of a network's name; null for the product's ``own_app``."""
     n = F.lower(_c(name))
     out = None
     for fam in NETWORK_FAMILIES:
         cond = n.ilike(f"%{fam}%")
         out = F.when(cond, fam) if out is None else out.when(cond, fam)
-    return out.when(n.ilike(f"%{INTERNAL_APP}%"), F.lit(None).cast("string")).otherwise(n)
+    return out.when(n.ilike(f"%{own_app}%"), F.lit(None).cast("string")).otherwise(n)
 
 
 # ---- W26 ---------------------------------------------------------------------------------

@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from paidpath.functions.calendar import lit_date
+from paidpath.functions.payload import payload
 from paidpath.functions.rules import experiment_audience, tri_state, week_bucket
 from paidpath.operators.events import active_days_in_window, events_in_window, shift
 from paidpath.operators.funnel import distinct_before, distinct_of, event_classes, funnel_state, has_class, merge_states
@@ -54,11 +55,8 @@ ADD_NETWORK_STEM = "add_social_network"
 DROP_NETWORK_STEM = "drop_social_network"
 STEAL_SUFFIX = "_steal_success"
 EXCLUDED_EXPERIMENT, EXCLUDED_SINCE = "GRW_SS_OB_2_2", dt.date(2022, 4, 23)
-D0_EVENTS = INSTAGRAM_ATTEMPT_EVENTS + PLANNER_EVENTS + ANALYTICS_EVENTS + STREAMS_EVENTS
-D5_EVENTS = (PUBLISHER_EVENT,) + COMPOSER_EVENTS + PLANNER_EVENTS + ANALYTICS_EVENTS + STREAMS_EVENTS
 # The 28-day filter list leaves out the publisher and composer events, so those two
 # counts are always 0 (T14); kept as in the source.
-D28_EVENTS = (TEAM_MEMBER_EVENT,) + PLANNER_EVENTS + ANALYTICS_EVENTS + STREAMS_EVENTS
 D28_CLASSES = ("team", "planner", "analytics", "streams")
 RETENTION_DAYS = {"m1": (30, 59), "m2": (60, 89), "m3": (90, 119)}
 
@@ -88,10 +86,9 @@ def exposures(cohort_table: DataFrame, event_log: DataFrame) -> DataFrame:
     a = cohort_table.select("member_id", "experiment", "variant", F.col("date").cast("date").alias("date"),
                             experiment_audience("experiment", "cohort").alias("experiment_audience"))
     ev = event_log.filter((F.col("event") == EXPOSURE_EVENT) & (F.col("timestamp") >= lit_date(EXPOSURES_SINCE)))
-    exp = F.get_json_object("data", "$.additional_data.id")
-    b = ev.select(F.col("actor_id").alias("member_id"), exp.alias("experiment"),
-                  F.get_json_object("data", "$.additional_data.variation").alias("variant"),
-                  F.to_date("timestamp").alias("date"), experiment_audience(exp, "event").alias("experiment_audience"))
+    b = payload(ev, "data", {"experiment": "$.additional_data.id", "variant": "$.additional_data.variation"})
+    b = b.select(F.col("actor_id").alias("member_id"), "experiment", "variant", F.to_date("timestamp").alias("date"),
+                 experiment_audience("experiment", "event").alias("experiment_audience"))
     return a.unionByName(b).distinct()
 
 

@@ -388,18 +388,19 @@ def m06(spark, sf_dir):
     t = Catalog(spark, sf_dir)
     return experiment_monitoring(
         B.experiment_cohorts(t), B.experiment_event_log(t), B.ecomm_customers(t), B.free_to_trial(t), B.members(t),
-        B.products(spark), B.social_networks(t), B.trial_to_paying(t), _facts(t), B.invoice_payments(t),
-        B.first_payments(t), B.engagement_days(t), B.MEANINGFUL_NAMES, B.AS_OF_EVENTS)
+        B.products(spark), B.social_networks(t), B.trial_to_paying(t), _facts(t), B.event_payments(t),
+        B.first_payments(t, B.event_payments(t)), B.engagement_days(t), B.MEANINGFUL_NAMES, B.AS_OF_EVENTS, min_cohort=B.BUSY_DAY)
 
 
 @query("w23_experiment_audience")
 def w23(spark, sf_dir):
     from pyspark.sql import functions as F
+    from paidpath.functions.payload import payload
     from paidpath.functions.rules import experiment_audience
     t = Catalog(spark, sf_dir)
     a = B.experiment_cohorts(t).select(F.lit("cohort").alias("source"), "experiment")
     ev = B.experiment_event_log(t).filter(F.col("event") == "experiment_started")
-    b = ev.select(F.lit("event").alias("source"), F.get_json_object("data", "$.additional_data.id").alias("experiment"))
+    b = payload(ev, "data", {"experiment": "$.additional_data.id"}).select(F.lit("event").alias("source"), "experiment")
     x = a.unionByName(b).distinct()
     return x.withColumn("experiment_audience", F.when(F.col("source") == "cohort", experiment_audience("experiment", "cohort"))
                         .otherwise(experiment_audience("experiment", "event")))

@@ -28,6 +28,9 @@ AS_OF_EVENTS = dt.date(2024, 2, 1)
 ORDERS_SHELL_START = dt.date(1994, 1, 1)
 # "signed up after" cut-off for the orders binding (the model's default is 2018-01-01).
 ORDERS_SIGNUP_CUTOFF = dt.date(1998, 1, 1)
+# Members whose first exposure makes a day busy, in the experiment read-out of this binding (the
+# model's default, 30, leaves one day of one experiment).
+BUSY_DAY = 5
 # Company e-mail domain dropped by the e-mail domain rule in this binding.
 OWN_EMAIL_DOMAIN = "building.com"
 
@@ -226,6 +229,13 @@ def paid_base_by_member(t: Catalog) -> DataFrame:
     return top.select("member_id", "date", "plan", "billing_interval")
 
 
+def paid_base_by_plan(t: Catalog) -> DataFrame:
+    """Every plan and interval that a member paid for in a month: several rows a member-month."""
+    o = t("orders", ["o_custkey", "o_orderstatus", "o_orderdate", "o_orderpriority"])
+    return o.select(F.col("o_custkey").alias("member_id"), F.trunc("o_orderdate", "quarter").alias("date"),
+                    F.col("o_orderpriority").alias("plan"), F.col("o_orderstatus").alias("billing_interval")).distinct()
+
+
 def shipment_activity(t: Catalog, days: DataFrame | None = None) -> DataFrame:
     """Member-months with a shipped line item: the activity feed of the orders binding.
     ``days``: shipment_days, where a query has them already."""
@@ -275,7 +285,7 @@ def product_events(t: Catalog) -> DataFrame:
         F.col("ts").alias("timestamp"),
         F.when(k >= 40, F.lit(1000) + F.floor(F.col("user_id") / 10)).cast("bigint").alias("organization_id"),
         F.when(k < 20, "facebook_page").when(k < 40, "Instagram_Business").when(k < 55, "linkedin_company")
-         .when(k < 70, "twitter").when(k < 80, "HSApp_internal").alias("social_network_type"),
+         .when(k < 70, "twitter").when(k < 80, "OwnApp_internal").alias("social_network_type"),
         (F.col("user_id") * 100 + F.floor(k / 10)).cast("bigint").alias("social_network_id"),
         F.when(v < 5, "EMPLOYEE").when(v > 300, None).when(v < 150, "PRO_PLAN").otherwise("TEAM_PLAN")
          .alias("member_effective_product_code"),
@@ -284,6 +294,13 @@ def product_events(t: Catalog) -> DataFrame:
     )
 
 
+def long_product_events(t: Catalog) -> DataFrame:
+    """The product event log dealt to six months: event ``i`` moves by ``i mod 6`` times 30 days."""
+    e = product_events(t)
+    later = ((F.col("event_id") % 6) * 30).cast("int")
+    return e.withColumn("timestamp", F.col("timestamp") + F.make_interval(days=later))
+
+
 def organizations(t: Catalog) -> DataFrame:
     """Organization -> paying member: the lowest member id seen in the organization."""
     e = product_events(t).filter(F.col("organization_id").isNotNull())
@@ -325,25 +342,20 @@ def crm_organizations(t: Catalog) -> DataFrame:
 
 USAGE_PRODUCTS = ["amplify", "analytics", "apps", "assignments", "authentication", "composer", "inbox", "planner",
                   "streams", "social_ads", "content", "helpdesk"]
-# event type -> product whose day count it feeds (other products stay 0)
-USAGE_EVENT_PRODUCT = {"view": "composer", "click": "planner", "purchase": "analytics", "signup": "inbox",
-                       "error": "streams"}
-
 
 def monthly_usage(t: Catalog) -> DataFrame:
-    """Active days per product per (organization, member, month)."""
+    """Active days per product per (organization, member, month): an event is use of the
+    product that ``k mod 12`` of its props numbers."""
     e = product_events(t).select(
         "organization_id", F.col("actor_id").alias("member_id"),
-        F.trunc("timestamp", "month").alias("date_month"), F.to_date("timestamp").alias("day"), "event",
-        F.get_json_object("data", "$.k").cast("int").alias("_k"))
-    conds = {p: F.col("event").isin(*[ev for ev, q in USAGE_EVENT_PRODUCT.items() if q == p])
-             for p in set(USAGE_EVENT_PRODUCT.values())}
-    conds["helpdesk"] = F.col("_k") >= 90
-    g = e.groupBy("organization_id", "member_id", "date_month").agg(
-        *[F.count_distinct(F.when(c, F.col("day"))).cast("int").alias(f"{p}_days") for p, c in conds.items()])
+        F.trunc("timestamp", "month").alias("date_month"), F.to_date("timestamp").alias("day"),
+        (F.get_json_object("data", "$.k").cast("int") % 12).alias("_product"))
+    g = e.groupBy("organization_id", "member_id", "date_month", "_product").agg(F.count_distinct("day").alias("_days"))
+    g = g.groupBy("organization_id", "member_id", "date_month").agg(
+        *[F.coalesce(F.max(F.when(F.col("_product") == i, F.col("_days"))), F.lit(0)).cast("int").alias(f"{p}_days")
+          for i, p in enumerate(USAGE_PRODUCTS)])
     seg = F.when(F.col("organization_id") >= 1010, "enterprise").when(F.col("organization_id").isNotNull(), "smb")
-    return g.select("organization_id", "member_id", "date_month", seg.alias("segments"),
-                    *[(F.col(f"{p}_days") if p in conds else F.lit(0)).alias(f"{p}_days") for p in USAGE_PRODUCTS])
+    return g.select("organization_id", "member_id", "date_month", seg.alias("segments"), *[f"{p}_days" for p in USAGE_PRODUCTS])
 
 
 def enterprise_arr(t: Catalog) -> DataFrame:
@@ -393,8 +405,12 @@ def buy_now_events(t: Catalog) -> DataFrame:
 
 
 def authentication_events(t: Catalog) -> DataFrame:
-    e = product_events(t)
-    return e.select(F.col("actor_id").alias("member_id"), "timestamp", "social_network_type",
+    """Authentications: every second event is moved to within some hours of its member's first
+    signup, as new members connect their networks, so that the setup window has data."""
+    e = product_events(t).join(first_signups(t).withColumnRenamed("member_id", "actor_id"), "actor_id", "left")
+    minutes = F.make_interval(mins=(F.col("event_id") % 400).cast("int"))
+    moved = F.when((F.col("event_id") % 2 == 0) & F.col("signup_ts").isNotNull(), F.col("signup_ts") + minutes)
+    return e.select(F.col("actor_id").alias("member_id"), F.coalesce(moved, F.col("timestamp")).alias("timestamp"), "social_network_type",
                     F.when(F.col("event") != "error", "success").otherwise("failure").alias("authentication_result"),
                     F.when(F.col("event").isin("signup", "click", "view"), "authentication").otherwise("reauth")
                      .alias("authentication_type"))
@@ -456,7 +472,11 @@ def experiment_event_log(t: Catalog) -> DataFrame:
         _pick(STREAM_EXPERIMENTS, exp_idx).alias("id"),
         F.concat(F.lit("v"), F.pmod(k, F.lit(2)).cast("string")).alias("variation"),
         F.when(k < 50, "planner").otherwise("dashboard").alias("sourcePage")).alias("additional_data")))
-    return e.select("event_id", "actor_id", name.alias("event"), "timestamp", "social_network_id",
+    # a third of the events is dealt to four months, so that month-1..3 retention has data
+    i = F.col("event_id")
+    later = F.when(i % 3 == 0, F.expr("(event_id div 3) % 4") * 30).otherwise(0).cast("int")
+    return e.select("event_id", "actor_id", name.alias("event"),
+                    (F.col("timestamp") + F.make_interval(days=later)).alias("timestamp"), "social_network_id",
                     "member_effective_product_code", "member_max_plan", payload.alias("data"),
                     F.col("event").alias("event_type"), k.alias("k"))
 
@@ -479,12 +499,22 @@ def free_to_trial(t: Catalog) -> DataFrame:
 
 
 def social_networks(t: Catalog) -> DataFrame:
-    e = product_events(t).filter(F.col("social_network_type").isNotNull())
+    """Networks and their owners; every fourth member owns none."""
+    e = product_events(t).filter(F.col("social_network_type").isNotNull() & (F.col("actor_id") % 4 != 3))
     return e.select(F.col("actor_id").alias("owner_member_id"), "social_network_id").distinct()
 
 
-def first_payments(t: Catalog) -> DataFrame:
-    p = invoice_payments(t).filter(F.col("amount_in_usd") > 0)
+def event_payments(t: Catalog) -> DataFrame:
+    """Payments in the event log's time: purchases, every fifth a refund, every fourth prorated."""
+    e = t("events", ["event_id", "user_id", "ts", "event_type", "value"]).filter(F.col("event_type") == "purchase")
+    amount = F.when(F.col("event_id") % 5 == 0, -F.col("value")).otherwise(F.col("value"))
+    return e.select(F.col("user_id").alias("member_id"), F.col("event_id").alias("payment_id"), F.to_date("ts").alias("payment_date"),
+                    money(amount).alias("amount_in_usd"),
+                    F.when(F.col("event_id") % 4 == 0, "Prorated pro").otherwise("pro").alias("plan_name"))
+
+
+def first_payments(t: Catalog, payments: DataFrame | None = None) -> DataFrame:
+    p = (invoice_payments(t) if payments is None else payments).filter(F.col("amount_in_usd") > 0)
     return p.groupBy("member_id").agg(F.min("payment_date").alias("first_overall_payment"))
 
 
@@ -508,27 +538,30 @@ def user_facts(t: Catalog) -> DataFrame:
 
 
 def onboarding_facts(users: DataFrame, kind: str, paid: bool) -> DataFrame:
-    """Setup / habit / aha fact tables from ``user_facts``; 'paid' tables hold members with a
-    purchase, 'free' tables the others."""
-    f = users
-    f = f.filter(F.col("n_purchase") > 0) if paid else f.filter(F.col("n_purchase") == 0)
+    """Setup / habit / aha fact tables from ``user_facts``; 'paid' tables hold members with an
+    odd number of purchases, 'free' tables the others. Remainders of counts, so that the
+    thresholds cut at every data size."""
+    def left(c: str, n: int) -> Column:
+        return (F.col(c) % n).cast("int")
+
+    f = users.filter(F.col("n_purchase") % 2 == (1 if paid else 0))
     if kind == "setup":
-        return f.select("member_id", (F.col("n_click") >= 5).alias("setup_moment"),
-                        (F.col("n_view") > 10).alias("opened_composer_24h"),
-                        F.col("n_networks").cast("int").alias("count_social_profiles_added_24h"),
-                        F.col("n_facebook").cast("int").alias("count_facebook_pages_added_24h"),
-                        (F.col("n_instagram") - 5).cast("int").alias("count_igb_direct_publish_added_24h"),
-                        F.col("n_instagram").cast("int").alias("count_any_instagram_added_24h"),
-                        (F.col("n_twitter") - 8).cast("int").alias("count_twitter_added_24h"))
+        return f.select("member_id", (left("n_click", 3) == 0).alias("setup_moment"),
+                        (left("n_view", 2) == 0).alias("opened_composer_24h"),
+                        left("n_view", 5).alias("count_social_profiles_added_24h"),
+                        left("n_facebook", 2).alias("count_facebook_pages_added_24h"),
+                        (left("n_instagram", 3) - 1).alias("count_igb_direct_publish_added_24h"),
+                        left("n_instagram", 3).alias("count_any_instagram_added_24h"),
+                        left("n_twitter", 2).alias("count_twitter_added_24h"))
     if kind == "habit":
-        return f.select("member_id", (F.col("n_view") >= 12).alias("habit_moment"),
-                        F.col("n_view").cast("int").alias("count_messages_published_28d"),
-                        F.col("n_click").cast("int").alias("count_streams_scrolls_28d"),
-                        F.col("n_error").cast("int").alias("count_edits_planner_28d"))
-    return f.select("member_id", (F.col("n_signup") >= 14).alias("aha_moment"),
-                    (F.col("n_signup") - 12).cast("int").alias("count_messages_published_5d"),
-                    (F.col("n_click") - 13).cast("int").alias("count_streams_scrolls_5d"),
-                    (F.col("n_error") - 14).cast("int").alias("count_edits_planner_5d"))
+        return f.select("member_id", (left("n_view", 3) == 0).alias("habit_moment"),
+                        left("n_view", 10).alias("count_messages_published_28d"),
+                        (F.col("n_click") * 3).cast("int").alias("count_streams_scrolls_28d"),
+                        left("n_error", 10).alias("count_edits_planner_28d"))
+    return f.select("member_id", (left("n_signup", 2) == 0).alias("aha_moment"),
+                    left("n_signup", 2).alias("count_messages_published_5d"),
+                    left("n_click", 3).alias("count_streams_scrolls_5d"),
+                    left("n_error", 2).alias("count_edits_planner_5d"))
 
 
 # ---- paying members over time (orders) ------------------------------------------------------

@@ -164,7 +164,7 @@ def test_w14_day_buckets(spark):
 
 def test_w25_family_names(spark):
     from paidpath.functions.rules import fold_inbox, fold_inbox_like, social_network_family
-    df = spark.createDataFrame([("FaceBook_Instagram",), ("INSTAGRAM_business",), ("HSApp_x",), ("Twitter",), (None,)],
+    df = spark.createDataFrame([("FaceBook_Instagram",), ("INSTAGRAM_business",), ("OwnApp_x",), ("Twitter",), (None,)],
                                "n string")
     got = [r[0] for r in df.select(social_network_family("n")).collect()]
     assert got == ["facebook", "instagram", None, "twitter", None]
