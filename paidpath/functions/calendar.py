@@ -70,3 +70,29 @@ def calendar_frame_index(date: Column) -> Column:
              .when((m == 3) & (feb == 29) & (d == 29), 6)
              .when((m == 3) & (feb == 28) & (d == 30), 7)
              .when((m == 3) & (feb == 29) & (d == 30), 8))
+
+
+# ---- W20 in closed form ------------------------------------------------------------------
+
+def frozen_day(date: Column) -> Column:
+    """The days whose window stands still: March 28-30 after a 28-day February, March 29-30
+    after one of 29 days."""
+    feb = F.dayofmonth(F.last_day(F.add_months(date, -1)))
+    return (F.month(date) == 3) & F.dayofmonth(date).between(feb, 30)
+
+
+def last_month_start(date: Column) -> Column:
+    """First day of a day's "last month" window: the month itself on its last day, otherwise the
+    day after the same day a month before. A frozen day has the window of March's last day
+    before it, which begins on February's last. Never falls as the date rises."""
+    return (F.when(date == F.last_day(date), F.trunc(date, "month"))
+            .when(frozen_day(date), F.last_day(F.add_months(date, -1)))
+            .otherwise(F.date_add(F.add_months(date, -1), 1)))
+
+
+def windows_holding(date: Column) -> tuple[Column, Column]:
+    """First and last day whose "last month" window holds ``date``. Window bounds never fall,
+    so every day between the two holds it as well."""
+    first = F.when(frozen_day(date), F.last_day(date)).otherwise(date)
+    after = F.filter(F.sequence(date, F.date_add(date, 33)), lambda d: last_month_start(d) <= date)
+    return first, F.array_max(after)

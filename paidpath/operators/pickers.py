@@ -17,7 +17,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
+
+from paidpath.operators.salting import ROWS, join_aggregate
 
 
 def top_per_group(df: DataFrame, keys: Sequence[str], order_desc: Sequence[str],
@@ -77,22 +78,13 @@ def last_in_period(df: DataFrame, value: str, partition: Sequence[str], order: S
     the last non-null one).
 
     Computed as a ``max_by`` aggregate joined back on the partition keys instead of an
-    unbounded window: the aggregate is partially combined map-side. The join back is an
-    equi-join; AQE does not split it for a hot partition key, whose rows meet in one task
-    unless the aggregate is small enough to be broadcast.
+    unbounded window: the aggregate is partially combined map-side, and counts its rows, so
+    that the rows of a hot partition key are dealt to several tasks (operators/salting.py).
     """
     out = out or value
     ord_col = F.struct(*[F.col(c) for c in order])
     if ignore_nulls:
         ord_col = F.when(F.col(value).isNotNull(), ord_col)
-    last = df.groupBy(*partition).agg(F.max_by(F.col(value), ord_col).alias(out))
+    last = df.groupBy(*partition).agg(F.max_by(F.col(value), ord_col).alias(out), F.count("*").alias(ROWS))
     base = df.drop(out) if out in df.columns else df
-    return base.join(last, list(partition), "left")
-
-
-def last_in_period_window(df: DataFrame, value: str, partition: Sequence[str], order: Sequence[str],
-                          ignore_nulls: bool = False, out: str | None = None) -> DataFrame:
-    """W04, window form (when the partitions are known to be small)."""
-    w = (Window.partitionBy(*partition).orderBy(*order)
-               .rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
-    return df.withColumn(out or value, F.last(value, ignorenulls=ignore_nulls).over(w))
+    return join_aggregate(base, last, partition)

@@ -10,11 +10,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from paidpath.functions.calendar import ROLLING_FRAMES, calendar_frame_index
+from paidpath.functions.calendar import ROLLING_FRAMES, calendar_frame_index, windows_holding
 
 
 def rolling_active_count(df: DataFrame, flag: str, key: Sequence[str], order: Sequence[str],
@@ -51,6 +51,31 @@ def calendar_rolling_sum(df: DataFrame, value: str, keys: Sequence[str], date: s
     return df.withColumn(out, pick)
 
 
+def calendar_trailing_sum(fact: DataFrame, value: str, keys: Sequence[str], date: str, until: Column,
+                          out: str = "rolling") -> DataFrame:
+    """W20 over a sparse fact table, by prefix sums: ``date, keys, out`` for every day up to
+    ``until`` whose "last month" window holds a row with a value.
+
+    A row enters the windows of one stretch of days: it adds its value on the first and takes
+    it away after the last. The running sum of these changes is the rolling sum, constant from
+    one change to the next, and only stretches inside which some row counts become days. There
+    is no shell of all days, and the window sorts two rows per fact row. Rows with a null key
+    are left out, as a shell would never match them."""
+    f = fact.where(F.col(value).isNotNull())
+    for k in keys:
+        f = f.where(F.col(k).isNotNull())
+    first, last = windows_holding(F.col(date))
+    points = F.explode(F.array(F.struct(first.alias("at"), F.col(value).alias("change"), F.lit(1).alias("held")),
+                               F.struct(F.date_add(last, 1).alias("at"), (-F.col(value)).alias("change"), F.lit(-1).alias("held"))))
+    points = f.select(*keys, points.alias("_p")).groupBy(*keys, F.col("_p.at").alias("_at")).agg(
+        F.sum("_p.change").alias("_change"), F.sum("_p.held").alias("_held"))
+    w = Window.partitionBy(*keys).orderBy("_at")
+    steps = points.select(*keys, "_at", F.sum("_change").over(w).alias(out), F.sum("_held").over(w).alias("_n"), F.lead("_at").over(w).alias("_next"))
+    days = F.sequence(F.col("_at"), F.least(F.date_sub("_next", 1), until))
+    return (steps.where((F.col("_n") > 0) & (F.col("_at") <= until))
+            .select(F.explode(days).alias(date), *keys, out))
+
+
 def monthly_revenue(df: DataFrame, key: str, date: str, amount: str, out: str = "revenue",
                     exclude: str | None = None, month: str = "date_month") -> DataFrame:
     """Revenue per key-month, summing duplicate rows of a key; ``exclude`` names a

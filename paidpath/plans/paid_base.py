@@ -3,9 +3,9 @@ segment.
 
 Plan shape: payments are reduced to one row per member-day-plan (partial aggregation),
 then to one row per member-month (``top_per_group``, again partially aggregated), joined
-to customer segments on ``member_id`` and counted per day and segment. Only that small
-daily table is densified onto the per-segment day shell and shuffled once on the seven
-segment keys for the nine-frame window. The mapping tables (plans, service numbers) are
+to customer segments on ``member_id`` and counted per day and segment. Only that small daily
+table is shuffled on the seven segment keys, for the running sum of what enters and leaves
+the window (W20 in closed form: no day shell, no frames). The mapping tables (plans, service numbers) are
 bounded literals, broadcast behind a size bound.
 """
 
@@ -18,8 +18,8 @@ from pyspark.sql import functions as F
 
 from paidpath.functions.calendar import lit_date
 from paidpath.operators.pickers import top_per_group
-from paidpath.operators.rolling import calendar_rolling_sum
-from paidpath.operators.spines import day_sequence, densify
+from paidpath.operators.rolling import calendar_trailing_sum
+from paidpath.operators.spines import day_sequence
 from paidpath.operators.sizing import broadcast_if_bounded
 
 SEGMENTS = ["market", "plan", "billing_interval", "trial_type", "trial_length", "acquisition_source",
@@ -71,14 +71,14 @@ def rolling_paid_base(payments: DataFrame, plans: DataFrame, service_numbers: Da
                       customers: DataFrame, as_of: dt.date, shell: DataFrame | None = None) -> DataFrame:
     """Per day and segment, paying customers in the trailing calendar month.
 
-    ``shell`` must hold exactly one row per segment and day (frames count rows); when it
-    is not given it is generated from the paying segments up to ``as_of``."""
+    Rows are the days on which the window holds a payer, up to ``as_of``. With a ``shell`` (one
+    row per segment and day) they are those of its days, and payers of other days do not count."""
     daily = daily_paying(top_paying_day_per_month(paying_days(payments, plans, service_numbers, as_of)), customers)
-    if shell is None:
-        shell = segment_day_shell(daily, as_of)
-    else:
-        shell = shell.select("date", *SEGMENTS).distinct()
-    dense = densify(daily, shell, ["date", *SEGMENTS])
-    rolled = calendar_rolling_sum(dense, "num_paying_daily", SEGMENTS, "date", out="num_paying")
-    return (rolled.filter(F.col("num_paying").isNotNull())
-                  .select("date", *SEGMENTS, F.col("num_paying").cast("bigint").alias("num_paying")))
+    by = ["date", *SEGMENTS]
+    if shell is not None:
+        shell = shell.select(*by).distinct()
+        daily = daily.join(shell, by, "left_semi")
+    rolled = calendar_trailing_sum(daily, "num_paying_daily", SEGMENTS, "date", lit_date(as_of), out="num_paying")
+    if shell is not None:
+        rolled = rolled.join(shell, by, "left_semi")
+    return rolled.select("date", *SEGMENTS, F.col("num_paying").cast("bigint").alias("num_paying"))
