@@ -18,7 +18,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from paidpath.functions.calendar import lit_date
@@ -56,6 +56,12 @@ def output_columns():
     return cols + ["count_social_networks_used", "count_products"]
 
 
+def label_column(category: str) -> Column:
+    """The labels that an event of a category counts under, at most three."""
+    cat = F.col(category)
+    return F.array_compact(F.array(F.lit("all"), cat, F.when(cat.isin(*INBOX), F.lit("any_inbox"))))
+
+
 def active_events(events: DataFrame, meaningful: DataFrame, as_of: dt.date | None = None,
                   lookback_months: int | None = None) -> DataFrame:
     """Allow-listed active events since 2018 (optionally only the recomputed months)."""
@@ -155,9 +161,7 @@ def activity_roll_up(summary: DataFrame, customers: DataFrame, organizations: Da
     g = ["g_org", "g_member", "month_of_activity"]
     x = summary.join(groups, ["member_id", "month_of_activity"])
     per_day = x.groupBy(*g, "member_id", "activity_category", "day").agg(F.sum("n").alias("n"))
-    cat = F.col("activity_category")
-    labels = F.array_compact(F.array(F.lit("all"), cat, F.when(cat.isin(*INBOX), F.lit("any_inbox"))))
-    per_label = (per_day.withColumn("label", F.explode(labels))
+    per_label = (per_day.withColumn("label", F.explode(label_column("activity_category")))
                  .groupBy(*g, "label")
                  .agg(F.sum("n").alias("events"), F.count_distinct("day").alias("days"),
                       F.count_distinct("member_id").alias("users")))

@@ -1,6 +1,7 @@
-"""Registered queries: one per operator (W..) and model (M..) of the survey, each bound
-to the shared test tables. Every callable takes ``(spark, sf_dir)`` and returns a lazy
-DataFrame over the whole tables."""
+"""Registered queries: at least one per operator (W..) and model (M..) of the survey, each bound
+to the shared test tables. Every callable takes ``(spark, sf_dir)`` and returns a DataFrame
+over the whole tables. Most are lazy; those that write an intermediate table (M01-M04, M06,
+M07, M11, M12, w36, w37) run jobs when they are called."""
 
 from __future__ import annotations
 
@@ -37,6 +38,17 @@ def m05(spark, sf_dir):
     return _member_waterfall(Catalog(spark, sf_dir))
 
 
+@query("m05_member_waterfall_by_plan")
+def m05_by_plan(spark, sf_dir):
+    """M05 where members pay for several plans in a month (payments dated by quarter)."""
+    from paidpath.plans.waterfall import member_waterfall
+    t = Catalog(spark, sf_dir)
+    cust = B.customers(t)
+    return member_waterfall(B.paid_base_by_plan(t), B.mrr_by_member(t), B.shipment_activity(t), cust, B.activated_members(t), cust, cust,
+                            as_of=B.AS_OF_ORDERS, shell_start=B.ORDERS_SHELL_START, signup_cutoff=B.ORDERS_SIGNUP_CUTOFF,
+                            own_domain=B.OWN_EMAIL_DOMAIN)
+
+
 @query("m04_revenue_waterfall")
 def m04(spark, sf_dir):
     from paidpath.plans.waterfall import revenue_waterfall
@@ -100,6 +112,32 @@ def m08(spark, sf_dir):
                              B.AS_OF_ORDERS)
 
 
+@query("m08_rolling_paid_base_on_shell")
+def m08_on_shell(spark, sf_dir):
+    """M08 over a given shell: the segments of current customers, from 1998 on."""
+    import datetime as dt
+    from pyspark.sql import functions as F
+    from paidpath.functions.calendar import lit_date
+    from paidpath.operators.spines import day_sequence
+    from paidpath.plans.paid_base import SEGMENTS, daily_paying, rolling_paid_base, top_paying_day_per_month
+    t = Catalog(spark, sf_dir)
+    daily = daily_paying(top_paying_day_per_month(_paying_days(t)), B.customers(t))
+    current = daily.filter(F.col("date") >= lit_date(dt.date(1998, 1, 1))).select(*SEGMENTS).distinct()
+    shell = current.select(F.explode(day_sequence(lit_date(dt.date(1998, 1, 1)), lit_date(B.AS_OF_ORDERS))).alias("date"), *SEGMENTS)
+    return rolling_paid_base(B.invoice_payments(t), B.plans(spark), B.service_numbers(spark), B.customers(t), B.AS_OF_ORDERS, shell)
+
+
+@query("w20_calendar_trailing_sum")
+def w20_trailing(spark, sf_dir):
+    """W20 over a sparse table: orders per customer and "last month"."""
+    from pyspark.sql import functions as F
+    from paidpath.functions.calendar import lit_date
+    from paidpath.operators.rolling import calendar_trailing_sum
+    o = Catalog(spark, sf_dir)("orders", ["o_custkey", "o_orderdate"])
+    daily = o.groupBy(F.col("o_custkey").alias("member_id"), F.to_date("o_orderdate").alias("date")).agg(F.count("*").alias("orders"))
+    return calendar_trailing_sum(daily, "orders", ["member_id"], "date", lit_date(B.AS_OF_ORDERS), out="orders_last_month")
+
+
 @query("w20_calendar_rolling_sum")
 def w20(spark, sf_dir):
     from pyspark.sql import functions as F
@@ -171,6 +209,42 @@ def m07(spark, sf_dir):
     return _monthly_active(Catalog(spark, sf_dir))
 
 
+@query("m07_monthly_active_incremental")
+def m07_incremental(spark, sf_dir):
+    """M07 in two runs over stored state: everything before May, then the months from May on."""
+    import datetime as dt
+    from paidpath.plans.activity import refresh_monthly_active
+    from paidpath.sources.sinks import scratch_table_path
+    from paidpath.sources.versions import MonthTable
+    t = Catalog(spark, sf_dir)
+    state = MonthTable(spark, scratch_table_path(spark, "event_summary"), "month_of_activity")
+    table = MonthTable(spark, scratch_table_path(spark, "monthly_active"), "month_of_activity")
+    args = (B.long_product_events(t), B.meaningful_activity(spark), B.customers(t), B.organizations(t))
+    refresh_monthly_active(state, table, *args, as_of=dt.date(2024, 5, 1))
+    return refresh_monthly_active(state, table, *args, as_of=dt.date(2024, 7, 1))
+
+
+@query("m07_users_from_daily_states")
+def m07_daily_states(spark, sf_dir):
+    """Distinct active users per month, and per trailing 28 days at each month's last day, from
+    stored daily bitmaps: the events are read once, for the daily states."""
+    from pyspark.sql import functions as F
+    from paidpath.operators.bitmaps import NUMBER, member_counts, member_states, number_members, trailing_states
+    from paidpath.plans.activity import active_events, label_column
+    from paidpath.session import materialize
+    t = Catalog(spark, sf_dir)
+    ev = active_events(B.long_product_events(t), B.meaningful_activity(spark)).select(
+        "member_id", F.to_date("timestamp").alias("day"), F.explode(label_column("activity_category")).alias("label"))
+    numbers = materialize(number_members(B.product_events(t), "actor_id"), "member_numbers")
+    days = materialize(member_states(ev.join(numbers.withColumnRenamed("actor_id", "member_id"), "member_id"), ["day", "label"], NUMBER), "daily_states")
+    month = F.trunc("day", "month").alias("month")
+    by_month = member_counts(days.select(month, "label", "_bits", "members"), ["month", "label"], "users")
+    ends = trailing_states(days, "day", ["label"], 28).where(F.col("day") == F.last_day("day"))
+    by_28 = member_counts(ends, ["day", "label"], "users_28d")
+    return (by_month.join(by_28.withColumn("month", F.trunc("day", "month")).drop("day"), ["month", "label"], "left")
+            .select("month", "label", "users", F.coalesce("users_28d", F.lit(0)).alias("users_28d")))
+
+
 @query("w04_last_in_period")
 def w04(spark, sf_dir):
     from pyspark.sql import functions as F
@@ -206,6 +280,15 @@ def w17(spark, sf_dir):
     return allow_listed_events(ev, B.discovery_events(spark), "event", how="inner")
 
 
+@query("w17_allow_listed_semi")
+def w17_semi(spark, sf_dir):
+    """W17 as a filter: events whose name is in the discovery list, without its columns."""
+    from paidpath.operators.events import allow_listed_events
+    t = Catalog(spark, sf_dir)
+    ev = B.product_events(t).select("event_id", "actor_id", "event", "timestamp")
+    return allow_listed_events(ev, B.discovery_events(spark), "event", how="semi")
+
+
 @query("w34_surrogate_key")
 def w34(spark, sf_dir):
     from pyspark.sql import functions as F
@@ -469,10 +552,10 @@ def w13(spark, sf_dir):
 def w14(spark, sf_dir):
     from pyspark.sql import functions as F
     from paidpath.operators.events import day_bucket_counts
-    p = _anchored_pairs(Catalog(spark, sf_dir), 29 * 24)
+    p = _anchored_pairs(Catalog(spark, sf_dir), 119 * 24)
     p = p.filter(F.col("event").isin(*B.MEANINGFUL_NAMES))
     return day_bucket_counts(p, ["member_id"], "signup_ts", "timestamp",
-                             {"w1": (0, 6), "w2": (7, 13), "w3": (14, 20)})
+                             {"w1": (0, 6), "w2": (7, 13), "w3": (14, 20), "m1": (30, 59), "m2": (60, 89), "m3": (90, 119)})
 
 
 @query("w15_active_days_in_window")
