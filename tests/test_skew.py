@@ -60,3 +60,53 @@ def test_event_queries_match_oracle_under_skew(spark, skewed_dir, force_skew_spl
     from tools.oracle_check import compare
     res = compare(spark, skewed_dir, [name], verbose=False)[name]
     assert res[0] == "ok", res
+
+
+def _parts_of_the_hot_member(df, member="member_id"):
+    """Partitions in which a join left rows of member 0."""
+    from pyspark.sql import functions as F
+    return df.where(F.col(member) == 0).groupBy(F.spark_partition_id()).count().count()
+
+
+@pytest.fixture()
+def no_regrouping(spark, force_skew_split):
+    """Partitions as the exchanges deal them: no coalescing, no splitting by AQE."""
+    keys = {"spark.sql.adaptive.enabled": "false", "spark.sql.shuffle.partitions": "16"}
+    old = {k: spark.conf.get(k) for k in keys}
+    for k, v in keys.items():
+        spark.conf.set(k, v)
+    yield
+    for k, v in old.items():
+        spark.conf.set(k, v)
+
+
+def test_interval_joins_deal_a_hot_member_out(spark, skewed_dir, no_regrouping):
+    from pyspark.sql import functions as F
+
+    from paidpath.operators.events import events_in_window
+    from paidpath.sources import bindings as B
+    from paidpath.sources.tables import Catalog
+    t = Catalog(spark, skewed_dir)
+    ev = B.product_events(t).select("event_id", "actor_id", "timestamp")
+    j = events_in_window(B.first_signups(t), ev, "member_id", "signup_ts", 0, 29, event_key="actor_id", days=1)
+    plan = j._jdf.queryExecution().executedPlan().toString()
+    dealt = [ln for ln in plan.splitlines() if "Exchange hashpartitioning(" in ln]
+    assert sum("_bucket" in ln for ln in dealt) == 2 and "SortMergeJoin" in plan
+    assert _parts_of_the_hot_member(j.select(F.col("_b.member_id").alias("member_id"), "_e.event_id")) >= 8
+
+
+@pytest.mark.parametrize("name", ["w05_first_event_after", "w10_events_in_window", "w11_conditional_counts", "w13_distinct_before_marker",
+                                  "w14_day_bucket_retention", "w16_breadth_in_window"])
+def test_window_queries_join_by_member_and_bucket(spark, skewed_dir, no_regrouping, name):
+    import __spark_entry__ as Q
+    plan = Q.queries()[name](spark, skewed_dir)._jdf.queryExecution().executedPlan().toString()
+    joins = [ln for ln in plan.splitlines() if "SortMergeJoin" in ln or "ShuffledHashJoin" in ln]
+    assert joins and any("_bucket" in ln for ln in joins), plan
+
+
+def test_last_in_period_deals_a_hot_key_out(spark, skewed_dir, no_regrouping):
+    import __spark_entry__ as Q
+    df = Q.queries()["w04_last_in_period"](spark, skewed_dir)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("_salt") > 0 and "BroadcastHashJoin" in plan  # hot keys: at most as many as partitions
+    assert _parts_of_the_hot_member(df) >= 4
