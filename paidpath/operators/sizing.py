@@ -1,11 +1,13 @@
 """Size-checked broadcast.
 
-A mapping or dimension table is broadcast only when Catalyst's size statistics bound it:
-``sizeInBytes`` of the optimized plan is the file size for a table scan, exact for an
+A mapping or dimension table is broadcast only when Catalyst's size statistics are small:
+``sizeInBytes`` of the optimized plan is the file size for a table scan and exact for an
 in-memory literal, and (without cost-based estimates) never shrinks through filters,
-projections or aggregates, so it is an upper bound. Beyond the bound the DataFrame is
-returned unchanged, and the join is planned by measured size as usual: a sort-merge join,
-or AQE's runtime broadcast when the shuffle output turns out small. No job is run.
+projections or aggregates. Files are compressed, so a decoded table may be several times
+larger; the limit is set low enough that ten times as much still fits a task. Beyond it the
+DataFrame is returned unchanged, and the join is planned by measured size as usual: a
+sort-merge join, or AQE's runtime broadcast when the shuffle output turns out small. No job
+is run.
 """
 
 from __future__ import annotations
@@ -13,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-DEFAULT_MAX_BYTES = 32 * 1024 * 1024
+DEFAULT_MAX_BYTES = 8 * 1024 * 1024
 
 
 def estimated_bytes(df: DataFrame) -> int:

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from paidpath.functions.rules import fold_inbox, fold_inbox_like, social_network_family, threshold_flag
-from paidpath.operators.events import allow_listed_events, events_in_window
+from paidpath.operators.events import allow_listed_events, events_in_window, shift
 from paidpath.operators.shape import select_except
 from paidpath.operators.spines import cross_categories, label_set
 from paidpath.session import materialize
@@ -59,28 +59,27 @@ def activation_funnel(customers: DataFrame, buy_now: DataFrame, events: DataFram
              .groupBy(F.col("_b.member_id").alias("member_id"))
              .agg(threshold_flag(F.count_distinct("_e.family"), ">=", min_networks, as_int=True).alias("is_setup")))
 
-    def per_category(evts, days, flag):
-        j = events_in_window(base, evts, ["member_id", "activity_category"], "adjusted_signup_date", 0, days,
-                             event_key=["actor_id", "activity_category"])
-        prod = (j.groupBy(F.col("_b.member_id").alias("member_id"),
-                          F.col("_b.activity_category").alias("activity_category"))
-                 .agg(threshold_flag(F.count("_e.timestamp"), ">=", 1, as_int=True).alias(flag))
-                 .filter(F.col("activity_category") != OVERALL))
-        overall = (prod.groupBy("member_id")
-                       .agg(threshold_flag(F.sum(flag), ">=", min_categories, as_int=True).alias(flag))
-                       .withColumn("activity_category", F.lit(OVERALL)))
-        return prod.unionByName(overall)
-
-    disc_events = allow_listed_events(ev, discovery, "event")
-    mean_events = (allow_listed_events(ev, meaningful.select("event", "activity_category"), "event")
-                   .select(fold_inbox_like("activity_category").alias("activity_category"), "actor_id", "timestamp",
-                           "event").distinct())
-    disc = per_category(disc_events, discovery_days, "is_discovery")
-    act = per_category(mean_events, activation_days, "is_activated")
+    # one pass over the events for both windows: a name may be a discovery (raw category), a
+    # meaningful event (folded category) or both
+    kinds = (discovery.select("event", "activity_category", F.lit("discovery").alias("kind"))
+             .unionByName(meaningful.select("event", fold_inbox_like("activity_category").alias("activity_category"), F.lit("meaningful").alias("kind"))))
+    seen = allow_listed_events(ev.select("actor_id", "event", "timestamp"), kinds.distinct(), "event")
+    j = events_in_window(base, seen, ["member_id", "activity_category"], "adjusted_signup_date", 0, max(discovery_days, activation_days),
+                         event_key=["actor_id", "activity_category"])
+
+    def within(kind: str, days: int):
+        inside = F.col("_e.timestamp") <= shift(F.col("_b.adjusted_signup_date"), days, "day")
+        return threshold_flag(F.count_if((F.col("_e.kind") == kind) & inside), ">=", 1, as_int=True)
+
+    done = (j.groupBy(F.col("_b.member_id").alias("member_id"), F.col("_b.activity_category").alias("activity_category"))
+             .agg(within("discovery", discovery_days).alias("is_discovery"), within("meaningful", activation_days).alias("is_activated"))
+             .filter(F.col("activity_category") != OVERALL))
+    overall = done.groupBy("member_id").agg(*[threshold_flag(F.sum(c), ">=", min_categories, as_int=True).alias(c)
+                                              for c in ("is_discovery", "is_activated")])
+    done = done.unionByName(overall.withColumn("activity_category", F.lit(OVERALL)))
     conv = conversions.select("member_id", "is_converted")
     j = (grid.join(setup, "member_id", "left")
-             .join(disc, ["member_id", "activity_category"], "left")
-             .join(act, ["member_id", "activity_category"], "left")
+             .join(done, ["member_id", "activity_category"], "left")
              .join(conv, "member_id", "left"))
     s, d, ac = F.col("is_setup") == 1, F.col("is_discovery") == 1, F.col("is_activated") == 1
     cv = F.col("is_converted") == F.lit(True)

@@ -24,10 +24,16 @@ def query(name):
 
 # ---- revenue waterfall --------------------------------------------------------------------
 
+def _months(t: Catalog) -> DataFrame:
+    """Orders by member and month, aggregated once for the paid base and the MRR."""
+    from paidpath.session import materialize
+    return materialize(B.member_months(t), "member_months")
+
+
 def _member_waterfall(t: Catalog) -> DataFrame:
     from paidpath.plans.waterfall import member_waterfall
-    cust = B.customers(t)
-    return member_waterfall(B.paid_base_by_member(t), B.mrr_by_member(t), B.shipment_activity(t), cust,
+    cust, months = B.customers(t), _months(t)
+    return member_waterfall(B.paid_base_by_member(t, months), B.mrr_by_member(t, months), B.shipment_activity(t), cust,
                             B.activated_members(t), cust, cust, as_of=B.AS_OF_ORDERS,
                             shell_start=B.ORDERS_SHELL_START, signup_cutoff=B.ORDERS_SIGNUP_CUTOFF,
                             own_domain=B.OWN_EMAIL_DOMAIN)
@@ -49,6 +55,22 @@ def m05_by_plan(spark, sf_dir):
                             own_domain=B.OWN_EMAIL_DOMAIN)
 
 
+def bucketed_waterfall(t: Catalog) -> DataFrame:
+    """M05 over tables that are stored by member: no row is exchanged after they are written."""
+    from paidpath.plans.waterfall import member_waterfall
+    from paidpath.sources.sinks import bucketed_table
+    months = bucketed_table(B.member_months(t).select("member_id", "date", "top", "total"), "member_months")
+    cust = bucketed_table(B.customers(t), "customers")
+    return member_waterfall(B.paid_base_by_member(t, months), B.mrr_by_member(t, months), bucketed_table(B.shipment_activity(t), "activity"),
+                            cust, bucketed_table(B.activated_members(t), "activated"), cust, cust, as_of=B.AS_OF_ORDERS,
+                            shell_start=B.ORDERS_SHELL_START, signup_cutoff=B.ORDERS_SIGNUP_CUTOFF, own_domain=B.OWN_EMAIL_DOMAIN)
+
+
+@query("m05_member_waterfall_bucketed")
+def m05_bucketed(spark, sf_dir):
+    return bucketed_waterfall(Catalog(spark, sf_dir))
+
+
 @query("m04_revenue_waterfall")
 def m04(spark, sf_dir):
     from paidpath.plans.waterfall import revenue_waterfall
@@ -60,12 +82,11 @@ def w22(spark, sf_dir):
     from pyspark.sql import functions as F
     from paidpath.plans.waterfall import member_monthly_mrr, mrr_movements
     t = Catalog(spark, sf_dir)
-    cust = B.customers(t)
-    mm = member_monthly_mrr(B.paid_base_by_member(t), B.mrr_by_member(t), B.shipment_activity(t), cust,
+    cust, months = B.customers(t), _months(t)
+    mm = member_monthly_mrr(B.paid_base_by_member(t, months), B.mrr_by_member(t, months), B.shipment_activity(t), cust,
                             B.activated_members(t))
     mv = mrr_movements(mm, B.AS_OF_ORDERS, B.ORDERS_SHELL_START, B.ORDERS_SIGNUP_CUTOFF)
-    return mv.select("member_id", "mrr_month", "change", F.col("mrr1").alias("mrr"),
-                     F.col("mrr_change1").alias("mrr_change"))
+    return mv.select("member_id", "mrr_month", "change", "moved.mrr", "moved.mrr_change")
 
 
 @query("w33_opening_balance")

@@ -24,23 +24,6 @@ DEFAULT_CONF = {
 }
 
 
-def cluster_conf(total_cores: int, executor_memory_gb: int = 16) -> dict:
-    """Starting settings for a large cluster (e.g. 1000 executors over ~100 TB).
-
-    Shuffle partitions start at 3x the cores so each initial partition stays well under
-    executor memory; AQE then coalesces them towards the advisory size and splits skewed
-    ones. The broadcast threshold only applies after AQE has measured a side."""
-    return {
-        "spark.sql.shuffle.partitions": str(max(200, 3 * total_cores)),
-        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
-        "spark.sql.files.maxPartitionBytes": "256m",
-        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "512m",
-        "spark.sql.adaptive.autoBroadcastJoinThreshold": "64m",
-        "spark.sql.autoBroadcastJoinThreshold": "64m",
-        "spark.memory.fraction": "0.7" if executor_memory_gb >= 16 else "0.6",
-    }
-
-
 def build_session(master: str | None = None, app: str = "paidpath",
                   shuffle_partitions: int | None = None,
                   driver_memory: str | None = None,

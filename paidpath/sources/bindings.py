@@ -17,7 +17,6 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from paidpath.operators.pickers import top_per_group
 from paidpath.sources.tables import Catalog
 from paidpath.operators.sizing import broadcast_if_bounded
 
@@ -210,23 +209,33 @@ def ecomm_customers(t: Catalog) -> DataFrame:
     )
 
 
-def mrr_by_member(t: Catalog) -> DataFrame:
-    """Banded monthly revenue per member-month: floor(sum / 100000) * 100."""
-    p = invoice_payments(t)
-    g = p.groupBy("member_id", F.trunc("payment_date", "month").alias("date")).agg(F.sum("amount").alias("total"))
-    return g.select("member_id", "date",
-                    (F.floor(F.col("total") / 100000) * 100).cast("decimal(18,2)").alias("mrr"))
+def member_months(t: Catalog) -> DataFrame:
+    """Orders in one aggregate by member and month: the month's largest order (``top``) and
+    the total that its MRR is banded from."""
+    o = t("orders", ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"])
+    paid = money("o_totalprice")
+    refund = (F.col("o_orderpriority") == "5-LOW") & (F.col("o_orderstatus") == "F")
+    return o.groupBy(F.col("o_custkey").alias("member_id"), F.trunc("o_orderdate", "month").alias("date")).agg(
+        F.max(F.struct(paid.alias("amount"), "o_orderdate", "o_orderkey", F.col("o_orderpriority").alias("plan"),
+                       F.col("o_orderstatus").alias("billing_interval"))).alias("top"),
+        F.sum(F.when(refund, -paid).otherwise(paid)).alias("total"))
+
+
+def _banded(total) -> Column:
+    return (F.floor(F.col(total) / 100000) * 100).cast("decimal(18,2)").alias("mrr")
 
 
-def paid_base_by_member(t: Catalog) -> DataFrame:
+def mrr_by_member(t: Catalog, months: DataFrame | None = None) -> DataFrame:
+    """Banded monthly revenue per member-month: floor(sum / 100000) * 100. ``months``:
+    member_months, where a query has them already."""
+    if months is None:
+        months = invoice_payments(t).groupBy("member_id", F.trunc("payment_date", "month").alias("date")).agg(F.sum("amount").alias("total"))
+    return months.select("member_id", "date", _banded("total"))
+
+
+def paid_base_by_member(t: Catalog, months: DataFrame | None = None) -> DataFrame:
     """One row per member-month: plan and interval of the month's largest order."""
-    o = t("orders", ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"])
-    o = o.select(F.col("o_custkey").alias("member_id"), F.trunc("o_orderdate", "month").alias("date"),
-                 money("o_totalprice").alias("amount"), "o_orderdate", "o_orderkey",
-                 F.col("o_orderpriority").alias("plan"), F.col("o_orderstatus").alias("billing_interval"))
-    top = top_per_group(o, ["member_id", "date"], ["amount", "o_orderdate", "o_orderkey"],
-                        ["plan", "billing_interval"])
-    return top.select("member_id", "date", "plan", "billing_interval")
+    return (member_months(t) if months is None else months).select("member_id", "date", "top.plan", "top.billing_interval")
 
 
 def paid_base_by_plan(t: Catalog) -> DataFrame:
@@ -578,10 +587,9 @@ def daily_paying_customers(t: Catalog) -> DataFrame:
 
 def paid_months(t: Catalog) -> DataFrame:
     """Member x paid month with plan, interval, MRR and billing currency."""
-    pb = paid_base_by_member(t)
-    m = mrr_by_member(t)
     cur = customers(t).select("member_id", F.when(F.col("market") == "EUROPE", "EUR").otherwise("USD").alias("currency"))
-    return pb.join(m, ["member_id", "date"], "left").join(cur, "member_id", "left")
+    months = member_months(t).select("member_id", "date", "top.plan", "top.billing_interval", _banded("total"))
+    return months.join(cur, "member_id", "left")
 
 
 def shipment_days(t: Catalog) -> DataFrame:

@@ -20,6 +20,9 @@ from paidpath.session import ensure_checkpoint_dir
 from paidpath.sources.versions import MonthTable
 
 
+CO_PARTITION = "spark.sql.requireAllClusterKeysForCoPartition"
+
+
 def scratch_table_path(spark: SparkSession, name: str) -> str:
     """A fresh table location under the shared checkpoint folder."""
     base = ensure_checkpoint_dir(spark)
@@ -57,6 +60,26 @@ def full_refresh(df: DataFrame, path: str | None = None, partition_by: list[str]
     return df.sparkSession.read.parquet(path)
 
 
+def bucketed_table(df: DataFrame, name: str, key: str = "member_id", buckets: int | None = None) -> DataFrame:
+    """``df`` as a table whose files are dealt by ``key`` into ``buckets`` (as many as shuffle
+    partitions, if not given) and sorted by it. Joins, aggregates and windows on the key, over
+    tables of equal buckets, then need no exchange: each task reads one bucket of every table.
+    Meant for tables with few rows a key (member-months, attributes); a bucket is not split,
+    so a log in which one key holds a third of all rows should be joined by key and time.
+    The files lie in the shared folder, the name is unique in the session's catalog.
+
+    Spark deals joins on the key *and* other columns by all of them unless
+    ``requireAllClusterKeysForCoPartition`` is off; it is switched off here, if the session
+    does not say otherwise."""
+    spark = df.sparkSession
+    if CO_PARTITION not in spark.conf.getAll:
+        spark.conf.set(CO_PARTITION, "false")
+    buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    table = f"bucketed_{name}_{uuid.uuid4().hex[:12]}"
+    (df.repartition(buckets, key).write.bucketBy(buckets, key).sortBy(key).option("path", scratch_table_path(spark, name)).saveAsTable(table))
+    return spark.table(table)
+
+
 def refresh_recent_months(build: Callable[[bool], DataFrame], path: str, as_of: dt.date,
                           month_col: str, lookback_months: int = 2) -> DataFrame:
     """Recompute only months >= (month of ``as_of``) - ``lookback_months``.

@@ -35,7 +35,7 @@ def test_w22_movement_branches(spark):
     ]
     mm = spark.createDataFrame(data, schema)
     out = mrr_movements(mm, D(2020, 8, 15), None, D(2018, 1, 1))
-    got = {(r.member_id, r.mrr_month): (r.change, r.mrr1, r.mrr_change1) for r in out.collect()}
+    got = {(r.member_id, r.mrr_month): (r.change, r.moved.mrr, r.moved.mrr_change) for r in out.collect()}
     assert got[(0, D(2020, 1, 1))] == ("net_new", Decimal("10"), Decimal("10"))     # member id 0 counts (T1)
     assert got[(0, D(2020, 2, 1))] == ("previous_month", Decimal("10"), Decimal("0"))
     assert got[(0, D(2020, 3, 1))] == ("price_increase", Decimal("15"), Decimal("5"))
@@ -47,7 +47,7 @@ def test_w22_movement_branches(spark):
     assert got[(1, D(2020, 3, 1))][0] == "contraction"                             # negative month
     assert got[(1, D(2020, 4, 1))][0] == "expansion"                               # last month <= 0
     churn = out.filter((F.col("member_id") == 0) & (F.col("mrr_month") == D(2020, 6, 1))).first()
-    assert churn.plan1 == "b" and churn.is_active1 is True                          # carried from last month
+    assert churn.moved.plan == "b" and churn.moved.is_active is True                          # carried from last month
     first = out.filter((F.col("member_id") == 0) & (F.col("mrr_month") == D(2020, 1, 1))).first()
     assert first.after_2018_signup is True
     assert out.filter((F.col("member_id") == 0) & (F.col("mrr_month") == D(2020, 2, 1))).first().after_2018_signup is False

@@ -105,3 +105,19 @@ def test_broadcast_only_behind_a_size_bound(spark):
     assert broadcast_if_bounded(lines, max_bytes=1024) is lines      # over the bound: no hint
     hinted = orders.join(broadcast_if_bounded(plans), orders.o_orderpriority == plans.associated_plan)
     assert "BroadcastHashJoin" in hinted._jdf.queryExecution().executedPlan().toString()
+
+
+def test_bucketed_members_are_not_exchanged(spark):
+    """Over tables stored by member, the waterfall's joins, window and aggregate move no row."""
+    import re
+
+    from paidpath.registry import bucketed_waterfall
+    from paidpath.sources.tables import Catalog
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = _plan(bucketed_waterfall(Catalog(spark, SMALL)))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert "SortMergeJoin" in plan and "Bucketed: true" in plan
+    assert not re.findall("Exchange hashpartitioning[^\\n]*", plan), plan
