@@ -48,17 +48,31 @@ def communication_matrix(counts: np.ndarray, shards: int, seed: int) -> np.ndarr
     return out
 
 
+URN = 10**9  # the generator's limit for one urn
+
+
 def _draw(rng: np.random.Generator, good: int, bad: int, n: int) -> int:
+    """How many of ``n`` balls drawn without replacement are among the ``good``.
+
+    Larger urns than the generator takes are halved. Think of all balls with independent
+    uniform marks, of which the n smallest are drawn: the middle good ball's mark follows a
+    beta law, and the bad balls below it a binomial one. Either all balls up to that mark are
+    drawn, and the rest come from above it, or all drawn ones lie below it. A step leaves
+    about half of the urn, so a draw takes as many steps as the urn has doublings."""
+    taken = 0
+    while n and good and good + bad >= URN:
+        if good < bad:  # halve the larger part
+            return taken + n - _draw(rng, bad, good, n)
+        middle = (good + 1) // 2
+        below = int(rng.binomial(bad, rng.beta(middle, good - middle + 1))) if bad else 0
+        if middle + below <= n:
+            taken, n = taken + middle, n - middle - below
+            good, bad = good - middle, bad - below
+        else:
+            good, bad = middle - 1, below
     if not n or not good:
-        return 0
-    if good + bad < 10**9:  # the generator's limit
-        return int(rng.hypergeometric(good, bad, n))
-    # larger urns are drawn as two halves of the sample
-    half = n // 2
-    if not half:
-        return int(rng.random() * (good + bad) < good)
-    first = _draw(rng, good, bad, half)
-    return first + _draw(rng, good - first, bad - (half - first), n - half)
+        return taken
+    return taken + int(rng.hypergeometric(good, bad, n))
 
 
 def partition_draws(row: np.ndarray, partition: int, buckets: int, seed: int) -> tuple[np.ndarray, np.ndarray]:
@@ -80,6 +94,8 @@ def shuffled(docs: DataFrame, shards: int = 16, seed: int = 20240229) -> DataFra
     Columns of ``docs`` named shard or slot are replaced."""
     spark = docs.sparkSession
     docs = docs.drop("shard", "slot")
+    names = docs.columns
+    docs = docs.toDF(*[f"c{k}" for k in range(len(names))])  # no name clashes
     found = docs.groupBy(F.spark_partition_id().alias("p")).count().collect()
     counts = np.zeros(max((r["p"] for r in found), default=-1) + 1, np.int64)
     for r in found:
@@ -118,4 +134,4 @@ def shuffled(docs: DataFrame, shards: int = 16, seed: int = 20240229) -> DataFra
     offsets = sizes.select("_bucket", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("_before"))
     rank = F.row_number().over(Window.partitionBy("_bucket").orderBy("_key"))
     return (rows.join(offsets, "_bucket").withColumn("slot", (F.col("_before") + rank - 1).cast("long"))
-            .select(*columns, "shard", "slot"))
+            .select(*columns, "shard", "slot").toDF(*names, "shard", "slot"))
