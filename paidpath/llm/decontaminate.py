@@ -20,7 +20,7 @@ that is broadcast; documents pass the blocks one after the other without any shu
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -29,6 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from paidpath.llm.passages import cut_words
+from paidpath.llm.tables import frugal
 from paidpath.llm.words import ALNUM, span_hashes, spans, text_chunks
 
 BLOCK_WORDS = 200_000
@@ -176,13 +177,16 @@ def _merged(found: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return out
 
 
-def matched(docs: DataFrame, items: DataFrame, length: int = 10, text_col: str = "text", block_words: int = BLOCK_WORDS) -> DataFrame:
+def matched(docs: DataFrame, items: DataFrame, length: int = 10, text_col: str = "text", block_words: int = BLOCK_WORDS,
+            then: Callable[[Iterator], Iterator] | None = None, then_schema: T.StructType | None = None) -> DataFrame:
     """``docs`` with ``n_words``, ``hits`` (sorted spans of word numbers: start, end) and
     ``hit_items`` (ids of the items with occurring windows, each once).
 
     A null or empty text has no words. Items without words take no part; items with a null
     id are searched for but not named; rows with one item_id count as one item. Without
-    items nothing is hit. Columns of ``docs`` with the new names are replaced."""
+    items nothing is hit. Columns of ``docs`` with the new names are replaced. ``then``, a
+    function of batches with the result ``then_schema``, is applied in the last pass, by the
+    same Python worker."""
     spark = docs.sparkSession
     columns = [c for c in docs.columns if c not in ("n_words", "hits", "hit_items")]
     rows = docs.select(*columns, F.lit(0).cast("long").alias("n_words"),
@@ -216,10 +220,15 @@ def matched(docs: DataFrame, items: DataFrame, length: int = 10, text_col: str =
                     names=[*columns, "n_words", "hits", "hit_items"])
         return stream
 
-    schema, passed = rows.schema, False
+    def last(told):
+        return through(told) if then is None else lambda batches: then(through(told)(batches))
+
+    schema, told = rows.schema, None
     for block in _blocks(items, length, block_words):
-        rows, passed = rows.mapInArrow(through(spark.sparkContext.broadcast(block)), schema), True
-    return rows if passed else rows.mapInArrow(through(None), schema)
+        if told:
+            rows = rows.mapInArrow(frugal(through(told)), schema)
+        told = spark.sparkContext.broadcast(block)
+    return rows.mapInArrow(frugal(last(told)), schema if then is None else then_schema)
 
 
 def digest(ids: list[int]) -> str:
@@ -245,7 +254,7 @@ def decontaminated(docs: DataFrame, items: DataFrame, length: int = 10, coverage
     names = docs.columns
     docs = docs.toDF(*["text" if c == "text" else f"c{k}" for k, c in enumerate(names)])  # no name clashes
     columns, schema = docs.columns, docs.schema
-    found = matched(docs, items, length)
+    hits = T.StructField("hits", T.ArrayType(T.StructType([T.StructField("start", T.IntegerType()), T.StructField("end", T.IntegerType())])))
 
     def cut(batches):
         for batch in batches:
@@ -259,8 +268,7 @@ def decontaminated(docs: DataFrame, items: DataFrame, length: int = 10, coverage
             out = batch.set_column(batch.schema.get_field_index("text"), "text", pa.array(texts, batch.schema.field("text").type))
             yield out.select([*columns, "hits"]).filter(pa.array(keep, pa.bool_()))
 
-
-    out = found.mapInArrow(cut, T.StructType([*schema.fields, found.schema["hits"]]))
+    out = matched(docs, items, length, then=cut, then_schema=T.StructType([*schema.fields, hits]))
     if "n_chars" in names:
         n = columns[names.index("n_chars")]
         out = out.withColumn(n, F.when(F.size("hits") == 0, F.col(n)).otherwise(F.length("text")).cast(schema[n].dataType))

@@ -32,15 +32,16 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from paidpath.llm.components import components
-from paidpath.llm.tables import BitFilter, written
+from paidpath.llm.tables import BitFilter, frugal, written
 from paidpath.llm.words import SPACED, U, list_array, mix, run_hashes, span_hashes, spans, text_chunks
 
 ORDER_BITS = 1 << 23  # slots of the bitmap of frequent shingles: 1 MB
 SAMPLE_ONE_IN = 16  # of the documents, for the order and the boundary
 FREQUENT = 4  # documents of the sample
-KEYS_A_TASK = 500  # pairs of one centre that one task compares
+KEYS_A_TASK = 100  # pairs of one centre that one task compares
 LONG_LIST = 48  # members in more than one component
 BLOCK = 256  # members of a long list that a task compares with as many
 
@@ -116,7 +117,7 @@ def _sample(docs: DataFrame, n: int) -> tuple[np.ndarray, dict[int, int], float]
                     pa.array(sizes, pa.int32())], names=["s", "size"])
 
     some = (docs.where(F.pmod(F.xxhash64("doc_id"), F.lit(SAMPLE_ONE_IN)) == 0).select("text")
-            .mapInArrow(explode, "s array<long>, size int"))
+            .mapInArrow(frugal(explode), "s array<long>, size int"))
     some = written(some, "sampled")
     counts = some.select(F.explode("s").alias("s")).groupBy("s").count().where(F.col("count") >= FREQUENT)
     slots = (counts.select(F.col("s").bitwiseAND(ORDER_BITS - 1).alias("s")).distinct()
@@ -165,7 +166,7 @@ def _described(docs: DataFrame, n: int, percent: int, frequent, boundary: int) -
                     pa.array([cells_of(s) for s in sets], pa.binary())], names=["doc_id", "size", "cls", "keys", "cells"])
 
     return docs.select("doc_id", "text").mapInArrow(
-        describe, "doc_id long, size long, cls long, keys array<long>, cells binary")
+        frugal(describe), "doc_id long, size long, cls long, keys array<long>, cells binary")
 
 
 def _kept_keys(described: DataFrame, broadcast) -> DataFrame:
@@ -181,7 +182,7 @@ def _kept_keys(described: DataFrame, broadcast) -> DataFrame:
                 keys.flatten().filter(pa.array(good)), batch.column("cls").take(pa.array(owner)),
                 batch.column("size").take(pa.array(owner))], names=["key", "cls", "size"])
 
-    return described.select("cls", "size", "keys").mapInArrow(keep, "key long, cls long, size long")
+    return described.select("cls", "size", "keys").mapInArrow(frugal(keep), "key long, cls long, size long")
 
 
 def _sets_of(docs: DataFrame, holders: DataFrame, classes: DataFrame, n: int) -> DataFrame:
@@ -199,7 +200,7 @@ def _sets_of(docs: DataFrame, holders: DataFrame, classes: DataFrame, n: int) ->
                                                   pa.array([s.tobytes() for s in sets], pa.binary())], names=["cls", "shingles"])
 
     return written(docs.where("doc_id IS NOT NULL AND text IS NOT NULL").select("text", some.slot("doc_id").alias("slot"))
-                   .mapInArrow(whole, "cls long, shingles binary"), "sets")
+                   .mapInArrow(frugal(whole), "cls long, shingles binary"), "sets")
 
 
 def _verified(docs: DataFrame, holders: DataFrame, pairs: DataFrame, n: int, percent: int) -> DataFrame:
@@ -215,7 +216,7 @@ def _verified(docs: DataFrame, holders: DataFrame, pairs: DataFrame, n: int, per
             yield batch.select(["a", "b"]).filter(pa.array(good, pa.bool_()))
 
     likely = written(pairs.join(a, "a").join(b, "b").where("100 * least(na, nb) >= %d * greatest(na, nb)" % percent)
-                     .select("a", "b", "na", "nb", "ca", "cb").mapInArrow(bounded, "a long, b long"), "likely")
+                     .select("a", "b", "na", "nb", "ca", "cb").mapInArrow(frugal(bounded), "a long, b long"), "likely")
     sets = _sets_of(docs, holders, likely.select(F.col("a").alias("cls")).union(likely.select("b")).distinct(), n)
     salts = likely.groupBy("a").agg(F.ceil(F.count("*") / KEYS_A_TASK).cast("long").alias("salts"))
     salted = F.pmod(F.xxhash64("b"), F.col("salts")).alias("salt")
@@ -371,3 +372,42 @@ def jaccard_components(docs: DataFrame, n: int = 4, percent: int = 85) -> DataFr
     return rows.join(named, "cls", "left").select(
         "doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"),
         F.coalesce("class_id", "doc_id").alias("class_id"), F.coalesce("n_copies", F.lit(1)).cast("long").alias("n_copies"))
+
+
+def one_of_each(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
+    """``docs`` (doc_id, text, others) with one row of each group of linked documents: that
+    with the smallest doc_id. Rows are told apart by doc_id and set, so a doc_id that stands
+    for different texts loses only those that are copies. Rows with the same doc_id and set
+    are one document given again. Rows without a word or without doc_id stay. Texts of rows
+    that surely stay are not shuffled. All columns are kept as they are."""
+    names = docs.columns
+    docs = docs.toDF(*[c if c in ("doc_id", "text") else f"c{k}" for k, c in enumerate(names)])  # no name clashes
+    columns, kinds = docs.columns, docs.schema
+    rows = written(jaccard_classes(docs, n, percent).where("doc_id IS NOT NULL AND cls IS NOT NULL")
+                   .groupBy("doc_id", "cls", "component").agg(F.count("*").alias("times")), "near-copies")
+    first = rows.groupBy("component").agg(F.min(F.struct("doc_id", "cls")).alias("first"))
+    extra = written(rows.join(first, "component").select("doc_id", "cls", "times", (F.struct("doc_id", "cls") == F.col("first")).alias("kept"))
+                    .where("NOT kept OR times > 1"), "extra")
+    extra = extra.withColumnRenamed("doc_id", "id")
+    some = BitFilter(extra, "id")
+    told = docs.sparkSession.sparkContext.broadcast(some)
+
+    def near(batches):
+        for batch in batches:
+            batch = batch.filter(pa.array(told.value.has(np.asarray(batch.column("slot")))))
+            for i, j, data, offsets in text_chunks(batch.column("text")):
+                sets = shingle_sets(data, offsets, n)
+                keys = pa.array([class_key(s) if len(s) else None for s in sets], pa.int64())
+                yield batch.select([*columns, "id"]).slice(i, j - i).append_column("cls", keys)
+
+    def far(batches):
+        for batch in batches:
+            yield batch.filter(pa.array(~told.value.has(np.asarray(batch.column("slot"))))).select(columns)
+
+    known = docs.where("doc_id IS NOT NULL").withColumn("id", F.col("doc_id").cast("long")).withColumn("slot", some.slot("id"))
+    told_apart = known.mapInArrow(frugal(near), T.StructType([*kinds.fields, T.StructField("id", T.LongType()), T.StructField("cls", T.LongType())]))
+    marked = told_apart.join(extra, ["id", "cls"], "left")
+    stay = marked.where("kept IS NULL").select(columns)
+    again = marked.where("kept").dropDuplicates(["id", "cls"]).select(columns)
+    out = known.mapInArrow(frugal(far), kinds).unionByName(stay).unionByName(again).unionByName(docs.where("doc_id IS NULL"))
+    return out.toDF(*names)

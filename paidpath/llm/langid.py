@@ -8,7 +8,8 @@ One model has all languages: for each order a sorted array of n-gram hashes, wit
 log probabilities (one for each language, already interpolated down to the uniform law) and
 a row of back-off weights. A text goes to the language with the least cross-entropy per
 character. A text is rejected if that cross-entropy lies above what held-back training
-documents of the language show, widened for short texts.
+documents of the language show, widened for short texts. A language of few documents learns
+from all of them, and is calibrated by leaving out one after the other.
 """
 
 from __future__ import annotations
@@ -22,11 +23,12 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from paidpath.llm.tables import written
+from paidpath.llm.tables import frugal, written
 from paidpath.llm.words import BASE, U, mix, text_chunks
 
 ORDER = 5
 DOCS_A_LANGUAGE = 400  # bound of the training sample, by hash of doc_id
+FEW = 25  # documents of a language in the sample, below which none is held back
 SPACE = 32
 CHUNK = 1 << 20
 
@@ -216,17 +218,25 @@ class Identifier:
     def __init__(self, model: KneserNey, bits: np.ndarray, chars: np.ndarray, best: np.ndarray):
         """``bits``, ``chars``, ``best``: least cross-entropy, length and language of
         held-back documents. A language's bound lies WIDER bits above the SHARE quantile of
-        its excess over what SIGMAS deviations of its length allow."""
+        its excess over what SIGMAS deviations of its length allow.
+
+        With fewer than five such documents, a language has at least the widest spread and
+        excess of the others, and without any the highest mean too. If no language has
+        documents to spare, a text must be likelier than under equally likely characters."""
         self.model = model
         n = len(model.languages)
-        self.mean, self.spread, self.over = np.full(n, np.inf), np.zeros(n), np.zeros(n)
-        for i in range(n):
+        self.mean, self.spread, self.over = np.full(n, math.log2(len(model.keys[0]) + 1)), np.zeros(n), np.zeros(n)
+        size = np.array([((best == i) & (chars > 0)).sum() for i in range(n)], dtype=int)
+        for i in np.flatnonzero(size):
             own = (best == i) & (chars > 0)
-            if own.sum() >= 5:
-                self.mean[i] = np.average(bits[own], weights=chars[own])
-                self.spread[i] = np.sqrt(np.median((bits[own] - self.mean[i]) ** 2 * chars[own]) / 0.455)
-                excess = bits[own] - self.mean[i] - self.SIGMAS * self.spread[i] / np.sqrt(chars[own])
-                self.over[i] = max(0.0, float(np.quantile(excess, self.SHARE))) + self.WIDER
+            self.mean[i] = np.average(bits[own], weights=chars[own])
+            self.spread[i] = np.sqrt(np.median((bits[own] - self.mean[i]) ** 2 * chars[own]) / 0.455)
+            excess = bits[own] - self.mean[i] - self.SIGMAS * self.spread[i] / np.sqrt(chars[own])
+            self.over[i] = max(0.0, float(np.quantile(excess, self.SHARE))) + self.WIDER
+        for wide in (self.spread, self.over):
+            wide[size < 5] = np.maximum(wide[size < 5], wide[size >= 5].max(initial=0.0))
+        if size.any():
+            self.mean[size == 0] = self.mean[size > 0].max()
 
     def judge(self, data: np.ndarray, docs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """Language number (-1: no letter), score, bits per character and acceptance."""
@@ -240,7 +250,9 @@ class Identifier:
 
 def fit(docs: DataFrame, order: int = ORDER, docs_a_language: int = DOCS_A_LANGUAGE) -> Identifier | None:
     """Learns from ``docs`` (doc_id, text, lang): about ``docs_a_language`` whole documents
-    of each language, those with the smallest hashes of doc_id; a fifth of them calibrates.
+    of each language, those with the smallest hashes of doc_id; a fifth of them calibrates. A
+    language with fewer than ``FEW`` in the sample learns from all, so every language with a
+    word is learned.
     Null texts and languages teach nothing. None if there is no language."""
     known = docs.where("lang IS NOT NULL AND doc_id IS NOT NULL")
     counts = {r["lang"]: r["count"] for r in known.groupBy("lang").count().collect()}
@@ -249,7 +261,10 @@ def fit(docs: DataFrame, order: int = ORDER, docs_a_language: int = DOCS_A_LANGU
     bound = F.create_map(*[F.lit(x) for lang, n in counts.items() for x in (lang, min(1.0, docs_a_language / n))])
     draw = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) / (1 << 20)
     some = written(known.where(draw < bound[F.col("lang")]).where("text IS NOT NULL").select(
-        "lang", "text", (F.pmod(F.xxhash64(F.lit("held back"), F.col("doc_id")), F.lit(5)) == 0).alias("held_back")), "language-sample")
+        "lang", "text", "doc_id", F.xxhash64("doc_id", "text").alias("doc"),
+        (F.pmod(F.xxhash64(F.lit("held back"), F.col("doc_id")), F.lit(5)) == 0).alias("held_back")), "language-sample")
+    few = written(some.groupBy("lang").count().select("lang", (F.col("count") < FEW).alias("few")), "languages")
+    some = some.join(few, "lang").withColumn("held_back", F.expr("held_back AND NOT few"))
 
     def count(batches):
         for batch in batches:
@@ -262,7 +277,7 @@ def fit(docs: DataFrame, order: int = ORDER, docs_a_language: int = DOCS_A_LANGU
                     [lang.dictionary.take(pa.array(key // max(1, len(words)))), words.take(pa.array(key % max(1, len(words)))).cast(pa.binary()), pa.array(n)],
                     names=["lang", "word", "n"])
 
-    counted = some.where("NOT held_back").mapInArrow(count, "lang string, word binary, n long").groupBy("lang", "word").agg(F.sum("n").alias("n")).toArrow()
+    counted = some.where("NOT held_back").mapInArrow(frugal(count), "lang string, word binary, n long").groupBy("lang", "word").agg(F.sum("n").alias("n")).toArrow()
     words = {}
     for lang in sorted(pc.unique(counted.column("lang")).to_pylist()):
         own = counted.filter(pc.equal(counted.column("lang"), lang))
@@ -278,8 +293,36 @@ def fit(docs: DataFrame, order: int = ORDER, docs_a_language: int = DOCS_A_LANGU
                 bits, n = told.value.entropy(data, offsets)
                 yield pa.RecordBatch.from_arrays([pa.array(bits.min(1)), pa.array(n), pa.array(bits.argmin(1))], names=["bits", "chars", "best"])
 
-    held = some.where("held_back").mapInArrow(weigh, "bits double, chars long, best long").toArrow()
-    return Identifier(model, *(held.column(c).to_numpy() for c in ("bits", "chars", "best")))
+    held = some.where("held_back").mapInArrow(frugal(weigh), "bits double, chars long, best long").toArrow()
+    out = _left_out(some.where("few").select("lang", "doc", "text"), order).toArrow()
+    best = np.searchsorted(model.languages, np.array(out.column("lang").to_pylist(), dtype=str)) if out.num_rows else np.zeros(0, np.int64)
+    return Identifier(model, *(np.concatenate([held.column(c).to_numpy(), out.column(c).to_numpy()]) for c in ("bits", "chars")),
+                      np.concatenate([held.column("best").to_numpy(), best]))
+
+
+def _left_out(few: DataFrame, order: int) -> DataFrame:
+    """``lang, bits, chars``: each document's cross-entropy under its language's other
+    documents, for languages of fewer than ``FEW`` documents, each in a task. Equal texts of
+    one doc_id are one document; a language of one document has none to spare."""
+    def weigh(key: tuple[pa.Scalar, ...], rows: pa.Table) -> pa.Table:
+        texts = dict(zip(rows.column("doc").to_pylist(), rows.column("text").to_pylist(), strict=True))
+        words, out = [], []
+        for text in texts.values():
+            data = np.frombuffer(text.encode(), np.uint8)
+            own, number, _ = text_words(data, np.array([0, len(data)]))
+            words.append((own, np.bincount(number, minlength=len(own)).astype(float)))
+        for i, (own, times) in enumerate(words):
+            others = [w for k, w in enumerate(words) if k != i and len(w[0])]
+            if others and len(own):
+                every = pa.concat_arrays([w for w, _ in others]).dictionary_encode()
+                total = np.bincount(np.asarray(every.indices), np.concatenate([n for _, n in others]), len(every.dictionary))
+                bits, chars = KneserNey({"": (every.dictionary, total)}, order).word_bits(own)
+                n = float((times * chars).sum())
+                out.append((-float((times * bits[:, 0]).sum()) / n, int(n)))
+        return pa.table({"lang": pa.array([key[0].as_py()] * len(out), pa.string()), "bits": pa.array([b for b, _ in out], pa.float64()),
+                         "chars": pa.array([n for _, n in out], pa.int64())})
+
+    return few.groupBy("lang").applyInArrow(weigh, "lang string, bits double, chars long")
 
 
 def identified(docs: DataFrame, identifier: Identifier | None) -> DataFrame:
@@ -303,4 +346,4 @@ def identified(docs: DataFrame, identifier: Identifier | None) -> DataFrame:
                                              names=[*columns, "lang_pred", "lang_score", "lang_bits", "lang_accepted"])
 
     fields = docs.withColumns({"lang_pred": F.lit(""), "lang_score": F.lit(0.0), "lang_bits": F.lit(0.0), "lang_accepted": F.lit(True)}).schema
-    return docs.mapInArrow(judge, fields)
+    return docs.mapInArrow(frugal(judge), fields)

@@ -25,10 +25,11 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from paidpath.llm.tables import BitFilter, written
+from paidpath.llm.tables import BitFilter, frugal, written
 from paidpath.llm.words import SPACED, list_array, long_run_hashes, ragged, run_hashes, span_hashes, spans, text_chunks
 
 RUN = 4  # words of the run that selects a position
@@ -77,6 +78,11 @@ def _groups(places: DataFrame) -> DataFrame:
             .select("h", F.col("lo.doc_id").alias("first_doc"), F.col("lo.s").alias("first_s"), F.expr("lo < hi OR own > 1").alias("again")))
 
 
+def _kind(df: DataFrame) -> str:
+    """The type of documents' names: a number, or what orders as one."""
+    return df.schema["doc_id"].dataType.simpleString()
+
+
 def _judged(places: DataFrame) -> DataFrame:
     """The places whose window occurs elsewhere too, with the first place's document and
     whether this place is a later one. The groups are written first, so that the join has two
@@ -90,14 +96,15 @@ def _judged(places: DataFrame) -> DataFrame:
         for batch in batches:
             yield batch.filter(pa.array(told.value.has_hash(np.asarray(batch.column("h")).view(np.uint64))))
 
-    rows = places.select("h", "doc_id", "s").mapInArrow(maybe, "h long, doc_id long, s array<int>")
+    rows = places.select("h", "doc_id", "s").mapInArrow(frugal(maybe), f"h long, doc_id {_kind(places)}, s array<int>")
     return rows.join(groups, "h").select("doc_id", F.explode("s").alias("s"), "first_doc", "first_s").select(
         "doc_id", "s", "first_doc", F.expr("doc_id <> first_doc OR s <> first_s").alias("later"))
 
 
 def repeated_windows(docs: DataFrame, length: int = 50, span: int = 26) -> DataFrame:
     """``doc_id, s, first_doc, later``: windows that repeat, by their first word's number,
-    enough of them to cover every word of every repeated window."""
+    enough of them to cover every word of every repeated window. ``doc_id`` may be of any type
+    that Spark can order; equal ones name one document."""
     if not RUN <= span or span + RUN - 1 > length:
         raise ValueError("span must leave room for the run within the length")
     spark = docs.sparkSession
@@ -111,7 +118,7 @@ def repeated_windows(docs: DataFrame, length: int = 50, span: int = 26) -> DataF
                     batch.column("doc_id").slice(i, j - i)], names=["keys", "doc_id"])
 
     docs = docs.where("doc_id IS NOT NULL AND text IS NOT NULL").select("doc_id", "text")
-    keys = docs.mapInArrow(suffixes, "keys array<long>, doc_id long").select(F.explode("keys").alias("key"))
+    keys = docs.mapInArrow(frugal(suffixes), f"keys array<long>, doc_id {_kind(docs)}").select(F.explode("keys").alias("key"))
     shared = BitFilter(keys.groupBy("key").count().where("count > 1"), "key", hashed=True)
 
     def windows_of(told, inner: bool):
@@ -127,7 +134,7 @@ def repeated_windows(docs: DataFrame, length: int = 50, span: int = 26) -> DataF
                         two = good[w.a[good] < w.b[good]]
                         s, picked = np.concatenate([w.a[good], w.b[two]]), np.concatenate([good, two])
                     yield _places(batch.column("doc_id").slice(i, j - i), w, s, picked)
-        return docs.mapInArrow(emit, "h long, doc_id long, s array<int>, key long")
+        return docs.mapInArrow(frugal(emit), f"h long, doc_id {_kind(docs)}, s array<int>, key long")
 
     outer = written(windows_of(spark.sparkContext.broadcast(shared), inner=False), "edges")
     # suffixes with more than two different outer windows: all their places are looked into, as
@@ -149,7 +156,11 @@ def repeated_spans(docs: DataFrame, length: int = 50, span: int = 26, id_col: st
 
     Documents without one are not listed, nor are null ids, null or empty texts and texts of
     fewer than ``length`` words. Rows with one doc_id count once. Other columns are not read."""
-    docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    return _spans(docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")), length, span)
+
+
+def _spans(docs: DataFrame, length: int, span: int) -> DataFrame:
+    """``repeated_spans`` of documents with names of any type."""
     rows = repeated_windows(docs, length, span).groupBy("doc_id").agg(
         F.array_sort(F.collect_set(F.col("s") * 2 + F.col("later").cast("int"))).alias("w"),  # one number is a third of a struct
         F.array_sort(F.collect_set("first_doc")).alias("first_doc_ids"))
@@ -173,7 +184,7 @@ def repeated_spans(docs: DataFrame, length: int = 50, span: int = 26, id_col: st
                                              names=["doc_id", "spans", "later", "n_repeated", "n_later", "first_doc_ids"])
 
     kind = "array<struct<start:int,end:int>>"
-    return rows.mapInArrow(join, f"doc_id long, spans {kind}, later {kind}, n_repeated long, n_later long, first_doc_ids array<long>")
+    return rows.mapInArrow(frugal(join), f"doc_id {_kind(docs)}, spans {kind}, later {kind}, n_repeated long, n_later long, first_doc_ids array<{_kind(docs)}>")
 
 
 def cut_words(text: str, cuts: list[tuple[int, int]], admitted: np.ndarray = SPACED) -> str:
@@ -189,19 +200,23 @@ def cut_words(text: str, cuts: list[tuple[int, int]], admitted: np.ndarray = SPA
     return b"".join([*keep, data[at:].tobytes()]).decode()
 
 
-def without_spans(docs: DataFrame, cuts: DataFrame, admitted: np.ndarray = SPACED) -> DataFrame:
-    """``docs`` (doc_id, text and others) without the word spans of ``cuts`` (doc_id, cuts);
-    n_chars, if there is one, follows the text. Documents with nothing left are left out.
-    Texts of documents that surely have no cut are not shuffled."""
-    columns, schema = docs.columns, docs.schema
+def without_spans(docs: DataFrame, cuts: DataFrame, place: Column, admitted: np.ndarray = SPACED) -> DataFrame:
+    """``docs`` (text and others) without the word spans of ``cuts`` (doc_id, cuts), which
+    names documents by ``place``, a column over ``docs``; n_chars, if there is one, follows the
+    text. Documents with nothing left are left out. Texts of documents that surely have no
+    cut are not shuffled. All other columns are kept as they are."""
+    names = docs.columns
+    renamed = ["text" if c == "text" else f"c{k}" for k, c in enumerate(names)]  # no name clashes
+    docs = docs.select("*", place).toDF(*renamed, "place")
+    columns, schema, kinds = renamed, T.StructType(docs.schema.fields[:-1]), docs.schema
     some = BitFilter(cuts, "doc_id")
     told = docs.sparkSession.sparkContext.broadcast(some)
 
     def split(want):
         def pick(batches):
             for batch in batches:
-                hit = told.value.has(np.nan_to_num(batch.column("slot").to_numpy(zero_copy_only=False)).astype(np.int64))
-                yield batch.filter(pa.array(hit == want)).select(columns)
+                hit = told.value.has(np.asarray(batch.column("slot")))
+                yield batch.filter(pa.array(hit == want)).select([*columns, "place"] if want else columns)
         return pick
 
     def cut(batches):
@@ -212,17 +227,23 @@ def without_spans(docs: DataFrame, cuts: DataFrame, admitted: np.ndarray = SPACE
             out = batch.set_column(batch.schema.get_field_index("text"), "text", pa.array(texts, batch.schema.field("text").type))
             yield out.select(columns).filter(pa.array(kept, pa.bool_()))
 
-    slotted = docs.withColumn("slot", some.slot("doc_id"))
-    near = slotted.mapInArrow(split(True), schema).join(cuts.select("doc_id", "cuts"), "doc_id", "left").select(*columns, "cuts")
-    changed = near.mapInArrow(cut, schema)
-    if "n_chars" in columns:
-        changed = changed.withColumn("n_chars", F.when(F.col("text").isNull(), F.col("n_chars")).otherwise(
-            F.length("text")).cast(schema["n_chars"].dataType)).select(columns)
-    return slotted.mapInArrow(split(False), schema).unionByName(changed)
+    slotted = docs.withColumn("slot", some.slot("place"))
+    # written, so that no task needs two Python workers at once
+    near = written(slotted.mapInArrow(frugal(split(True)), kinds), "near")
+    told_cuts = near.join(cuts.select(F.col("doc_id").alias("place"), "cuts"), "place", "left").select(*columns, "cuts")
+    changed = told_cuts.mapInArrow(frugal(cut), schema)
+    if "n_chars" in names:
+        n = renamed[names.index("n_chars")]
+        changed = changed.withColumn(n, F.when(F.col("text").isNull(), F.col(n)).otherwise(F.length("text")).cast(schema[n].dataType))
+    return slotted.mapInArrow(frugal(split(False)), schema).unionByName(changed.select(columns)).toDF(*names)
 
 
 def without_repeats(docs: DataFrame, length: int = 50, span: int = 26) -> DataFrame:
     """``docs`` with every repeated passage left at its first place only (by doc_id, then
-    position). Documents of which nothing is left go; the others keep all columns."""
-    cuts = repeated_spans(docs, length, span).where("n_later > 0").select("doc_id", F.col("later").alias("cuts"))
-    return without_spans(docs, written(cuts, "cuts"))
+    position). Documents of which nothing is left go; the others keep all columns. Rows are
+    told apart by doc_id and text: a doc_id that stands for different texts names several
+    documents, and rows with both alike are one document given again. Null ids and texts stay."""
+    place = F.when(F.col("doc_id").isNotNull() & F.col("text").isNotNull(), F.struct(
+        F.col("doc_id").cast("long").alias("id"), F.xxhash64("text").alias("text")))
+    cuts = _spans(docs.select(place.alias("doc_id"), "text"), length, span).where("n_later > 0").select("doc_id", F.col("later").alias("cuts"))
+    return without_spans(docs, written(cuts, "cuts"), place)

@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import ctypes
 import math
 import uuid
+from collections.abc import Callable, Iterator
+from functools import wraps
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -31,6 +35,23 @@ def bounded_batches(spark: SparkSession) -> None:
         spark.conf.set(key, BATCH_BYTES)
 
 
+def frugal(run: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """``run``, a function of record batches, after whose task the Python worker gives freed
+    memory back to the system. Workers are used again by later stages, and what the allocators
+    keep of one stage's models and buffers would stand beside the next stage's."""
+    @wraps(run)
+    def tidy(batches):
+        try:
+            yield from run(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # of the GNU C library
+            if trim:
+                trim(0)
+
+    return tidy
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """``df`` as a Parquet table in the shared folder: computed once, lineage cut, and read
     again by whichever executor needs it."""
