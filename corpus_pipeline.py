@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 from paidpath.llm import decontaminate, jaccard, langid, passages, sentencepieces
-from paidpath.llm.tables import BitFilter, read, written
+from paidpath.llm.tables import read, written
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -25,31 +25,10 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies: the one with the smallest doc_id (one row
-    of it). Documents without a word, and rows without doc_id, stay."""
-    groups = jaccard.jaccard_components(docs.select("doc_id", "text"))
-    extra = groups.where("doc_id IS NOT NULL AND doc_id <> component_id").select("doc_id").distinct()
-    return without_ids(docs, written(extra, "near-copies"))
-
-
-def without_ids(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """``docs`` without the rows of ``ids`` (doc_id), and one row of each repeated doc_id.
-    Only rows whose id may be among them are shuffled."""
-    columns, schema = docs.columns, docs.schema
-    again = docs.where("doc_id IS NOT NULL").groupBy("doc_id").count().where("count > 1").select("doc_id")
-    some = BitFilter(ids.union(again), "doc_id")
-    told = docs.sparkSession.sparkContext.broadcast(some)
-
-    def split(want: bool):
-        def pick(batches):
-            for batch in batches:
-                yield batch.filter(pa.array(told.value.has(np.asarray(batch.column("slot"))) == want)).select(columns)
-        return pick
-
-    slotted = docs.withColumn("slot", some.slot("doc_id"))
-    maybe = slotted.where("doc_id IS NOT NULL").mapInArrow(split(True), schema).join(ids, "doc_id", "left_anti").dropDuplicates(["doc_id"])
-    return slotted.where("doc_id IS NOT NULL").mapInArrow(split(False), schema).unionByName(maybe.select(columns)).unionByName(
-        docs.where("doc_id IS NULL"))
+    """One document of each group of near copies (five words, a similarity of 0.8 or more): the
+    one with the smallest doc_id. Documents without a word, and rows without doc_id, stay; a
+    doc_id that stands for different texts loses only those that are copies."""
+    return jaccard.one_of_each(docs, n=5, percent=80)
 
 
 def suffix_array_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
