@@ -119,17 +119,20 @@ def _sample(docs: DataFrame, n: int) -> tuple[np.ndarray, dict[int, int], float]
     some = (docs.where(F.pmod(F.xxhash64("doc_id"), F.lit(SAMPLE_ONE_IN)) == 0).select("text")
             .mapInArrow(frugal(explode), "s array<long>, size int"))
     some = written(some, "sampled")
-    counts = some.select(F.explode("s").alias("s")).groupBy("s").count().where(F.col("count") >= FREQUENT)
-    slots = (counts.select(F.col("s").bitwiseAND(ORDER_BITS - 1).alias("s")).distinct()
-             .select((F.col("s") + 1).alias("s")).groupBy(F.expr("bitmap_bucket_number(s)").alias("b"))
-             .agg(F.expr("bitmap_construct_agg(bitmap_bit_position(s))").alias("m")).collect())
-    frequent = np.zeros(ORDER_BITS // 8, np.uint8)
-    for r in slots:
-        frequent[(r["b"] - 1) * 4096:r["b"] * 4096] = np.frombuffer(bytes(r["m"]), np.uint8)
+    # one pass for the bitmap of frequent shingles and, in the row without a bucket, the sums of rare ones
+    often = F.col("count") >= FREQUENT
+    counts = (some.select(F.explode("s").alias("s")).groupBy("s").count()
+              .select(F.when(often, F.col("s").bitwiseAND(ORDER_BITS - 1) + 1).alias("s"), F.when(~often, F.col("count")).alias("c")))
+    rows = (counts.groupBy(F.expr("bitmap_bucket_number(s)").alias("b"))
+            .agg(F.expr("bitmap_construct_agg(bitmap_bit_position(s))").alias("m"), F.sum(F.col("c") * F.col("c")).alias("q"), F.sum("c").alias("c")).collect())
+    frequent, rare = np.zeros(ORDER_BITS // 8, np.uint8), {"q": 0, "c": 0}
+    for r in rows:
+        if r["b"] is None:
+            rare = r
+        else:
+            frequent[(r["b"] - 1) * 4096:r["b"] * 4096] = np.frombuffer(bytes(r["m"]), np.uint8)
     # sizes by powers of two, so that at most 64 rows come back
     sizes = {1 << int(r["p"]): r["count"] for r in some.where("size > 1").groupBy(F.floor(F.log2("size")).alias("p")).count().collect()}
-    rare = (some.select(F.explode("s").alias("s")).groupBy("s").count().where(F.col("count") < FREQUENT)
-            .agg(F.sum(F.col("count") * F.col("count")).alias("q"), F.sum("count").alias("c")).first())
     partners = max(0.0, (rare["q"] or 0) / max(1, rare["c"] or 0) - 1) * SAMPLE_ONE_IN
     return frequent, sizes, partners
 
