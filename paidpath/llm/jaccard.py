@@ -15,9 +15,10 @@ need(s) = ceil(percent * s / 100) shingles, so all but s - need(s) of them.
   sample's size histogram and its list lengths.
 * Candidates of a list are not expanded into all pairs. Two rounds compare members with one
   centre each; links found there merge components. Only lists that hold more than one
-  component afterwards are looked into: short ones pair by pair, long ones in blocks, whose
-  overlaps are products of 0/1 matrices. Before the sets of a pair are sent, it must pass an
-  upper bound on its overlap from counts of shingles by cell.
+  component afterwards are looked into: short ones pair by pair, long ones in blocks. Before
+  the sets of a pair are sent, it must pass an upper bound on its overlap from counts of
+  shingles by cell. Where most pairs of two blocks pass it, the blocks' sets meet, and the
+  overlaps are products of 0/1 matrices.
 * Equal sets are one class from the start, and copies are never paired.
 
 The order, boundary, bitmap and cells only change the work, never the links.
@@ -44,6 +45,7 @@ FREQUENT = 4  # documents of the sample
 KEYS_A_TASK = 100  # pairs of one centre that one task compares
 LONG_LIST = 48  # members in more than one component
 BLOCK = 256  # members of a long list that a task compares with as many
+PAIRS_A_MEMBER = 4  # of two such blocks that may link; with more, their sets meet
 
 
 def shingle_sets(data: np.ndarray, docs: np.ndarray, n: int) -> list[np.ndarray]:
@@ -284,16 +286,63 @@ def forest(linked: np.ndarray) -> list[tuple[int, int]]:
     return out
 
 
-def _long_lists(docs: DataFrame, holders: DataFrame, members: DataFrame, n: int, percent: int) -> DataFrame:
-    """Links within the long lists ``members`` (key, cls, n: the list's length): blocks of a
-    list meet two by two, each pair of blocks in a task, which returns a spanning forest
+def likely_pairs(cells: list[bytes], size: np.ndarray, apart: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """``may_link`` for all pairs of some sets at once: the two members of each pair that may
+    link, of the pairs that the symmetric matrix ``apart`` admits."""
+    lengths = np.array([len(c) for c in cells])
+    found = [np.zeros((2, 0), np.int64)]
+    for few in np.unique(lengths):
+        low = np.flatnonzero(lengths == few)
+        x = np.frombuffer(b"".join(cells[u] for u in low), np.uint8).reshape(len(low), few).astype(np.int32)
+        for many in np.unique(lengths[lengths >= few]):
+            high = np.flatnonzero(lengths == many)
+            near = apart[np.ix_(low, high)] & (100 * np.minimum(size[low][:, None], size[high]) >= percent * np.maximum(size[low][:, None], size[high]))
+            if few == many:
+                near &= low[:, None] < high
+            if not near.any():
+                continue
+            y = np.frombuffer(b"".join(cells[v] for v in high), np.uint8).reshape(len(high), many)
+            capped = (y == 255).any(1)
+            y = y.reshape(len(high), few, -1).sum(2, dtype=np.int32)
+            for r in np.flatnonzero(near.any(1)):
+                to = np.flatnonzero(near[r])
+                most = np.minimum(x[r], y[to]).sum(1, dtype=np.int64)
+                good = high[to[((100 + percent) * most >= percent * (size[low[r]] + size[high[to]])) | capped[to] | (x[r] == 255).any()]]
+                found.append(np.stack([np.full(len(good), low[r]), good]))
+    u, v = np.concatenate(found, axis=1)
+    return u, v
+
+
+def _long_lists(docs: DataFrame, holders: DataFrame, members: DataFrame, n: int, percent: int) -> tuple[DataFrame, DataFrame]:
+    """Of the long lists ``members`` (key, cls, comp, size, n: the list's length): pairs
+    ``a, b`` that have yet to be compared, and links.
+
+    Blocks of a list meet two by two, each pair of blocks in a task, with the counts by cell
+    only, which are far smaller than the sets. Pairs of different components that pass their
+    bound are few as a rule. Where two blocks have more than PAIRS_A_MEMBER of them a member,
+    the sets themselves meet, each once, and a spanning forest of the links comes back
     instead of pairs."""
-    sets = _sets_of(docs, holders, members.select("cls").distinct(), n)
     blocks = F.ceil(F.col("n") / BLOCK).cast("long")
-    own = members.select("key", "cls", blocks.alias("blocks"), F.pmod(F.xxhash64("cls"), blocks).alias("x"))
-    met = own.select("key", "cls", "x", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("y"))
-    rows = (met.select("key", "cls", F.least("x", "y").alias("i"), F.greatest("x", "y").alias("j"))
-            .join(sets, "cls").select("key", "i", "j", "cls", "shingles"))
+    own = members.select("key", "cls", "comp", blocks.alias("blocks"), F.pmod(F.xxhash64("cls"), blocks).alias("x"))
+    met = own.select("key", "cls", "comp", "x", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("y"))
+    met = met.select("key", F.least("x", "y").alias("i"), F.greatest("x", "y").alias("j"), "cls", "comp", "x")
+
+    def bound(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = pa.Table.from_batches(batches)
+        cls, comp, side, size = (np.asarray(rows.column(c).combine_chunks()) for c in ("cls", "comp", "x", "size"))
+        apart = comp[:, None] != comp
+        if key[1].as_py() != key[2].as_py():  # pairs within a block have a task of their own
+            apart &= side[:, None] != side
+        u, v = likely_pairs(rows.column("cells").to_pylist(), size, apart, percent)
+        a, b = np.minimum(cls[u], cls[v]), np.maximum(cls[u], cls[v])
+        dense = len(a) > PAIRS_A_MEMBER * len(cls)
+        a, b = (pa.nulls(1, pa.int64()),) * 2 if dense else (pa.array(a), pa.array(b))
+        yield pa.RecordBatch.from_arrays([pa.array([k.as_py()] * len(a), pa.int64()) for k in key] + [a, b], names=["key", "i", "j", "a", "b"])
+
+    bounded = written(met.join(holders.select("cls", "size", "cells"), "cls").groupBy("key", "i", "j")
+                      .applyInArrow(bound, "key long, i long, j long, a long, b long"), "bounded")
+    dense = met.join(bounded.where("a IS NULL").select("key", "i", "j"), ["key", "i", "j"]).select("key", "i", "j", "cls")
+    sets = _sets_of(docs, holders, dense.select("cls").distinct(), n)
 
     def compare(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found = {}
@@ -305,7 +354,8 @@ def _long_lists(docs: DataFrame, holders: DataFrame, members: DataFrame, n: int,
         links = forest(100 * both >= percent * (size[:, None] + size[None, :] - both))
         yield pa.RecordBatch.from_arrays([pa.array([names[u] for u, _ in links], pa.int64()), pa.array([names[v] for _, v in links], pa.int64())], names=["a", "b"])
 
-    return rows.groupBy("key", "i", "j").applyInArrow(compare, "a long, b long")
+    links = dense.join(sets, "cls").select("key", "i", "j", "cls", "shingles").groupBy("key", "i", "j").applyInArrow(compare, "a long, b long")
+    return bounded.where("a IS NOT NULL").select("a", "b"), links
 
 
 def jaccard_classes(docs: DataFrame, n: int = 4, percent: int = 85, id_col: str = "doc_id", text_col: str = "text",
@@ -347,9 +397,11 @@ def jaccard_classes(docs: DataFrame, n: int = 4, percent: int = 85, id_col: str
     short = open_lists.join(counts.where(F.col("n") <= LONG_LIST).select("key"), "key")
     x, y = short.toDF("key", "a", "na", "ca"), short.toDF("key", "b", "nb", "cb")
     rest = (x.join(y, "key").where("a < b AND ca <> cb AND 100 * least(na, nb) >= %d * greatest(na, nb)" % percent)
-            .select("a", "b").distinct())
-    links.append(written(verify(rest), "links"))
-    links.append(written(_long_lists(docs, holders, open_lists.join(counts.where(F.col("n") > LONG_LIST), "key"), n, percent), "links"))
+            .select("a", "b"))
+    long = written(open_lists.join(counts.where(F.col("n") > LONG_LIST), "key"), "long")
+    more, within = _long_lists(docs, holders, long, n, percent)
+    links.append(written(verify(rest.union(more).distinct()), "links"))
+    links.append(written(within, "links"))
     comp = components(reduce(DataFrame.union, links))
     return (described.select("doc_id", "size", "cls").join(comp.withColumnRenamed("node", "cls"), "cls", "left")
             .select("doc_id", F.col("size").alias("n_shingles"), "cls", F.coalesce("component", "cls").alias("component")))

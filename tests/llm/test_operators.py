@@ -240,6 +240,60 @@ def test_jaccard_against_brute_force(spark, monkeypatch, long_list):
     assert got == brute_components(rows)
 
 
+@pytest.mark.parametrize(("block", "pairs"), [(4, 0), (4, 1), (256, 0), (4, 1000)])
+def test_jaccard_long_lists_against_brute_force(spark, monkeypatch, block, pairs):
+    """Blocks whose sets meet, and blocks of which only pairs that may link are compared."""
+    for name, value in (("LONG_LIST", 2), ("BLOCK", block), ("PAIRS_A_MEMBER", pairs)):
+        monkeypatch.setattr(jaccard, name, value)
+    rng = np.random.default_rng(6)
+    rows = []
+    for i in range(60):
+        w = [f"w{k}" for k in range(80 + 40 * (i % 2))]
+        for _ in range(int(rng.integers(0, 5))):
+            w[int(rng.integers(len(w)))] = f"x{rng.integers(9)}"
+        rows.append((i, " ".join(w)))
+    got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in jaccard.jaccard_classes(
+        spark.createDataFrame(rows, "doc_id long, text string"), star_rounds=1).groupBy("component").agg(
+        F.min("doc_id").alias("component_id"), F.collect_list(F.struct("doc_id", "n_shingles")).alias("r")).selectExpr(
+        "component_id", "inline(r)").collect()}
+    assert got == brute_components(rows)
+
+
+def test_jaccard_likely_pairs_are_those_that_may_link():
+    rng = np.random.default_rng(7)
+    base = rng.integers(0, 2**63, 3000).astype(np.uint64)
+    sets = [np.unique(np.concatenate([rng.choice(base, n, replace=False), rng.integers(0, 2**63, n // 10 + 1).astype(np.uint64)]))
+            for n in [9, 30, 31, 33, 60, 64, 70, 900, 1000, 1100, 2500, 2600, 2999, 3000]]
+    sets += [np.unique(s[1:]) for s in sets] + [np.arange(300, dtype=np.uint64)]  # the last has a capped cell
+    sets += [np.unique(np.concatenate([sets[-1], base[:8]]))]
+    size, comp = np.array([len(s) for s in sets]), np.arange(len(sets)) // 2
+    cells = [jaccard.cells_of(s) for s in sets]
+    u, v = jaccard.likely_pairs(cells, size, comp[:, None] != comp, 85)
+    want = {(a, b) for a in range(len(sets)) for b in range(a + 1, len(sets)) if comp[a] != comp[b]
+            and 100 * min(size[a], size[b]) >= 85 * max(size[a], size[b]) and jaccard.may_link(cells[a], cells[b], len(sets[a]), len(sets[b]), 85)}
+    assert len(want) > 14 and sorted(zip(np.minimum(u, v).tolist(), np.maximum(u, v).tolist(), strict=True)) == sorted(want)
+
+
+def test_jaccard_long_lists_send_no_sets_that_cannot_link(spark, monkeypatch):
+    """Documents that share a passage, and so their keys, but are too different to link."""
+    seen, lists = [], []
+    sets_of, long_lists = jaccard._sets_of, jaccard._long_lists
+
+    def counted(docs, holders, classes, n):
+        seen.append(classes.count())
+        return sets_of(docs, holders, classes, n)
+
+    def listed(docs, holders, members, n, percent):
+        lists.append(members.count())
+        return long_lists(docs, holders, members, n, percent)
+
+    for name, value in (("LONG_LIST", 2), ("_sets_of", counted), ("_long_lists", listed)):
+        monkeypatch.setattr(jaccard, name, value)
+    rows = [(i, " ".join([f"c{k}" for k in range(40)] + [f"u{i}x{k}" for k in range(30)])) for i in range(30)]
+    assert len({r["component_id"] for r in jaccard.jaccard_components(spark.createDataFrame(rows, "doc_id long, text string")).collect()}) == 30
+    assert lists[0] > 100 and sum(seen) == 0
+
+
 def test_jaccard_of_odd_rows(odd, none):
     rows = jaccard.jaccard_components(odd).collect()
     got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in rows}
