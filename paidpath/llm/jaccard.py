@@ -15,7 +15,11 @@ need(s) = ceil(percent * s / 100) shingles, so all but s - need(s) of them.
   sample's size histogram and its list lengths.
 * Candidates of a list are not expanded into all pairs. Two rounds compare members with one
   centre each; links found there merge components. Only lists that hold more than one
-  component afterwards are looked into: short ones pair by pair, long ones in blocks. Before
+  component afterwards are looked into.
+* Of long ones, members go whose shingles are too seldom shared: an overlap has no shingle
+  that stands in one set only. The others are compared with the centre that shares most of
+  its own, next to which the members of a family of near copies stand.
+* What is still open is compared pair by pair in short lists, in blocks in long ones. Before
   the sets of a pair are sent, it must pass an upper bound on its overlap from counts of
   shingles by cell. Where most pairs of two blocks pass it, the blocks' sets meet, and the
   overlaps are products of 0/1 matrices.
@@ -45,6 +49,7 @@ FREQUENT = 4  # documents of the sample
 KEYS_A_TASK = 100  # pairs of one centre that one task compares
 LONG_LIST = 48  # members in more than one component
 BLOCK = 256  # members of a long list that a task compares with as many
+WHOLE_SET, PART = 256, 4  # shingles of a set that are all counted; of larger sets, one in PART at least
 PAIRS_A_MEMBER = 4  # of two such blocks that may link; with more, their sets meet
 
 
@@ -174,38 +179,108 @@ def _described(docs: DataFrame, n: int, percent: int, frequent, boundary: int) -
         frugal(describe), "doc_id long, size long, cls long, keys array<long>, cells binary")
 
 
-def _kept_keys(described: DataFrame, broadcast) -> DataFrame:
-    """The keys that more than one document may have."""
-    def keep(batches):
-        hit = broadcast.value
-        for batch in batches:
-            keys = batch.column("keys")
-            lengths = np.diff(np.asarray(keys.offsets))
-            good = hit.has_hash(np.asarray(keys.flatten()).view(np.uint64))
-            owner = np.repeat(np.arange(len(lengths)), lengths)[good]
-            yield pa.RecordBatch.from_arrays([
-                keys.flatten().filter(pa.array(good)), batch.column("cls").take(pa.array(owner)),
-                batch.column("size").take(pa.array(owner))], names=["key", "cls", "size"])
+def _first_documents(described: DataFrame) -> BitFilter:
+    """The documents that stand for their classes, so that copies do not repeat their keys."""
+    return BitFilter(described.where("size > 1 AND doc_id IS NOT NULL").groupBy("cls").agg(F.min("doc_id").alias("doc_id")), "doc_id")
 
-    return described.select("cls", "size", "keys").mapInArrow(frugal(keep), "key long, cls long, size long")
 
+def _keys(described: DataFrame, firsts: BitFilter, shared: BitFilter | None = None) -> DataFrame:
+    """The keys of each class, from one document of each as far as a bitmap tells: all, or
+    ``key, cls, size`` of those that more than one document may have."""
+    spark = described.sparkSession
+    told, among = spark.sparkContext.broadcast(firsts), shared and spark.sparkContext.broadcast(shared)
 
-def _sets_of(docs: DataFrame, holders: DataFrame, classes: DataFrame, n: int) -> DataFrame:
-    """``cls, shingles`` of ``classes``, from one document of each. Texts are not shuffled:
-    a bitmap of the documents goes to where the texts are."""
-    some = BitFilter(holders.join(classes, "cls", "left_semi"), "doc_id")
+    def keep(batches):
+        for batch in batches:
+            batch = batch.filter(pa.array(told.value.has(np.asarray(batch.column("slot")))))
+            keys = batch.column("keys")
+            if among is None:
+                yield pa.RecordBatch.from_arrays([keys.flatten()], names=["key"])
+                continue
+            lengths = np.asarray(keys.value_lengths())
+            every = keys.flatten()
+            good = among.value.has_hash(np.asarray(every).view(np.uint64))
+            owner = pa.array(np.repeat(np.arange(len(lengths)), lengths)[good])
+            yield pa.RecordBatch.from_arrays([every.filter(pa.array(good)), batch.column("cls").take(owner),
+                                              batch.column("size").take(owner)], names=["key", "cls", "size"])
+
+    rows = described.where("size > 1 AND doc_id IS NOT NULL").withColumn("slot", firsts.slot("doc_id"))
+    if shared is None:
+        return rows.select("keys", "slot").mapInArrow(frugal(keep), "key long")
+    return rows.select("cls", "size", "keys", "slot").mapInArrow(frugal(keep), "key long, cls long, size long")
+
+
+def _of_classes(docs: DataFrame, some: BitFilter, n: int, rows, kind: str) -> DataFrame:
+    """``rows`` of the lists of sets of the documents in ``some``. Texts are not shuffled: a
+    bitmap of the documents goes to where the texts are."""
     told = docs.sparkSession.sparkContext.broadcast(some)
 
     def whole(batches):
         for batch in batches:
             batch = batch.filter(pa.array(told.value.has(np.asarray(batch.column("slot")))))
             for _, _, data, offsets in text_chunks(batch.column("text")):
-                sets = shingle_sets(data, offsets, n)
-                yield pa.RecordBatch.from_arrays([pa.array([class_key(s) for s in sets], pa.int64()),
-                                                  pa.array([s.tobytes() for s in sets], pa.binary())], names=["cls", "shingles"])
+                yield rows(shingle_sets(data, offsets, n))
+
+    return (docs.where("doc_id IS NOT NULL AND text IS NOT NULL").select("text", some.slot("doc_id").alias("slot"))
+            .mapInArrow(frugal(whole), kind))
+
+
+def _sets_of(docs: DataFrame, holders: DataFrame, classes: DataFrame, n: int) -> DataFrame:
+    """``cls, shingles`` of ``classes``, from one document of each."""
+    def whole(sets):
+        return pa.RecordBatch.from_arrays([pa.array([class_key(s) for s in sets], pa.int64()),
+                                           pa.array([s.tobytes() for s in sets], pa.binary())], names=["cls", "shingles"])
+
+    some = BitFilter(holders.join(classes, "cls", "left_semi"), "doc_id")
+    return written(_of_classes(docs, some, n, whole, "cls long, shingles binary"), "sets")
 
-    return written(docs.where("doc_id IS NOT NULL AND text IS NOT NULL").select("text", some.slot("doc_id").alias("slot"))
-                   .mapInArrow(frugal(whole), "cls long, shingles binary"), "sets")
+
+def looked_at(s: np.ndarray, size: int) -> np.ndarray:
+    """Which shingles are counted of a set of this size: all of a small one, a quarter at
+    least of a large one, of the same part of the hashes. A larger set counts no others."""
+    return s >> U(56) < U(max(256 // PART, min(256, 256 * WHOLE_SET // max(1, size))))
+
+
+def _shared_shingles(docs: DataFrame, holders: DataFrame, classes: DataFrame, n: int, percent: int) -> DataFrame:
+    """``cls, shared``: of each of ``classes``, at least as many shingles as it has in common
+    with all the others together that are close enough in size. No overlap with one of them
+    is larger. Documents given again count as others, which only raises the number."""
+    some = BitFilter(holders.join(classes, "cls", "left_semi"), "doc_id")
+    least = U((1 << 40) - 1)  # of a hash; alike ones only raise the number
+
+    def each(sets):
+        return pa.RecordBatch.from_arrays([pa.array(np.concatenate([s[looked_at(s, len(s))] for s in sets]) & least).cast(pa.int64())], names=["s"])
+
+    often = _of_classes(docs, some, n, each, "s long").groupBy("s").count().where("count > 1")
+    among = docs.sparkSession.sparkContext.broadcast(BitFilter(often, "s", hashed=True))
+
+    def count(sets):
+        # only shingles that the largest partner would count too
+        lone = [int((~among.value.has_hash(s[looked_at(s, 100 * len(s) // percent)])).sum()) for s in sets]
+        return pa.RecordBatch.from_arrays([pa.array([class_key(s) for s in sets], pa.int64()),
+                                           pa.array([len(s) - x for s, x in zip(sets, lone, strict=True)], pa.int64())], names=["cls", "shared"])
+
+    return written(_of_classes(docs, some, n, count, "cls long, shared long").groupBy("cls").agg(F.max("shared").alias("shared")), "shared")
+
+
+def _with_partners(members: DataFrame, shared: DataFrame, percent: int) -> DataFrame:
+    """Those ``members`` (key, cls, size, comp) of lists that may link with a member of their
+    list, with ``own``, the share of their shingles that no other class has. An overlap t of
+    sets of x and y shingles links them if (100 + percent) * t >= percent * (x + y), so
+    a set has partners only up to a size."""
+    sizes = members.groupBy("key").agg(F.collect_set("size").alias("sizes"))
+    fits = "x -> %d * (size + x) <= %d * shared AND 100 * x >= %d * size" % (percent, 100 + percent, percent)
+    return (members.join(shared, "cls", "left").withColumn("shared", F.coalesce("shared", "size")).join(sizes, "key")
+            .where(F.expr(f"exists(sizes, {fits})")).select("key", "cls", "size", "comp", (1 - F.col("shared") / F.col("size")).alias("own")))
+
+
+def _stars(ranked: DataFrame, percent: int) -> DataFrame:
+    """Pairs ``a, b`` of members (key, cls, size, comp, rank) with the first by ``rank`` of one of their lists."""
+    centres = ranked.groupBy("key").agg(F.min(F.struct("rank", "cls", "comp", "size")).alias("m")).select("key", "m.rank", *(
+        F.col(f"m.{x}").alias(y) for x, y in (("cls", "c"), ("comp", "c_comp"), ("size", "c_size"))))
+    return (ranked.drop("rank").join(centres, "key")
+            .where("comp <> c_comp AND 100 * least(size, c_size) >= %d * greatest(size, c_size)" % percent)
+            .groupBy(F.col("cls").alias("b")).agg(F.min(F.struct("rank", "c")).alias("m")).select(F.col("m.c").alias("a"), "b"))
 
 
 def _verified(docs: DataFrame, holders: DataFrame, pairs: DataFrame, n: int, percent: int) -> DataFrame:
@@ -317,14 +392,29 @@ def _long_lists(docs: DataFrame, holders: DataFrame, members: DataFrame, n: int,
     """Of the long lists ``members`` (key, cls, comp, size, n: the list's length): pairs
     ``a, b`` that have yet to be compared, and links.
 
+    Members that share too few of their shingles go, and the others are compared with the one
+    that shares most. Only lists that are still open then are dealt in blocks.
+
     Blocks of a list meet two by two, each pair of blocks in a task, with the counts by cell
-    only, which are far smaller than the sets. Pairs of different components that pass their
+    only, which are far smaller than the sets. Members of a list's largest component have
+    blocks of their own, if they fill one; those meet the others' blocks, never each other. Pairs of different components that pass their
     bound are few as a rule. Where two blocks have more than PAIRS_A_MEMBER of them a member,
     the sets themselves meet, each once, and a spanning forest of the links comes back
     instead of pairs."""
-    blocks = F.ceil(F.col("n") / BLOCK).cast("long")
-    own = members.select("key", "cls", "comp", blocks.alias("blocks"), F.pmod(F.xxhash64("cls"), blocks).alias("x"))
-    met = own.select("key", "cls", "comp", "x", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("y"))
+    if not members.limit(1).count():
+        return (members.select(F.col("cls").alias("a"), F.col("comp").alias("b")),) * 2
+    shared = _shared_shingles(docs, holders, members.select("cls").distinct(), n, percent)
+    likely = written(_with_partners(members, shared, percent), "partners")
+    stars = written(_verified(docs, holders, _stars(likely.withColumnRenamed("own", "rank"), percent), n, percent), "links")
+    members = _still_open(likely, [stars, members.select(F.col("cls").alias("a"), F.col("comp").alias("b")).distinct()])
+    largest = members.groupBy("key", "comp").agg(F.count("*").alias("alike")).groupBy("key").agg(F.max(F.struct("alike", "comp")).alias("m"))
+    largest = largest.select("key", F.when(F.col("m.alike") >= BLOCK, F.col("m.alike")).otherwise(0).alias("alike"), F.col("m.comp").alias("most"))
+    alike = (F.col("alike") > 0) & (F.col("comp") == F.col("most"))
+    blocks, more = F.ceil((F.col("n") - F.col("alike")) / BLOCK).cast("long"), F.ceil(F.col("alike") / BLOCK).cast("long")
+    own = (members.join(largest, "key").select("key", "cls", "comp", blocks.alias("blocks"), more.alias("more"), alike.alias("alike"))
+           .withColumn("x", F.when(F.col("alike"), F.col("blocks") + F.pmod(F.xxhash64("cls"), "more")).otherwise(F.pmod(F.xxhash64("cls"), "blocks")))
+           .withColumn("meets", F.when(F.col("alike"), F.col("blocks")).otherwise(F.col("blocks") + F.col("more"))))
+    met = own.select("key", "cls", "comp", "x", F.explode(F.sequence(F.lit(0).cast("long"), F.col("meets") - 1)).alias("y"))
     met = met.select("key", F.least("x", "y").alias("i"), F.greatest("x", "y").alias("j"), "cls", "comp", "x")
 
     def bound(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -355,7 +445,7 @@ def _long_lists(docs: DataFrame, holders: DataFrame, members: DataFrame, n: int,
         yield pa.RecordBatch.from_arrays([pa.array([names[u] for u, _ in links], pa.int64()), pa.array([names[v] for _, v in links], pa.int64())], names=["a", "b"])
 
     links = dense.join(sets, "cls").select("key", "i", "j", "cls", "shingles").groupBy("key", "i", "j").applyInArrow(compare, "a long, b long")
-    return bounded.where("a IS NOT NULL").select("a", "b"), links
+    return bounded.where("a IS NOT NULL").select("a", "b"), links.union(stars)
 
 
 def jaccard_classes(docs: DataFrame, n: int = 4, percent: int = 85, id_col: str = "doc_id", text_col: str = "text",
@@ -372,9 +462,9 @@ def jaccard_classes(docs: DataFrame, n: int = 4, percent: int = 85, id_col: str
     boundary = boundary_by_cost(sizes, partners, percent)
     described = written(_described(docs, n, percent, spark.sparkContext.broadcast(frequent), boundary), "described")
 
-    repeated = described.select(F.explode("keys").alias("key")).groupBy("key").count().where("count > 1")
-    shared = BitFilter(repeated, "key", hashed=True)
-    kept = _kept_keys(described.where("size > 1"), spark.sparkContext.broadcast(shared))
+    firsts = _first_documents(described)
+    repeated = _keys(described, firsts).groupBy("key").count().where("count > 1")
+    kept = _keys(described, firsts, BitFilter(repeated, "key", hashed=True))
     lists = kept.groupBy("key").agg(F.min("cls").alias("lo"), F.max("cls").alias("hi")).where("lo < hi").select("key")
     members = written(kept.join(lists, "key").distinct(), "members")
 
@@ -383,23 +473,24 @@ def jaccard_classes(docs: DataFrame, n: int = 4, percent: int = 85, id_col: str
         .join(members.select("cls").distinct(), "cls", "left_semi"), "holders")
     verify = lambda pairs: _verified(docs, holders, pairs, n, percent)
 
-    links, open_lists = [], members.withColumn("comp", F.col("cls"))
-    for turn in range(star_rounds):
-        rank = F.struct(F.xxhash64(F.col("comp") + F.lit(turn)), "cls", "comp", "size") if turn else F.struct("cls", "comp", "size")
-        centres = open_lists.groupBy("key").agg(F.min(rank).alias("m")).select(
-            "key", F.col("m.cls").alias("c"), F.col("m.comp").alias("c_comp"), F.col("m.size").alias("c_size"))
-        pairs = (open_lists.join(centres, "key")
+    def starred(lists: DataFrame, rank) -> DataFrame:
+        """Links of members with the first by ``rank`` of one of their lists."""
+        centres = lists.groupBy("key").agg(F.min(F.struct(rank.alias("rank"), "cls", "comp", "size")).alias("m")).select(
+            "key", F.col("m.rank").alias("rank"), F.col("m.cls").alias("c"), F.col("m.comp").alias("c_comp"), F.col("m.size").alias("c_size"))
+        pairs = (lists.join(centres, "key")
                  .where("comp <> c_comp AND 100 * least(size, c_size) >= %d * greatest(size, c_size)" % percent)
-                 .groupBy(F.col("cls").alias("b")).agg(F.min("c").alias("a")).select("a", "b"))
-        links.append(written(verify(pairs), "links"))
-        open_lists = _still_open(members, links)
-    counts = written(open_lists.groupBy("key").agg(F.count("*").alias("n")), "lists")
-    short = open_lists.join(counts.where(F.col("n") <= LONG_LIST).select("key"), "key")
-    x, y = short.toDF("key", "a", "na", "ca"), short.toDF("key", "b", "nb", "cb")
+                 .groupBy(F.col("cls").alias("b")).agg(F.min(F.struct("rank", "c")).alias("m")).select(F.col("m.c").alias("a"), "b"))
+        return written(verify(pairs), "links")
+
+    links, lists = [], members.select("key", "cls", "size", F.col("cls").alias("comp"), F.lit(LONG_LIST + 1).alias("n"))
+    for turn in range(star_rounds):
+        rank = F.xxhash64(F.col("comp") + F.lit(turn)) if turn else F.col("cls")
+        links.append(written(verify(_stars(lists.withColumn("rank", rank), percent)), "links"))
+        lists = _still_open(lists, links)
+    x, y = (lists.where(f"n <= {LONG_LIST}").select("key", "cls", "size", "comp").toDF("key", z, f"n{z}", f"c{z}") for z in "ab")
     rest = (x.join(y, "key").where("a < b AND ca <> cb AND 100 * least(na, nb) >= %d * greatest(na, nb)" % percent)
             .select("a", "b"))
-    long = written(open_lists.join(counts.where(F.col("n") > LONG_LIST), "key"), "long")
-    more, within = _long_lists(docs, holders, long, n, percent)
+    more, within = _long_lists(docs, holders, lists.where(f"n > {LONG_LIST}"), n, percent)
     links.append(written(verify(rest.union(more).distinct()), "links"))
     links.append(written(within, "links"))
     comp = components(reduce(DataFrame.union, links))
@@ -408,11 +499,12 @@ def jaccard_classes(docs: DataFrame, n: int = 4, percent: int = 85, id_col: str
 
 
 def _still_open(members: DataFrame, links: list[DataFrame]) -> DataFrame:
-    """Members of lists that still hold more than one component, with their component."""
+    """Members (key, cls, size) of lists that still hold more than one component, with their
+    component ``comp`` and ``n``, the list's length."""
     comp = components(reduce(DataFrame.union, links)).select(F.col("node").alias("cls"), "component")
-    now = members.join(comp, "cls", "left").select("key", "cls", "size", F.coalesce("component", "cls").alias("comp"))
-    mixed = now.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi").select("key")
-    return written(now.join(mixed, "key"), "open")
+    now = members.select("key", "cls", "size").join(comp, "cls", "left").select("key", "cls", "size", F.coalesce("component", "cls").alias("comp"))
+    mixed = now.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("n")).where("lo < hi").select("key", "n")
+    return written(now.join(mixed, "key").select("key", "cls", "size", "comp", "n"), "open")
 
 
 def jaccard_components(docs: DataFrame, n: int = 4, percent: int = 85) -> DataFrame:

@@ -294,6 +294,51 @@ def test_jaccard_long_lists_send_no_sets_that_cannot_link(spark, monkeypatch):
     assert lists[0] > 100 and sum(seen) == 0
 
 
+def _family(n, seed=8):
+    """Near copies of one text with up to thirty own words each; some link with no other."""
+    rng, rows = np.random.default_rng(seed), []
+    for i in range(n):
+        w = [f"w{k}" for k in range(150)]
+        for k in rng.choice(150, int(rng.integers(0, 30)), replace=False):
+            w[k] = f"x{i}y{k}"
+        rows.append((i, " ".join(w)))
+    return rows
+
+
+def test_jaccard_long_lists_of_near_copies_are_not_dealt_in_squares(spark, monkeypatch):
+    """A family of near copies: what is left for blocks is far less than all by all."""
+    sent, written = [], jaccard.written
+
+    def counted(df, name):
+        out = written(df, name)
+        if name == "open":
+            sent.append(out.groupBy("key").agg(F.count("*").alias("n")).agg(F.sum(F.col("n") * F.ceil(F.col("n") / jaccard.BLOCK))).first()[0] or 0)
+        return out
+
+    for name, value in (("LONG_LIST", 8), ("BLOCK", 4), ("written", counted)):
+        monkeypatch.setattr(jaccard, name, value)
+    rows = _family(160)
+    got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in jaccard.jaccard_components(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == brute_components(rows)
+    print(sent)
+    assert sent[-1] < sent[1] / 4, sent  # what was left after the two rounds of centres met block by block
+
+
+def test_jaccard_shared_shingles_bound_every_overlap(spark, monkeypatch):
+    monkeypatch.setattr(jaccard, "WHOLE_SET", 40)
+    rows = [*_family(30), *((100 + i, t + " " + " ".join(f"z{k}" for k in range(40))) for i, t in _family(20, 9))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    data = [np.frombuffer(t.encode(), np.uint8) for _, t in rows]
+    sets = [jaccard.shingle_sets(d, np.array([0, len(d)]), 4)[0] for d in data]
+    keys = [jaccard.class_key(s) for s in sets]
+    holders = spark.createDataFrame([(k, i) for k, (i, _) in zip(keys, rows, strict=True)], "cls long, doc_id long")
+    shared = {r["cls"]: r["shared"] for r in jaccard._shared_shingles(docs, holders, holders.select("cls"), 4, 85).collect()}
+    near = lambda a, b: 100 * min(len(a), len(b)) >= 85 * max(len(a), len(b))
+    most = {k: max(len(np.intersect1d(a, b)) for b, other in zip(sets, keys, strict=True) if other != k and near(a, b)) for k, a in zip(keys, sets, strict=True)}
+    assert shared.keys() == most.keys() and all(shared[k] >= most[k] for k in most)
+    assert sum(shared[k] < len(s) for k, s in zip(keys, sets, strict=True)) > 20
+
+
 def test_jaccard_of_odd_rows(odd, none):
     rows = jaccard.jaccard_components(odd).collect()
     got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in rows}
