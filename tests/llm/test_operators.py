@@ -320,7 +320,6 @@ def test_jaccard_long_lists_of_near_copies_are_not_dealt_in_squares(spark, monke
     rows = _family(160)
     got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in jaccard.jaccard_components(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
     assert got == brute_components(rows)
-    print(sent)
     assert sent[-1] < sent[1] / 4, sent  # what was left after the two rounds of centres met block by block
 
 
