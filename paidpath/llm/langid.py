@@ -31,6 +31,7 @@ DOCS_A_LANGUAGE = 400  # bound of the training sample, by hash of doc_id
 FEW = 25  # documents of a language in the sample, below which none is held back
 SPACE = 32
 CHUNK = 1 << 20
+BLOCK_WORDS = 1 << 12  # distinct words whose n-grams are in memory at once
 
 
 @lru_cache(maxsize=1)
@@ -53,6 +54,7 @@ def text_words(data: np.ndarray, docs: np.ndarray) -> tuple[pa.Array, np.ndarray
     at = np.zeros(len(data) + 1, np.int64)
     np.cumsum((data & 0xC0) != 0x80, out=at[1:])
     docs = at[docs]
+    del at
     small = np.minimum(codes, 65535)
     inside = letter[small]
     codes = lower[small]
@@ -201,7 +203,8 @@ class KneserNey:
     def entropy(self, data: np.ndarray, docs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Bits per character of each text by language, and its number of characters."""
         words, number, first = text_words(data, docs)
-        bits, chars = self.word_bits(words)
+        parts = [self.word_bits(words.slice(i, BLOCK_WORDS)) for i in range(0, max(1, len(words)), BLOCK_WORDS)]
+        bits, chars = (np.concatenate(x) for x in zip(*parts, strict=True))
         sums = np.zeros((len(number) + 1, len(self.languages)))
         np.cumsum(bits[number], axis=0, out=sums[1:])
         n = np.zeros(len(number) + 1, np.int64)

@@ -28,6 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from paidpath.llm.tables import frugal
 from paidpath.llm.words import ragged, text_chunks
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
@@ -35,6 +36,7 @@ MARKER = "▁".encode()
 NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = 1, 2, 3, 4, 5, 6  # kinds of pieces in the file format
 CHUNK = 1 << 19
 LONG_WORD = 96  # bytes; longer words are segmented one by one
+BLOCK = 1 << 15  # bytes of distinct words that are segmented in step
 UNKNOWN_PENALTY = 10.0
 
 
@@ -291,21 +293,27 @@ class Vocabulary:
         offsets = np.frombuffer(words.buffers()[1], np.int64)[words.offset:words.offset + len(words) + 1]
         data = np.frombuffer(words.buffers()[2], np.uint8)
         size = np.diff(offsets)
-        short = np.flatnonzero(size <= LONG_WORD)
         counts = np.zeros(len(words), np.int64)
-        parts: list[np.ndarray] = [np.zeros(0, np.int32)] * 2
-        if len(short):
-            own = data[ragged(offsets[:-1][short], size[short])]
-            parts[0], counts[short] = self.segment(own, np.concatenate([[0], np.cumsum(size[short])]))
-        long = np.flatnonzero(size > LONG_WORD)
-        if not len(long):
-            return parts[0], counts
-        done = [self.segment_one(data[offsets[w]:offsets[w + 1]].tobytes()) for w in long]
-        counts[long] = [len(x) for x in done]
-        out, at = np.zeros(counts.sum(), np.int32), np.concatenate([[0], np.cumsum(counts)])
-        out[ragged(at[short], counts[short])] = parts[0]
-        for w, x in zip(long, done, strict=True):
-            out[at[w]:at[w + 1]] = x
+        # blocks of words of like size: few steps each, and only a block's matches are in memory
+        short = np.flatnonzero(size <= LONG_WORD)
+        short = short[np.argsort(size[short].astype(np.uint8), kind="stable")]
+        ends = np.cumsum(size[short])
+        parts: list[tuple[np.ndarray, np.ndarray]] = []
+        i = 0
+        while i < len(short):
+            j = max(i + 1, int(np.searchsorted(ends, (ends[i - 1] if i else 0) + BLOCK, "right")))
+            some = short[i:j]
+            own = data[ragged(offsets[:-1][some], size[some])]
+            ids, counts[some] = self.segment(own, np.concatenate([[0], np.cumsum(size[some])]))
+            parts.append((some, ids))
+            i = j
+        for w in np.flatnonzero(size > LONG_WORD):
+            ids = self.segment_one(data[offsets[w]:offsets[w + 1]].tobytes())
+            counts[w] = len(ids)
+            parts.append((np.array([w]), ids))
+        out, at = np.zeros(counts.sum(), np.int32), np.cumsum(counts) - counts
+        for some, ids in parts:
+            out[ragged(at[some], counts[some])] = ids
         return out, counts
 
     def decode(self, ids: np.ndarray, offsets: np.ndarray) -> pa.Array:
@@ -365,7 +373,7 @@ def encoded(docs: DataFrame, model: str = MODEL, text_col: str = "text") -> Data
                 lists = pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(ids), mask=none if pc.any(none).as_py() else None)
                 yield pa.RecordBatch.from_arrays([*(c.slice(i, j - i) for c in batch.columns), lists, pa.array(np.diff(at))], names=[*columns, "ids", "n_tokens"])
 
-    return docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField("ids", T.ArrayType(T.IntegerType())), T.StructField("n_tokens", T.LongType())]))
+    return docs.mapInArrow(frugal(run), T.StructType([*docs.schema.fields, T.StructField("ids", T.ArrayType(T.IntegerType())), T.StructField("n_tokens", T.LongType())]))
 
 
 def decoded(rows: DataFrame, model: str = MODEL, into: str = "decoded") -> DataFrame:
@@ -386,7 +394,7 @@ def decoded(rows: DataFrame, model: str = MODEL, into: str = "decoded") -> DataF
                 texts = pc.if_else(lists.is_null(), pa.scalar(None, pa.string()), texts)
                 yield pa.RecordBatch.from_arrays([*part.columns, texts], names=[*columns, into])
 
-    return rows.mapInArrow(run, T.StructType([*rows.schema.fields, T.StructField(into, T.StringType())]))
+    return rows.mapInArrow(frugal(run), T.StructType([*rows.schema.fields, T.StructField(into, T.StringType())]))
 
 
 def tokenised(docs: DataFrame, model: str = MODEL) -> DataFrame:
@@ -411,4 +419,4 @@ def tokenised(docs: DataFrame, model: str = MODEL) -> DataFrame:
                                                  names=["doc_id", "n_tokens", "ids", "n_byte_tokens", "text_restored"])
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(
-        run, "doc_id long, n_tokens long, ids array<int>, n_byte_tokens long, text_restored boolean")
+        frugal(run), "doc_id long, n_tokens long, ids array<int>, n_byte_tokens long, text_restored boolean")
